@@ -11,6 +11,9 @@ import os
 import duckdb
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}
+
+
 def plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
@@ -37,6 +40,14 @@ def compare(df, con, sql: str) -> str | None:
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    wrong = {
+        f.name: (f.dataType.simpleString(), types[f.name])
+        for f in df.schema.fields
+        if TYPES[f.dataType.simpleString()] != types[f.name]
+    }
+    if wrong:
+        return f"types {wrong}"
     order = sorted(names)
     theirs = collections.Counter(
         tuple(plain(row[names.index(c)]) for c in order) for row in result.fetchall()

@@ -25,17 +25,17 @@ TICKETS = """tickets AS (
               THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS pay_cheque,
          CASE WHEN substr(o_orderpriority, 1, 1) IN ('4', '5')
               THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS pay_cash,
-         year(o_orderdate) AS year,
+         CAST(year(o_orderdate) AS INTEGER) AS year,
          strftime(o_orderdate, '%Y-%m') AS period
   FROM orders)"""
 
 ITEMS = """items AS (
   SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS amount,
-         year(l_shipdate) AS year, strftime(l_shipdate, '%Y-%m') AS period
+         CAST(year(l_shipdate) AS INTEGER) AS year, strftime(l_shipdate, '%Y-%m') AS period
   FROM lineitem)"""
 
 ROWS = """rows_ AS (
-  SELECT event_id, year(ts) AS year, strftime(ts, '%Y-%m-%d') AS period,
+  SELECT event_id, CAST(year(ts) AS INTEGER) AS year, strftime(ts, '%Y-%m-%d') AS period,
          CASE user_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN 'ZZ1' ELSE 'ZZ2' END AS mode,
          event_type AS nature, CAST(round(value * 100) AS BIGINT) AS amount
   FROM events)"""
@@ -406,13 +406,13 @@ n AS (SELECT (SELECT count(*) FROM lineitem) AS items, (SELECT count(*) FROM ord
              (SELECT count(*) FROM sold) AS sold,
              (SELECT count(DISTINCT period) FROM items) AS report,
              (SELECT count(DISTINCT period) FROM sold) AS journal,
-             (SELECT count(DISTINCT period) FROM (SELECT period FROM items UNION SELECT period FROM sold)) AS both),
+             (SELECT count(DISTINCT period) FROM (SELECT period FROM items UNION SELECT period FROM sold)) AS all_months),
 counters AS (
   SELECT 'lineitem' AS output, 0 AS n_read, 0 AS n_selected, items AS n_written FROM n
   UNION ALL SELECT 'orders', 0, 0, orders FROM n
   UNION ALL SELECT 'report_monthly', items, items, report FROM n
   UNION ALL SELECT 'journal_monthly', orders, sold, journal FROM n
-  UNION ALL SELECT 'reconciled', report + journal, report + journal, both FROM n)"""
+  UNION ALL SELECT 'reconciled', report + journal, report + journal, all_months FROM n)"""
 
 ORACLES["lineage"] = f"""
 WITH {COUNTERS}
