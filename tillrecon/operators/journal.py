@@ -72,7 +72,7 @@ _CONTINUED = (
 _KNOWN = (
     r"(?md)^(?:"
     rf"({_any_of('ht', 'vat')}){_WORD}*{_BLANK}+({_WORD}+){_BLANK}+({_WORD}+).*"
-    rf"|({_any_of('total', 'exempt')}){_WORD}*\uE000(.*)"
+    rf"|({_any_of('total', 'exempt')}){_WORD}*\x1D(.*)"
     rf"|({_any_of(*_AMOUNT_KINDS, 'invoice')}){_WORD}*{_BLANK}+({_WORD}+).*"
     r")$"
 )

@@ -16,11 +16,11 @@ WHOLE_FILE_BYTES = 32 * 1024 * 1024
 
 def _below_root(path: Column, root: str) -> Column:
     """The part of a path that starts with the root directory's own name."""
-    root_path = urlsplit(root).path.rstrip("/") if "://" in root else root.rstrip("/")
-    parent = root_path.rpartition("/")[0]
-    return F.substring(
-        path, F.instr(path, root_path) + F.lit(len(parent)), F.length(path)
-    )
+    root_path = urlsplit(root).path.rstrip("/")
+    if not root_path.startswith("/"):
+        raise ValueError(f"the source root must be an absolute path: {root}")
+    above = len(root_path.rpartition("/")[0]) + 1
+    return F.substring(path, F.instr(path, root_path) + F.lit(above), F.length(path))
 
 
 def shop_from_path(path: Column, root: str, shops) -> Column:
