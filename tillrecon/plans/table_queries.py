@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillrecon.functions import money as M, periods as P, text as X
 from tillrecon.operators import (
@@ -710,10 +710,16 @@ def file_roundtrip(spark, sf_dir):
     )
 
 
-TICKET_CSV = T.StructType.fromDDL(
-    "internal_no string, ticket_no string, ticket_date date, ticket_time string, ht1 decimal(18,2),"
-    " vat1 decimal(18,2), ttc decimal(18,2), pay_card decimal(18,2)"
-)
+TICKET_CSV = {
+    "internal_no": "string",
+    "ticket_no": "string",
+    "ticket_date": "date",
+    "ticket_time": "string",
+    "ht1": "decimal(18,2)",
+    "vat1": "decimal(18,2)",
+    "ttc": "decimal(18,2)",
+    "pay_card": "decimal(18,2)",
+}
 
 
 @query
@@ -724,10 +730,12 @@ def csv_roundtrip(spark, sf_dir):
         "year", F.year("ticket_date")
     )
     sinks.export_csv(
-        sold, folder, TICKET_CSV.names, partition_by=("shop", "year"), order_by=tables.HEADER_ORDER
+        sold, folder, list(TICKET_CSV), partition_by=("shop", "year"), order_by=tables.HEADER_ORDER
+    )
+    columns = {**TICKET_CSV, "shop": "string", "year": "int"}
+    back = contract.read_contract_csv(
+        spark, folder, ", ".join(f"{name} {kind}" for name, kind in columns.items())
     )
-    parts = T.StructType.fromDDL("shop string, year int")
-    back = contract.read_contract_csv(spark, folder, T.StructType(TICKET_CSV.fields + parts.fields))
     return back.select(
         "shop", "year", "internal_no", "ticket_no", F.col("ticket_date").cast("string").alias("ticket_date"),
         "ticket_time", *(S.cents(c) for c in ("ht1", "vat1", "ttc", "pay_card")),
