@@ -68,7 +68,8 @@ _CONTINUED = (
     rf"|(?!{_ARTICLE.replace('(', '(?:')}$){_DIGIT}[^\n]*"
     r")\n([^\n]*)"
 )
-# Lines of a known form. An amount found on the next line is all of that line.
+# Lines of a known form become "key, amount": the key is the kind with its tax code, or a blank and
+# the kind, so that it equals no line left as it is. An amount found on the next line is all of it.
 _KNOWN = (
     r"(?md)^(?:"
     rf"({_any_of('ht', 'vat')}){_WORD}*{_BLANK}+({_WORD}+){_BLANK}+({_WORD}+).*"
@@ -76,8 +77,22 @@ _KNOWN = (
     rf"|({_any_of(*_AMOUNT_KINDS, 'invoice')}){_WORD}*{_BLANK}+({_WORD}+).*"
     r")$"
 )
-_KNOWN_FIELDS = _MARK.join(("$1$4$6", "$2", "$3$5$7"))
-_ARTICLE_FIELDS = _MARK.join((_ARTICLE_KIND, "$3", "$4", "$1", "$2"))
+_KNOWN_FIELDS = f"$1 $2$4$6{_MARK}$3$5$7"
+_ARTICLE_KEY = " article"
+# Article lines: key, amount, tax code, quantity, label.
+_ARTICLE_FIELDS = _MARK.join((_ARTICLE_KEY, "$4", "$3", "$1", "$2"))
+_KEY = {kind: f" {start}" for kind, start in fixed.LINE_STARTS}
+_LINE_KEYS = (_ARTICLE_KEY, _KEY["correction"])
+# Keys that may occur once, by the column they fill.
+_SINGLE_KEYS = {
+    **{f"ht{code}": f"{_START['ht']} {code}" for code in fixed.VAT_CODES},
+    **{f"vat{code}": f"{_START['vat']} {code}" for code in fixed.VAT_CODES},
+    "ht_exempt": _KEY["exempt"],
+    "ttc": _KEY["total"],
+    "pay_card": _KEY["card"],
+    "pay_cash": _KEY["cash"],
+    "pay_cheque": _KEY["cheque"],
+}
 _DANGLING = rf"^(?:{_any_of('ht', 'vat', *_AMOUNT_KINDS, 'invoice')}|{_DIGIT})"
 
 
@@ -93,37 +108,15 @@ def journal_blocks(journals: DataFrame, text: str = "text") -> DataFrame:
     return journals.select(*keep, F.posexplode(split_blocks(F.col(text))).alias("block_pos", "block"))
 
 
-def _kind_of(start: Column) -> Column:
-    """Name of the kind of a line by its first words, for error codes."""
-    found = F.when(start.rlike(f"^{_DIGIT}"), _ARTICLE_KIND).otherwise(start)
-    for kind, text in fixed.LINE_STARTS:
-        found = F.when(start.startswith(text), kind).otherwise(found)
+def _kind_of(key: Column) -> Column:
+    """Name of the kind of a line by its key or its first words, for error codes."""
+    text = F.ltrim(key)
+    found = F.when(text.rlike(f"^{_DIGIT}"), "article").otherwise(text)
+    for kind, start in fixed.LINE_STARTS:
+        found = F.when(text.startswith(start), kind).otherwise(found)
     return found
 
 
-def _error(item: Column) -> Column:
-    """Error code of a line, NULL when there is nothing wrong with it."""
-    kind, code = item["kind"], item["code"]
-    name = _kind_of(kind)
-    dangling = code.isNull() & kind.rlike(_DANGLING)
-    article = kind == _ARTICLE_KIND
-    taxed = kind.isin(_START["ht"], _START["vat"])
-    return (
-        F.when(
-            dangling,
-            F.when(name == _ARTICLE_KIND, "article:format")
-            .when(name == "invoice", "invoice:number")
-            .otherwise(F.concat(name, F.lit(":amount"))),
-        )
-        .when(
-            code.isNotNull() & (kind != _START["invoice"]) & item["amount"].isNull(),
-            F.concat(name, F.lit(":amount")),
-        )
-        .when(taxed & ~code.isin(*fixed.VAT_CODES), F.concat(name, F.lit(":code")))
-        .when(article & item["qty"].isNull(), "article:quantity")
-    )
-
-
 def parse_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
     """Parse every block into its ticket header, ``lines`` (array of struct) and ``errors`` (array).
 
@@ -134,9 +127,9 @@ def parse_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
 
     # Each step below is a projection of its own, so that what the next one reads several times is
     # computed once.
-    unix = unix_lines(F.col(block))
-    no_tails = F.regexp_replace(unix, rf"{_SPACE}++(?=\n|\z)", "")
-    stripped = F.regexp_replace(no_tails, rf"(?<=\n){_SPACE}++", "")
+    # No white space at either end of a line.
+    edges = F.rtrim(unix_lines(F.col(block)), F.lit(" \t\x1F\xA0"))
+    stripped = F.regexp_replace(edges, rf"{_SPACE}*\n{_SPACE}*", "\n")
     # Separator rest, header line, internal number, and all the rest.
     cut = blocks.select(*names, F.split(stripped, "\n", 4).alias("_part"))
     fields = F.split(
@@ -145,8 +138,10 @@ def parse_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
         ),
         _MARK,
     )
-    last_break = F.regexp_replace(F.get("_part", 3), r"\n\z", "")
-    rest = F.concat(F.lit("\n"), F.coalesce(last_break, F.lit("")))
+    # With a line feed before and none behind.
+    rest = F.get("_part", 3)
+    rest = F.when(rest.endswith("\n"), F.substring(rest, F.lit(1), F.length(rest) - 1)).otherwise(rest)
+    rest = F.concat(F.lit("\n"), F.coalesce(rest, F.lit("")))
     headed = cut.select(
         *names,
         fields.alias("_header"),
@@ -177,6 +172,7 @@ def parse_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
     lines = F.filter(F.split("_body", "\n"), lambda l: l != "")
     # A second separator right behind the first one is tolerated.
     doubled = F.col("_signature").startswith(fixed.SIGNATURE_SEPARATOR)
+    words = F.transform(lines, lambda l: F.split(l, _MARK))
     read = rewritten.select(
         *names,
         "type",
@@ -185,105 +181,129 @@ def parse_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
         "ticket_time",
         "_is_signed",
         F.when(doubled, behind(F.col("_signature"))).otherwise(F.col("_signature")).alias("_signature"),
-        F.transform(
-            F.transform(lines, lambda l: F.split(l, _MARK)),
-            lambda w: F.struct(
-                F.get(w, F.lit(0)).alias("kind"),
-                F.get(w, F.lit(1)).alias("code"),
-                F.get(w, F.lit(2)).alias("text"),
-                bare_money(F.get(w, F.lit(2))).alias("amount"),
-                F.get(w, F.lit(3)).try_cast("bigint").alias("qty"),
-                F.get(w, F.lit(4)).alias("label"),
-            ),
-        ).alias("_items"),
-    )
-
-    items = F.col("_items")
-    of = lambda kind: F.filter(items, lambda x: x["kind"] == _START[kind])
-    coded = lambda kind, code: F.filter(
-        items, lambda x: (x["kind"] == _START[kind]) & (x["code"] == code)
-    )
-    amount = lambda found: signed(F.get(found, 0)["amount"], F.col("type"))
-    is_event = lambda x: x["kind"].startswith(_START["event"])
-    is_correction = lambda x: x["kind"] == _START["correction"]
-    single = F.transform(
-        F.filter(
-            items,
-            lambda x: x["amount"].isNotNull() & ~x["kind"].isin(_ARTICLE_KIND, _START["correction"])
-            | is_event(x),
-        ),
-        lambda x: F.when(is_event(x), F.concat(F.lit(_START["event"]), F.lit(_MARK))).otherwise(
-            F.concat(x["kind"], F.lit(_MARK), x["code"])
+        words.alias("_words"),
+    ).withColumn("_keys", F.transform("_words", lambda w: w[0]))
+
+    at = lambda key: F.array_position("_keys", F.lit(key)).cast("int")
+    amount_at = lambda key: F.when(at(key) > 0, bare_money(F.get(F.get("_words", at(key) - 1), F.lit(1))))
+    keys, last = F.col("_keys"), F.size("_keys")
+    invoice_at = last - F.array_position(F.reverse(keys), F.lit(_KEY["invoice"])).cast("int")
+    invoice = F.when(invoice_at < last, F.get(F.get("_words", invoice_at), F.lit(1)))
+    read_lines = F.transform(
+        F.filter("_words", lambda w: w[0].isin(*_LINE_KEYS)),
+        lambda w: F.struct(
+            (w[0] == _ARTICLE_KEY).alias("is_article"),
+            bare_money(F.get(w, F.lit(1))).alias("amount"),
+            F.get(w, F.lit(2)).alias("vat_code"),
+            F.get(w, F.lit(3)).try_cast("bigint").alias("qty"),
+            F.nullif(F.translate(F.get(w, F.lit(4)), _JOINT, " "), F.lit("")).alias("label"),
         ),
     )
-    article_lines = F.filter(
-        items,
-        lambda x: x["kind"].isin(_ARTICLE_KIND, _START["correction"]) & x["amount"].isNotNull(),
+    # What is neither of a known form nor free text.
+    expected = (*_SINGLE_KEYS.values(), *_LINE_KEYS, _KEY["invoice"])
+    odd = F.filter(
+        "_words", lambda w: ~w[0].isin(*expected) & ((F.size(w) > 1) | w[0].rlike(_DANGLING))
     )
-    separator = rf"(?md)^(?:{fixed.TICKET_SEPARATOR}|{fixed.SIGNATURE_SEPARATOR})"
     picked = read.select(
         *names,
         "type",
-        F.when(F.exists(items, is_event), _START["event"]).alias("event"),
+        F.size(F.filter(keys, lambda k: k.startswith(_START["event"]))).alias("_events"),
         F.btrim(F.regexp_replace("_signature", "\n{2,}", "\n"), F.lit("\n")).alias("signature"),
         "internal_no",
-        F.try_element_at(of("invoice"), F.lit(-1))["text"].alias("ticket_no"),
+        invoice.alias("ticket_no"),
         "ticket_date",
         "ticket_time",
-        *(amount(coded("ht", c)).alias(f"ht{c}") for c in fixed.VAT_CODES),
-        *(amount(coded("vat", c)).alias(f"vat{c}") for c in fixed.VAT_CODES),
-        amount(of("exempt")).alias("ht_exempt"),
-        amount(of("total")).alias("ttc"),
-        amount(of("card")).alias("pay_card"),
-        amount(of("cash")).alias("pay_cash"),
-        amount(of("cheque")).alias("pay_cheque"),
-        F.coalesce(
-            F.transform(
-                article_lines,
-                lambda x, i: F.struct(
-                    (i + 1).cast("int").alias("line_pos"),
-                    x["qty"].alias("qty"),
-                    F.nullif(F.translate(x["label"], _JOINT, " "), F.lit("")).alias("label"),
-                    F.when(~is_correction(x), x["code"]).alias("vat_code"),
-                    F.when(~is_correction(x), signed(x["amount"], F.col("type"))).alias("amount"),
-                    F.when(is_correction(x), signed(x["amount"], F.col("type"))).alias(
-                        "correction"
-                    ),
-                    F.lit(None).cast("string").alias("other_info"),
-                ),
-            ),
-            F.array(),
-        ).alias("lines"),
-        single.alias("_single"),
-        F.filter(F.transform(items, _error), lambda e: e.isNotNull()).alias("_bad"),
-        F.array_compact(
-            F.array(
-                F.when(F.col("type").isNull(), "header:format"),
-                F.when(F.col("type").isNotNull() & F.col("ticket_date").isNull(), "header:date"),
-                F.when(F.col("type").isNotNull() & F.col("ticket_time").isNull(), "header:time"),
-                F.when(F.col("internal_no") == "", "header:internal_no"),
-                F.when(F.col("_is_signed") & F.col("_signature").isNull(), "signature:missing"),
-                F.when(F.col("_signature").rlike(separator), "signature:separator"),
-            )
-        ).alias("_broken"),
-    )
-    none = F.array().cast("array<string>")
-    repeated = F.when(
-        F.size("_single") != F.size(F.array_distinct("_single")),
+        *(amount_at(key).alias(name) for name, key in _SINGLE_KEYS.items()),
+        read_lines.alias("_lines"),
+        F.filter(keys, lambda k: k.isin(*_SINGLE_KEYS.values())).alias("_single"),
         F.transform(
-            F.filter(
-                F.array_distinct("_single"),
-                lambda k: F.size(F.filter("_single", lambda x: x == k)) > 1,
-            ),
-            lambda k: F.concat(
-                _kind_of(k), F.substring_index(k, _MARK, -1), F.lit(":repeated")
+            odd,
+            lambda w: F.concat_ws(
+                ":",
+                _kind_of(w[0]),
+                F.when(F.size(w) > 1, "code")
+                .when(_kind_of(w[0]) == "article", "format")
+                .when(_kind_of(w[0]) == "invoice", "number")
+                .otherwise("amount"),
             ),
+        ).alias("_odd"),
+        F.col("_signature").isNull().alias("_sign_missing"),
+        F.col("_signature").rlike(rf"(?md)^(?:{fixed.TICKET_SEPARATOR}|{fixed.SIGNATURE_SEPARATOR})").alias(
+            "_sign_broken"
         ),
+        "_is_signed",
+    )
+
+    typed = F.col("type").isNotNull()
+    unread = lambda name: F.array_contains("_single", _SINGLE_KEYS[name]) & F.col(name).isNull()
+    kind_names = {
+        **{f"ht{c}": "ht" for c in fixed.VAT_CODES},
+        **{f"vat{c}": "vat" for c in fixed.VAT_CODES},
+        "ht_exempt": "exempt",
+        "ttc": "total",
+        "pay_card": "card",
+        "pay_cash": "cash",
+        "pay_cheque": "cheque",
+    }
+    broken = F.array_compact(
+        F.array(
+            F.when(~typed, "header:format"),
+            F.when(typed & F.col("ticket_date").isNull(), "header:date"),
+            F.when(typed & F.col("ticket_time").isNull(), "header:time"),
+            F.when(F.col("internal_no") == "", "header:internal_no"),
+            F.when(F.col("_is_signed") & F.col("_sign_missing"), "signature:missing"),
+            F.when(F.col("_sign_broken"), "signature:separator"),
+            F.when(F.col("_events") > 1, "event:repeated"),
+            *(F.when(unread(name), f"{kind}:amount") for name, kind in kind_names.items()),
+        )
     )
+    repeated = F.transform(
+        F.filter(
+            F.array_distinct("_single"),
+            lambda k: F.size(F.filter("_single", lambda x: x == k)) > 1,
+        ),
+        lambda k: F.concat(
+            _kind_of(k),
+            F.when(k.startswith(" "), "").otherwise(F.substring_index(k, " ", -1)),
+            F.lit(":repeated"),
+        ),
+    )
+    bad_lines = F.transform(
+        F.filter("_lines", lambda x: x["amount"].isNull() | (x["is_article"] & x["qty"].isNull())),
+        lambda x: F.when(~x["is_article"], "correction:amount")
+        .when(x["amount"].isNull(), "article:amount")
+        .otherwise("article:quantity"),
+    )
+    none = F.array().cast("array<string>")
     errors = F.array_distinct(
-        F.concat("_broken", F.coalesce("_bad", none), F.coalesce(repeated, none))
+        F.concat(
+            broken,
+            F.coalesce("_odd", none),
+            F.coalesce(bad_lines, none),
+            F.when(F.size("_single") != F.size(F.array_distinct("_single")), repeated).otherwise(none),
+        )
+    )
+    sign = lambda amount: signed(amount, F.col("type"))
+    lines = F.transform(
+        "_lines",
+        lambda x, i: F.struct(
+            (i + 1).cast("int").alias("line_pos"),
+            x["qty"].alias("qty"),
+            x["label"].alias("label"),
+            x["vat_code"].alias("vat_code"),
+            F.when(x["is_article"], sign(x["amount"])).alias("amount"),
+            F.when(~x["is_article"], sign(x["amount"])).alias("correction"),
+            F.lit(None).cast("string").alias("other_info"),
+        ),
+    )
+    columns = {name: F.col(name) for name in HEADER if name != "event"}
+    columns |= {name: sign(F.col(name)) for name in AMOUNTS}
+    columns["event"] = F.when(F.col("_events") > 0, _START["event"])
+    columns["lines"] = F.coalesce(lines, F.array())
+    columns["errors"] = errors
+    return computed_once(
+        picked, names, [columns[name].alias(name) for name in (*HEADER, "lines", "errors")]
     )
-    return computed_once(picked, names, [*HEADER, "lines", errors.alias("errors")])
 
 
 def parse_tickets(parsed: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Dates and months must not depend on where the cluster stands.
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method above 8000 bytes of code; generated code of that size would be
+    # interpreted for good, so such a stage is better off without whole-stage generation.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
