@@ -34,10 +34,10 @@ def _within(by) -> Window:
 
 
 def _carried(laid: DataFrame, by, summary: Column, carry) -> DataFrame:
-    """Per (chunk, group) that continues an earlier chunk: the value ``carry`` makes of the earlier ones.
+    """Per (chunk, group) that continues an earlier chunk: what ``carry`` makes of the earlier summaries.
 
-    ``summary`` is aggregated per chunk and group, partially before the shuffle. Only a chunk's
-    first group can continue, so there is at most one row per chunk.
+    ``summary`` is a number per chunk and group, so it is hash-aggregated, partially before the
+    shuffle. Only a chunk's first group can continue: there is at most one row per chunk.
     """
     parts = laid.groupBy(CHUNK, *by).agg(summary.alias("_part"))
     earlier = Window.partitionBy(*by).orderBy(CHUNK)
@@ -53,8 +53,16 @@ def _carried(laid: DataFrame, by, summary: Column, carry) -> DataFrame:
     )
 
 
-def _join_carried(rows: DataFrame, carried: DataFrame, by) -> DataFrame:
+def _value_at(laid: DataFrame, carried: DataFrame, column: str) -> DataFrame:
+    """``carried`` with the value that ``column`` has at the place it names."""
     # At most one row per chunk: the number of chunks bounds what is broadcast.
+    places = F.broadcast(carried.withColumnRenamed(CHUNK, "_to").withColumnRenamed("_carry", "_from"))
+    values = laid.select(F.col(PLACE).alias("_from"), F.col(column).alias("_carry"))
+    by = [c for c in carried.columns if c not in (CHUNK, "_carry")]
+    return values.join(places, "_from").select(F.col("_to").alias(CHUNK), *by, "_carry")
+
+
+def _join_carried(rows: DataFrame, carried: DataFrame, by) -> DataFrame:
     small = F.broadcast(carried.select(*(F.col(c).alias(f"_c{c}") for c in carried.columns)))
     same = F.col(CHUNK) == F.col(f"_c{CHUNK}")
     for c in by:
@@ -67,12 +75,13 @@ def previous_in_order(
 ) -> DataFrame:
     """Add the value ``column`` has in the previous row of the same group."""
     laid = lay_out(df, by, order, chunks)
-    # Wrapped, so that a NULL value and a missing row stay apart.
-    boxed = F.struct(column)
-    rows = laid.withColumn("_prev", F.lag(boxed).over(_within(by)))
-    carried = _carried(laid, by, F.max_by(boxed, PLACE), lambda part, w: F.lag(part).over(w))
-    joined = _join_carried(rows, carried, by)
-    value = F.coalesce(F.col("_prev"), F.col("_c_carry"))[column]
+    within = _within(by)
+    rows = laid.withColumns(
+        {"_prev": F.lag(column).over(within), "_first": F.row_number().over(within) == 1}
+    )
+    last_places = _carried(laid, by, F.max(PLACE), lambda part, w: F.lag(part).over(w))
+    joined = _join_carried(rows, _value_at(laid, last_places, column), by)
+    value = F.when(F.col("_first"), F.col("_c_carry")).otherwise(F.col("_prev"))
     return joined.select(*df.columns, value.alias(alias))
 
 
@@ -81,16 +90,15 @@ def fill_down(df: DataFrame, by, order, column: str, alias: str, chunks: int | N
     laid = lay_out(df, by, order, chunks)
     upto = _within(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = laid.withColumn("_filled", F.last(column, ignorenulls=True).over(upto))
-    summary = F.max_by(column, F.when(F.col(column).isNotNull(), F.col(PLACE)))
-    carried = _carried(
+    value_places = _carried(
         laid,
         by,
-        summary,
+        F.max(F.when(F.col(column).isNotNull(), F.col(PLACE))),
         lambda part, w: F.last(part, ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)
         ),
     )
-    joined = _join_carried(rows, carried, by)
+    joined = _join_carried(rows, _value_at(laid, value_places, column), by)
     return joined.select(*df.columns, F.coalesce("_filled", "_c_carry").alias(alias))
 
 

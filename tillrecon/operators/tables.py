@@ -22,6 +22,16 @@ def computed_once(df: DataFrame, keep, columns) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*columns))))
 
 
+def spread(scanned: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores, for costly work per row on an input of few splits.
+
+    The number of splits is known when the scan is planned. An input that already fills the cluster
+    is returned as it is, so nothing is shuffled at scale.
+    """
+    cores = scanned.sparkSession.sparkContext.defaultParallelism
+    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores)
+
+
 def is_sale(type_: Column, ticket_no: Column, types=fixed.SALE_TYPES) -> Column:
     return type_.isin(*types) & blank_to_null(ticket_no).isNotNull()
 

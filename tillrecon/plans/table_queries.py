@@ -521,7 +521,7 @@ def normalise_scalars(spark, sf_dir):
         F.when(key % 3 == 0, S.digits("o_orderkey")).otherwise(F.col("o_orderpriority")).alias("number_text"),
     )
     year = P.strict_year(F.col("year_text"))
-    return rows.select(
+    return tables.spread(rows).select(
         "o_orderkey",
         M.amount_text(F.when(key % 5 != 0, F.col("price"))).alias("amount_text"),
         P.iso_date(F.col("date_text")).cast("string").alias("iso_date"),
@@ -540,7 +540,7 @@ def normalise_scalars(spark, sf_dir):
 @query
 def journal_roundtrip(spark, sf_dir):
     """Tickets printed as journal blocks and parsed back."""
-    tickets = S.tickets(spark, sf_dir)
+    tickets = tables.spread(S.tickets(spark, sf_dir))
     blocks = tickets.select("block_id", S.block_text().alias("block"))
     parsed = journal.parse_tickets(journal.parse_blocks(blocks))
     return parsed.select(
@@ -554,7 +554,8 @@ def journal_roundtrip(spark, sf_dir):
 @query
 def journal_lines_roundtrip(spark, sf_dir):
     """Ticket lines printed as articles and corrections and parsed back."""
-    parsed = journal.parse_blocks(S.line_blocks(S.ticket_lines(spark, sf_dir)))
+    printed = tables.spread(S.ticket_lines(spark, sf_dir))
+    parsed = journal.parse_blocks(S.line_blocks(printed))
     lines = journal.parse_ticket_lines(parsed, ids=("block_id", "item", "part"))
     return lines.select(
         "block_id", "item", "part", "line_pos", "qty", "label", "vat_code",
@@ -565,7 +566,8 @@ def journal_lines_roundtrip(spark, sf_dir):
 @query
 def journal_rejects(spark, sf_dir):
     """Blocks that are broken, with the error found in each of them."""
-    parsed = journal.parse_blocks(S.damaged_blocks(S.tickets(spark, sf_dir)))
+    printed = tables.spread(S.tickets(spark, sf_dir))
+    parsed = journal.parse_blocks(S.damaged_blocks(printed))
     _, rejected = journal.reject_blocks(parsed, "quarantine")
     return rejected.select("block_id", F.array_join("errors", ",").alias("error"))
 
@@ -700,7 +702,7 @@ def file_roundtrip(spark, sf_dir):
     """Tickets written as journal files, one folder per shop, scanned and parsed back."""
     folder = new_folder(spark, "journals")
     text = F.concat(F.lit("1-----------------------"), S.block_text(euro=False))
-    S.tickets(spark, sf_dir).select("shop", text.alias("value")).write.partitionBy("shop").option(
+    tables.spread(S.tickets(spark, sf_dir)).select("shop", text.alias("value")).write.partitionBy("shop").option(
         "lineSep", "\n"
     ).text(folder)
     blocks = files.read_journals(spark, folder, ("SHOP=0", "SHOP=1"), pattern="part-*.txt")

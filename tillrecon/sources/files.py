@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tillrecon import fixed
 from tillrecon.functions.text import decode_cp1252, fail_unless
 from tillrecon.operators.journal import split_blocks
+from tillrecon.sources.staging import stage
 
 # Journals up to this size are read as one value; larger ones are cut into blocks by the scan.
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -76,14 +77,17 @@ def read_journals(
     spread over many tasks. Which way a file goes is decided by its size in the file listing; the
     other reader never opens it.
     """
-    small = read_binary(spark, root, pattern).filter(
-        F.col("_metadata.file_size") <= whole_file_bytes
-    )
-    small = small.select(
+    found = read_binary(spark, root, pattern)
+    size = F.col("_metadata.file_size")
+    small = found.filter(size <= whole_file_bytes).select(
         *_names(F.col("path"), root),
         F.posexplode(split_blocks(decode_cp1252(F.col("content")))).alias("block_pos", "block"),
     ).withColumn("block_pos", F.col("block_pos").cast("bigint"))
-    blocks = small.unionByName(_large_journals(spark, root, pattern, whole_file_bytes))
+    # Asks the listing only: no file is opened for it.
+    if found.filter(size > whole_file_bytes).select("path").isEmpty():
+        blocks = small
+    else:
+        blocks = small.unionByName(_large_journals(spark, root, pattern, whole_file_bytes))
     return with_shop(blocks, root, shops, on_unclear).withColumn(
         "block_id", F.concat_ws("#", "rel_path", F.col("block_pos").cast("string"))
     )
@@ -106,18 +110,16 @@ def _large_journals(spark, root, pattern, whole_file_bytes) -> DataFrame:
         )
     )
     # Position of a record in its file: its place within its split plus the records of the splits
-    # before. The second reading of the files only counts; there is one row per split.
+    # before. A reading that only counts gives one row per split. These are stored, so that Spark
+    # knows their size when it chooses between broadcasting them and shuffling both sides.
     splits = records.groupBy("path", "_start").agg(
         F.count("*").alias("_n"), F.min("_at").alias("_first")
     )
     before = Window.partitionBy("path").orderBy("_start")
-    splits = splits.select(
-        "path",
-        "_start",
-        "_first",
-        F.coalesce(
-            F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
+    earlier = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    splits = stage(
+        splits.select("path", "_start", "_first", F.coalesce(earlier, F.lit(0)).alias("_before")),
+        "splits",
     )
     position = F.col("_before") + F.col("_at") - F.col("_first")
     # Record 0 of a file is what stands before its first separator.
