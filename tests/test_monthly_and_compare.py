@@ -196,3 +196,13 @@ def test_expectations(spark):
     with pytest.raises(ValueError, match="b: expected 5.00, found 2.00; c: expected 0.00, found None"):
         checks.assert_expectations(metrics, wanted)
     checks.assert_expectations(metrics, wanted.filter("metric = 'a'"))
+
+
+def test_contract_text(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('0021', '01-04-2023', 25372BD, '75.00'), ('7', NULL, NULL, NULL) v(no, day, amount, qty)"
+    )
+    text = tables.contract_text(df, ["no"], ["day"], ["amount"], ["qty"])
+    assert [tuple(r) for r in text.collect()] == [("0021", "2023-04-01", "25372.00", "75"), ("7", "", "", "")]
+    with pytest.raises(TypeError):
+        tables.contract_text(df, ["amount"])

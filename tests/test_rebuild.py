@@ -79,6 +79,27 @@ def test_rebuild_and_outputs(spark, sources, tmp_path):
     assert len(rows["z1_matrix"]) == 2 and len(rows["coherence"]) == 4
 
 
+def test_written_outputs_and_their_report(spark, sources, tmp_path):
+    target = str(tmp_path / "target")
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), target, SETTINGS), R.TABLES)
+    declared = spark.createDataFrame(
+        [(2024, "2024-01", D("40.00"), None)], "year int, period string, ht20_declared decimal(18,2), vat20_declared decimal(18,2)"
+    )
+    folder = str(tmp_path / "out")
+    report = {r.output: r for r in R.write_outputs(stored, SETTINGS, folder, 2024, declared).collect()}
+    assert set(report) == {*R.OUTPUT_SOURCES, *R.TABLES}
+    z2 = report["z2_against_journal"]
+    assert (z2.sources, z2.n_read, z2.n_written) == (["payments", "z2_totals"], 5, 2)
+    assert "ttc: 42,00" in report["revenue"].totals
+    (row,) = spark.read.parquet(f"{folder}/declared").collect()
+    assert (row.gap_ht20, row.gap_vat20) == (D("2.00"), None)
+    lines = {r.ticket_no: r.ttc_gap for r in spark.read.parquet(f"{folder}/header_vs_lines").collect() if r.shop == "NORTH"}
+    assert lines == {"001": 0, "002": 0, "003": 0}
+    gaps = spark.read.parquet(f"{folder}/sequence").filter("shop = 'NORTH'").orderBy("internal_no").collect()
+    assert [r.gap for r in gaps] == [None, 1, 1]
+    assert spark.read.parquet(f"{folder}/internal_no_duplicates").count() == 0
+
+
 def test_a_failing_run_leaves_the_published_one(spark, sources, tmp_path):
     target = str(tmp_path / "target")
     first = R.rebuild(spark, str(sources), target, SETTINGS)

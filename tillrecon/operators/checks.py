@@ -51,10 +51,16 @@ def sequence_gaps(
     return previous.select(*dict.fromkeys([*by, *columns]), gap.cast("decimal(20,0)").alias("gap"))
 
 
-def occurrences(df: DataFrame, *keys: str, alias: str = "occurrences") -> DataFrame:
-    """How often each key occurs; blank keys form a group but are not counted, as in a pivot."""
-    counted = F.count("*") if len(keys) > 1 else F.count(keys[0])
-    return df.groupBy(*keys).agg(counted.alias(alias))
+def occurrences(
+    df: DataFrame, *keys: str, alias: str = "occurrences", counted: str | None = None
+) -> DataFrame:
+    """How often each key occurs; blank keys form a group but are not counted, as in a pivot.
+
+    Of several keys every row is counted, unless ``counted`` names the one that has to be filled.
+    """
+    if counted is None and len(keys) == 1:
+        counted = keys[0]
+    return df.groupBy(*keys).agg(F.count(counted or "*").alias(alias))
 
 
 def duplicates(df: DataFrame, *keys: str, alias: str = "occurrences") -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillrecon import fixed
-from tillrecon.functions.periods import closing_period
-from tillrecon.functions.text import blank_to_null
+from tillrecon.functions.money import amount_text, whole_text
+from tillrecon.functions.periods import closing_period, iso_date
+from tillrecon.functions.text import blank_to_null, require_text
 
 HEADER_ORDER = ("ticket_date", "ticket_time", "internal_no")
 LINE_ORDER = (*HEADER_ORDER, "line_pos")
@@ -74,3 +75,21 @@ def with_closing_period(reports: DataFrame, file_name: str = "file_name", on_mis
 def in_order(df: DataFrame, *columns: str) -> DataFrame:
     """Totally ordered output; NULLs first, as in the staged files."""
     return df.orderBy(*(F.col(c).asc_nulls_first() for c in columns))
+
+
+def contract_text(
+    df: DataFrame, identifiers=(), dates=(), amounts=(), quantities=()
+) -> DataFrame:
+    """Rows in the text form of the staged files: ISO dates, two-decimal amounts, whole quantities.
+
+    Identifiers must still be text. NULL becomes empty text, a value without such a form fails the job.
+    """
+    require_text(df, identifiers)
+    as_date = lambda c: F.coalesce(iso_date(F.col(c).cast("string")).cast("string"), F.lit(""))
+    return df.withColumns(
+        {
+            **{c: as_date(c) for c in dates},
+            **{c: amount_text(F.col(c)) for c in amounts},
+            **{c: whole_text(F.col(c)) for c in quantities},
+        }
+    )

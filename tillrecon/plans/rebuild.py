@@ -117,10 +117,41 @@ def rebuild(
     return sinks.publish_if_valid(spark, target_root, write, validate, publish)
 
 
-def outputs(stored: Mapping[str, DataFrame], settings: Settings, year: int | None = None) -> dict[str, DataFrame]:
-    """The monthly outputs by name, all lazy, each for all shops at once.
+# Immediate sources of every output.
+OUTPUT_SOURCES = {
+    "coherence": ("tickets",),
+    "sequence": ("tickets",),
+    "internal_no_occurrences": ("tickets",),
+    "internal_no_duplicates": ("internal_no_occurrences",),
+    "ticket_no_occurrences": ("tickets",),
+    "ticket_no_duplicates": ("ticket_no_occurrences",),
+    "header_vs_lines": ("tickets", "ticket_lines"),
+    "label_occurrences": ("ticket_lines",),
+    "vat_occurrences": ("ticket_lines",),
+    "z1_totals": ("report_lines",),
+    "z2_totals": ("report_lines",),
+    "z1_matrix": ("report_lines",),
+    "z2_control": ("z2_totals",),
+    "modes_compared": ("z2_totals",),
+    "revenue": ("tickets",),
+    "payments": ("tickets",),
+    "z2_against_journal": ("z2_totals", "payments"),
+    "z1_against_journal": ("z1_totals", "revenue"),
+    "revenue_all_shops": ("revenue",),
+    "declared": ("revenue_all_shops",),
+}
+
+
+def outputs(
+    stored: Mapping[str, DataFrame],
+    settings: Settings,
+    year: int | None = None,
+    declared: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The outputs by name, each for all shops at once; all lazy but ``sequence``, which stores its order.
 
     ``year`` restricts the comparisons; it is applied to both sides before they are joined.
+    ``declared`` (year, period, ht20_declared, vat20_declared) adds the comparison with declared months.
     """
     keys = ("shop", "year", "period")
     sales = tables.sales_only(stored["tickets"])
@@ -147,8 +178,26 @@ def outputs(stored: Mapping[str, DataFrame], settings: Settings, year: int | Non
     column = monthly.safe_name
     measures = [f"{column(n)}_{m}" for n in settings.natures for m in ("qty", "amount")]
 
+    lines = tables.ticket_lines_wide(stored["ticket_lines"], sales.select("block_id", "shop"))
+    by_internal_no = checks.occurrences(sales, "shop", "internal_no")
+    by_ticket_no = checks.occurrences(sales, "shop", "ticket_no")
+    repeated = lambda counted: counted.filter("occurrences > 1")
+    all_shops = compare.consolidate(revenue, settings.shops, monthly.REVENUE)
+
     found = {
         "coherence": checks.header_coherence(sales),
+        "sequence": checks.sequence_gaps(sales),
+        "internal_no_occurrences": by_internal_no,
+        "internal_no_duplicates": repeated(by_internal_no),
+        "ticket_no_occurrences": by_ticket_no,
+        "ticket_no_duplicates": repeated(by_ticket_no),
+        "header_vs_lines": checks.header_vs_lines(
+            checks.ticket_totals_by_join(
+                stored["ticket_lines"], sales, keys=("shop", "ticket_no", "ttc")
+            )
+        ),
+        "label_occurrences": checks.occurrences(lines, "shop", "label", counted="label"),
+        "vat_occurrences": checks.occurrences(lines, "shop", "vat_code", counted="vat_code"),
         "z1_totals": z1,
         "z2_totals": z2,
         "z1_matrix": monthly.occurrence_matrix(
@@ -174,8 +223,17 @@ def outputs(stored: Mapping[str, DataFrame], settings: Settings, year: int | Non
         ),
         "revenue": revenue,
         "payments": payments,
-        "revenue_all_shops": compare.consolidate(revenue, settings.shops, monthly.REVENUE),
+        "revenue_all_shops": all_shops,
     }
+    if declared is not None:
+        found["declared"] = compare.compare_declared(
+            all_shops,
+            declared,
+            {
+                "gap_ht20": ("total_total_ht", "ht20_declared"),
+                "gap_vat20": ("total_total_vat20", "vat20_declared"),
+            },
+        )
     if settings.retained_modes:
         kept = lambda totals: monthly.retained_mode(totals, dict(settings.retained_modes)).drop("mode")
         found["z2_against_journal"] = compare.reconcile(
@@ -207,3 +265,38 @@ def outputs(stored: Mapping[str, DataFrame], settings: Settings, year: int | Non
             strict=True,
         )
     return found
+
+
+def write_outputs(
+    stored: Mapping[str, DataFrame],
+    settings: Settings,
+    folder: str,
+    year: int | None = None,
+    declared: DataFrame | None = None,
+) -> DataFrame:
+    """Write every output below ``folder`` and a report on them; returns the report.
+
+    Rows are counted while they are written. The report has one row per output: its sources, the rows
+    read, selected and written, and its control totals. More rows read than the sources wrote is an
+    error.
+    """
+    spark = next(iter(stored.values())).sparkSession
+    log = lineage.Lineage()
+    totals = None
+    for name, df in outputs(stored, settings, year, declared).items():
+        log.declare(name, *OUTPUT_SOURCES[name])
+        log.observed(df, name, "written").write.parquet(f"{folder}/{name}")
+        written = spark.read.parquet(f"{folder}/{name}")
+        one = lineage.numeric_totals(written).withColumn("output", F.lit(name))
+        totals = one if totals is None else totals.unionByName(one)
+    edges = log.edges(spark)
+    base = lineage.row_counts(**{name: stored[name] for name in TABLES}).select(
+        F.col("metric").alias("output"), F.col("value").cast("bigint").alias("n")
+    )
+    counters = lineage.lineage(log.counts(spark).select("output", "n").unionByName(base), edges)
+    too_many = lineage.check_lineage(counters, edges).limit(20).collect()
+    if too_many:
+        raise ValueError("more rows read than written by the sources: " + ", ".join(r["output"] for r in too_many))
+    report_rows = lineage.run_report(counters, edges, totals)
+    tables.in_order(report_rows, "output").write.json(f"{folder}/report")
+    return spark.read.schema(report_rows.schema).json(f"{folder}/report")
