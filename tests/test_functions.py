@@ -47,6 +47,10 @@ def test_number_or_null(value):
 
 def test_iso_date(value):
     assert value(P.iso_date, "01-04-2023", "2023-04-01", "20230401", "1-4-2023", "", None) == [date(2023, 4, 1)] * 4 + [None] * 2
+    assert value(P.iso_date, "202311", "2023111", "2023-1- 1") == [date(2023, 1, 1), date(2023, 11, 1), date(2023, 1, 1)]
+    assert value(P.printed_date, "2023-04-01", "29-02-2023", "29-02-2024", " 1-4-2023 ", "01-01-0000") == [
+        None, None, date(2024, 2, 29), date(2023, 4, 1), None,
+    ]
     for wrong in ("2023-02-31", "04/01/2023", "2023-04-01 00:00"):
         with pytest.raises(Exception, match="not a date"):
             value(P.iso_date, wrong)

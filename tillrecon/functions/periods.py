@@ -7,31 +7,29 @@ from pyspark.sql import Column, functions as F
 from tillrecon import fixed
 from tillrecon.functions.text import fail_unless, full_match, strip
 
-_DAY = r"(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
+_DAY = r"(?: (?=[1-9](?!\d)))?(3[01]|[12]\d|0[1-9]|[1-9])"
 _MONTH = r"(1[0-2]|0[1-9]|[1-9])"
 _YEAR = r"(?!0000)(\d{4})"
 
 
-def _date_by(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
+def _date_by(text: Column, pattern: str, year_month_day: str) -> Column:
     whole = rf"\A{pattern}\z"
-    part = lambda index: strip(F.regexp_extract(text, whole, index))
-    padded = F.concat_ws(
-        "-", part(year), F.lpad(part(month), 2, "0"), F.lpad(part(day), 2, "0")
+    return F.when(
+        text.rlike(whole), F.try_to_date(F.regexp_replace(text, whole, year_month_day), "yyyy-M-d")
     )
-    return F.when(text.rlike(whole), F.try_to_date(padded, "yyyy-MM-dd"))
 
 
 def printed_date(text: Column) -> Column:
     """``dd-MM-yyyy`` to DATE, NULL when no such day exists."""
-    return _date_by(strip(text), f"{_DAY}-{_MONTH}-{_YEAR}", 3, 2, 1)
+    return _date_by(strip(text), f"{_DAY}-{_MONTH}-{_YEAR}", "$3-$2-$1")
 
 
 def iso_date(text: Column) -> Column:
     """ISO, compact or printed date text to DATE; anything else fails the job, blank is NULL."""
     cleaned = strip(text)
     found = F.coalesce(
-        _date_by(cleaned, f"{_YEAR}-{_MONTH}-{_DAY}", 1, 2, 3),
-        _date_by(cleaned, f"{_YEAR}{_MONTH}{_DAY}", 1, 2, 3),
+        _date_by(cleaned, f"{_YEAR}-{_MONTH}-{_DAY}", "$1-$2-$3"),
+        _date_by(cleaned, f"{_YEAR}{_MONTH}{_DAY}", "$1-$2-$3"),
         printed_date(cleaned),
     )
     blank = cleaned.isNull() | (cleaned == "")

@@ -17,10 +17,14 @@ CHUNK, PLACE = "_chunk", "_place"
 
 
 def lay_out(df: DataFrame, by, order, chunks: int | None = None) -> DataFrame:
-    """Store ``df`` in ordered chunks."""
+    """Store ``df`` in ordered chunks.
+
+    Their number is the session's shuffle partitions, of which adaptive execution merges neighbours
+    that are small; ``chunks`` fixes it.
+    """
     keys = [F.col(c).asc_nulls_first() for c in (*by, *order)]
-    count = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions(*keys)
     return stage(
         ordered.withColumns(
             {CHUNK: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}

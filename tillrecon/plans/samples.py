@@ -86,6 +86,8 @@ def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         decimal("l_extendedprice").alias("amount"),
         returned.alias("_returned"),
         F.to_date("l_shipdate").alias("ship_date"),
+        # Where the row stands in its file: tells exact copies apart.
+        F.concat_ws("#", "_metadata.file_name", F.col("_metadata.row_index").cast("string")).alias("row_id"),
     )
     tenth = F.expr("CAST((CAST(amount * 100 AS BIGINT) DIV 10) * 0.01BD AS DECIMAL(18,2))")
     return lines.withColumn("correction", F.when(F.col("_returned"), -tenth)).drop("_returned")

@@ -332,6 +332,14 @@ SELECT o_orderkey,
        CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS number
 FROM orders"""
 
+ORACLES["contract_text"] = f"""
+WITH {TICKETS}
+SELECT internal_no, strftime(ticket_date, '%Y-%m-%d') AS ticket_date,
+       CAST(CAST(ttc / 100.0 AS DECIMAL(18, 2)) AS VARCHAR) AS ttc,
+       coalesce(CAST(CAST(pay_card / 100.0 AS DECIMAL(18, 2)) AS VARCHAR), '') AS pay_card,
+       CAST(block_id % 50 AS VARCHAR) AS qty
+FROM tickets"""
+
 ORACLES["journal_roundtrip"] = f"""
 WITH {TICKETS},
 k AS (SELECT *, means <> '5' AS sold, CASE WHEN type = 'P' THEN -1 ELSE 1 END AS sign FROM tickets)

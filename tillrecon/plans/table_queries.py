@@ -306,11 +306,11 @@ def ordered_headers(spark, sf_dir):
 def ordered_lines(spark, sf_dir):
     """Position of every ticket line in its shop by date, time, internal number and line."""
     lines = S.ticket_lines(spark, sf_dir).select(
-        "block_id", "line_pos", "part", "supplier", "qty", "amount", "ship_date"
+        "block_id", "line_pos", "part", "supplier", "qty", "amount", "ship_date", "row_id"
     )
     tickets = S.tickets(spark, sf_dir).select("block_id", "shop", *tables.HEADER_ORDER)
     wide = tables.ticket_lines_wide(lines, tickets)
-    order = (*tables.LINE_ORDER, "part", "supplier", "amount", "qty", "ship_date")
+    order = (*tables.LINE_ORDER, "part", "supplier", "amount", "qty", "ship_date", "row_id")
     numbered = ordering.number_in_order(wide, ("shop",), order, "position")
     return numbered.select("shop", "position", "block_id", "line_pos", "part", S.cents("amount"))
 
@@ -534,6 +534,18 @@ def normalise_scalars(spark, sf_dir):
     )
 
 
+@query
+def contract_text(spark, sf_dir):
+    """Tickets in the text form of the staged files."""
+    tickets = S.tickets(spark, sf_dir).select(
+        "internal_no", F.date_format("ticket_date", "dd-MM-yyyy").alias("ticket_date"), "ttc", "pay_card",
+        (F.col("block_id") % 50).cast("decimal(10,2)").alias("qty"),
+    )
+    return tables.contract_text(
+        tables.spread(tickets), ["internal_no"], ["ticket_date"], ["ttc", "pay_card"], ["qty"]
+    )
+
+
 # --- texts ------------------------------------------------------------------------------------------
 
 
