@@ -71,10 +71,14 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as ticket lines; returned ones carry a correction."""
+def ticket_lines(spark: SparkSession, sf_dir: str, row_id: bool = False) -> DataFrame:
+    """Line items as ticket lines; returned ones carry a correction.
+
+    ``row_id`` adds where the row stands in its file, which tells exact copies apart.
+    """
     items = table(spark, sf_dir, "lineitem")
     returned = F.col("l_returnflag") == "R"
+    place = F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string")
     lines = items.select(
         F.col("l_orderkey").alias("block_id"),
         F.col("l_linenumber").alias("line_pos"),
@@ -86,8 +90,7 @@ def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         decimal("l_extendedprice").alias("amount"),
         returned.alias("_returned"),
         F.to_date("l_shipdate").alias("ship_date"),
-        # Where the row stands in its file: tells exact copies apart.
-        F.concat_ws("#", "_metadata.file_name", F.col("_metadata.row_index").cast("string")).alias("row_id"),
+        *([F.concat_ws("#", *place).alias("row_id")] if row_id else []),
     )
     tenth = F.expr("CAST((CAST(amount * 100 AS BIGINT) DIV 10) * 0.01BD AS DECIMAL(18,2))")
     return lines.withColumn("correction", F.when(F.col("_returned"), -tenth)).drop("_returned")

@@ -305,7 +305,7 @@ def ordered_headers(spark, sf_dir):
 @query
 def ordered_lines(spark, sf_dir):
     """Position of every ticket line in its shop by date, time, internal number and line."""
-    lines = S.ticket_lines(spark, sf_dir).select(
+    lines = S.ticket_lines(spark, sf_dir, row_id=True).select(
         "block_id", "line_pos", "part", "supplier", "qty", "amount", "ship_date", "row_id"
     )
     tickets = S.tickets(spark, sf_dir).select("block_id", "shop", *tables.HEADER_ORDER)
