@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from tillrecon.operators import checks, compare, monthly, tables
 
-SUMS = "year int, period string, {}"
-
 
 def frame(spark, columns, *rows):
     """Rows of (year, period, amounts…); amounts are decimals."""

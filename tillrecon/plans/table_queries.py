@@ -35,7 +35,7 @@ def query(function):
 # --- monthly totals and their comparison -------------------------------------------------------
 
 
-def _shipped(spark, sf_dir, by=()) -> DataFrame:
+def _shipped(spark, sf_dir) -> DataFrame:
     """Line items as the report side: net, tax and total per month."""
     items = S.table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("date"), S.decimal("l_extendedprice").alias("ttc")
