@@ -281,10 +281,10 @@ WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), sets AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM words
 ), classes AS (
-  SELECT list_sort(s) AS s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+  SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
 ), flat AS (
   SELECT rep, n, unnest(s) AS g FROM classes
 ), links AS (
@@ -302,5 +302,5 @@ WITH RECURSIVE words AS (
 )
 SELECT x.doc_id, CAST(len(x.s) AS BIGINT) AS n_shingles, coalesce(m.comp, x.doc_id) AS component_id,
   x.doc_id = coalesce(m.comp, x.doc_id) AS kept
-FROM sets x LEFT JOIN classes c ON len(x.s) > 0 AND c.s = list_sort(x.s) LEFT JOIN comp m ON m.node = c.rep
+FROM sets x LEFT JOIN classes c ON len(x.s) > 0 AND c.s = x.s LEFT JOIN comp m ON m.node = c.rep
 """

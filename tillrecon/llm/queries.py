@@ -1,11 +1,14 @@
 """Queries of the operators on the driver's tables, and the SQL of those that SQL can express."""
 
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
+from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 
 QUERIES = {
+    "op1_substring": op1_substring,
     "op10_minhash": op10_minhash,
 }
 
 ORACLES = {
+    "op1_substring": OP1_SQL,
     "op10_minhash": OP10_SQL,
 }
