@@ -1,9 +1,11 @@
 """Queries of the operators on the driver's tables, and the SQL of those that SQL can express."""
 
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
+from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 
 QUERIES = {
+    "op3_quality": op3_quality,
     "op1_substring": op1_substring,
     "op10_minhash": op10_minhash,
 }
