@@ -1,10 +1,14 @@
 """Queries of the operators on the driver's tables, and the SQL of those that SQL can express."""
 
+from tillrecon.llm.mixing import op6_mixing
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
+from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op6_mixing": op6_mixing,
     "op3_quality": op3_quality,
     "op1_substring": op1_substring,
     "op10_minhash": op10_minhash,
