@@ -5,8 +5,10 @@ from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
+from tillrecon.llm.url_filters import OP9_SQL, op9_urls
 
 QUERIES = {
+    "op9_urls": op9_urls,
     "op2_sentencepiece": op2_sentencepiece,
     "op6_mixing": op6_mixing,
     "op3_quality": op3_quality,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op9_urls": OP9_SQL,
     "op1_substring": OP1_SQL,
     "op10_minhash": OP10_SQL,
 }
