@@ -1,6 +1,7 @@
 """Queries of the operators on the driver's tables, and the SQL of those that SQL can express."""
 
 from tillrecon.llm.mixing import op6_mixing
+from tillrecon.llm.license_scan import op7_licenses
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
@@ -8,6 +9,7 @@ from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 from tillrecon.llm.url_filters import OP9_SQL, op9_urls
 
 QUERIES = {
+    "op7_licenses": op7_licenses,
     "op9_urls": op9_urls,
     "op2_sentencepiece": op2_sentencepiece,
     "op6_mixing": op6_mixing,
