@@ -7,8 +7,10 @@ from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 from tillrecon.llm.url_filters import OP9_SQL, op9_urls
+from tillrecon.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
+    "op8_warc": op8_warc,
     "op7_licenses": op7_licenses,
     "op9_urls": op9_urls,
     "op2_sentencepiece": op2_sentencepiece,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op8_warc": OP8_SQL,
     "op9_urls": OP9_SQL,
     "op1_substring": OP1_SQL,
     "op10_minhash": OP10_SQL,
