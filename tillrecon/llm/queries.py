@@ -1,15 +1,19 @@
 """Queries of the operators on the driver's tables, and the SQL of those that SQL can express."""
 
 from tillrecon.llm.mixing import op6_mixing
+from tillrecon.llm.hamming_index import op5_hamming
 from tillrecon.llm.license_scan import op7_licenses
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
+from tillrecon.llm.suffix_dedup import op4_suffix
 from tillrecon.llm.url_filters import OP9_SQL, op9_urls
 from tillrecon.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
+    "op4_suffix": op4_suffix,
+    "op5_hamming": op5_hamming,
     "op8_warc": op8_warc,
     "op7_licenses": op7_licenses,
     "op9_urls": op9_urls,
