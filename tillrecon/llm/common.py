@@ -61,7 +61,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     with _shuffle_cleanup(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 # ---------------------------------------------------------------- Arrow batches
@@ -105,6 +115,16 @@ class Buffer:
         return out
 
 
+def through(df: DataFrame, inputs: list, run, added: list[tuple[str, str]]) -> DataFrame:
+    """``df`` through ``run``, which gets its columns and ``inputs`` last, and puts ``added`` in their place."""
+    kept = [c for c in df.columns if c not in {n for n, _ in added}]
+    names = [f"c{i}" for i in range(len(kept))]  # any names may occur in the input
+    given = df.select(*[df[f"`{c}`"].alias(n) for c, n in zip(kept, names, strict=True)], *inputs)
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[: len(kept)]] + [f"{n} {t}" for n, t in added])
+    out = given.mapInArrow(run, schema)
+    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *[n for n, _ in added])
+
+
 # ---------------------------------------------------------------- hashes
 
 _rng = np.random.default_rng(20240517)

@@ -1,11 +1,14 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Documents become sets of word shingles. Equal sets collapse first: only the smallest id of each class
-goes on. Signatures of the classes are banded; within a bucket, members are compared with a few centres
-first, and members that are still in different components afterwards with each other. Signatures of a
-candidate pair are compared in batches; after each batch a pair is pruned if the posterior probability
-of a similarity at or above the threshold (uniform prior) is below ``miss``. What survives is confirmed
-on the full sets. Components of the confirmed links give one kept document each.
+goes on. Signatures of the classes are banded; each member of a bucket is compared with one centre
+first, and members that are still in different components afterwards with each other, bucket by bucket.
+Signatures of a candidate pair are compared in batches; after each batch a pair is pruned if the posterior
+probability of a similarity at or above the threshold (uniform prior) is below ``miss``. What survives is
+confirmed on the full sets. Components of the confirmed links give one kept document each.
+
+Large centres and buckets are salted: a task holds one centre, or the members of one bucket outside its
+first component, while the others stream past. Only what joins two components is emitted.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; a text with fewer words
 than a shingle is one shingle as a whole; rows with the same id are one node; a row without an id is
@@ -24,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tillrecon.llm.common import (
     Buffer,
-    batch_of,
     components,
     mix,
     rolling,
@@ -32,12 +34,13 @@ from tillrecon.llm.common import (
     signed,
     span_hashes,
     stage,
+    unstage,
     words_of,
 )
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
-SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sig binary"
+SET_SCHEMA = "doc_id long, n long, s1 long, s2 long, sig binary, keys array<long>"
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -60,8 +63,20 @@ def signature(values: np.ndarray, multipliers: np.ndarray, block: int = 2048) ->
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def _sets(shingle_words: int, n_hashes: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sig", pa.binary())])
+def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for each band of ``rows`` hashes."""
+    values = values[: len(values) // rows * rows].reshape(-1, rows).astype(np.uint64)
+    keys = np.arange(len(values), dtype=np.uint64) + np.uint64(1)
+    for i in range(rows):
+        keys = mix(keys * np.uint64(0x2545F4914F6CDD1D) + values[:, i])
+    return keys
+
+
+def _sets(shingle_words: int, n_hashes: int, band_rows: int):
+    """Sets as sizes and sums; of each signature the band keys, and a byte of each hash for the screen."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sig", pa.binary()), ("keys", pa.list_(pa.int64()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = _multipliers(n_hashes)
@@ -72,9 +87,10 @@ def _sets(shingle_words: int, n_hashes: int):
                 if len(have):
                     # Two independent sums over the set: equal sets, and only they, share both.
                     sums = np.array([mix(have).sum(), mix(have ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64).view(np.int64)
-                    out.add(doc_id, len(have), int(sums[0]), int(sums[1]), signature(have, multipliers).tobytes())
+                    values = signature(have, multipliers)
+                    out.add(doc_id, len(have), int(sums[0]), int(sums[1]), values.astype(np.uint8).tobytes(), signed(band_keys(values, band_rows)))
                 else:
-                    out.add(doc_id, 0, 0, 0, None)
+                    out.add(doc_id, 0, 0, 0, None, None)
                 if out.full():
                     yield out.take()
         yield out.take()
@@ -100,176 +116,238 @@ def prune_bounds(n_hashes: int, batch: int, threshold: float, miss: float) -> li
     return bounds
 
 
-def _screen(bounds: list[tuple[int, int]]):
-    """Pairs whose signatures survive every batch."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _screened(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Rows of two arrays of signatures that survive every batch."""
+    alive, same, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
+    for n, fewest in bounds:
+        same = same + (a[alive, done:n] == b[alive, done:n]).sum(axis=1)
+        keep = same >= fewest
+        alive, same, done = alive[keep], same[keep], n
+    return alive
 
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
-            alive, same, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
-            for n, fewest in bounds:
-                same = same + (a[alive, done:n] == b[alive, done:n]).sum(axis=1)
-                keep = same >= fewest
-                alive, same, done = alive[keep], same[keep], n
-            yield batch_of(schema, [batch.column(0).take(pa.array(alive)), batch.column(1).take(pa.array(alive))])
 
-    return run
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two ascending sets."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    n = int((both[1:] == both[:-1]).sum())
+    return n > 0 and 100 * n >= percent * (len(a) + len(b) - n)
 
 
-def _confirm(shingle_words: int, percent: int):
-    """Pairs (a, text a, b, text b) with 100 * intersection >= percent * union on the full sets."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _sig(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8)
 
-    def run(batches):
-        kept_id, kept = None, None  # pairs come sorted by a
-        for batch in batches:
-            out = Buffer(schema)
-            for a, text_a, b, text_b in rows_of(batch):
-                if a != kept_id:
-                    kept_id, kept = a, shingles(text_a, shingle_words)
-                other = shingles(text_b, shingle_words)
-                small, large = sorted((len(kept), len(other)))
-                if 100 * small < percent * large:
-                    continue
-                both = len(np.intersect1d(kept, other, assume_unique=True))
-                if both and 100 * both >= percent * (len(kept) + len(other) - both):
-                    out.add(a, b)
-            yield out.take()
 
-    return run
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _bands(rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def _with_centre(bounds: list[tuple[int, int]], shingle_words: int, percent: int):
+    """Rows come by centre and salt, the centre itself first: links of members with their centre."""
 
     def run(batches):
+        out, key = Buffer(_LINK), None
         for batch in batches:
-            out = Buffer(schema)
-            for doc_id, sig in rows_of(batch):
-                values = np.frombuffer(sig, np.uint32).astype(np.uint64)
-                values = values[: len(values) // rows * rows].reshape(-1, rows)
-                key = np.arange(len(values), dtype=np.uint64) + np.uint64(1)
-                for i in range(rows):
-                    key = mix(key * np.uint64(0x2545F4914F6CDD1D) + values[:, i])
-                out.add(doc_id, signed(key).tolist())
-            yield out.take()
+            for c, salt, kind, doc_id, sig, text in rows_of(batch):
+                if (c, salt) != key:
+                    key, centre, centre_sig = (c, salt), None, None
+                if not kind:
+                    centre, centre_sig = shingles(text, shingle_words), _sig(sig)[None, :]
+                elif centre is not None and len(_screened(centre_sig, _sig(sig)[None, :], bounds)):
+                    if linked(centre, shingles(text, shingle_words), percent):
+                        out.add(c, doc_id)
+                if out.full():
+                    yield out.take()
+        yield out.take()
 
     return run
 
 
-def _rest(bounds: list[tuple[int, int]], tile: int = 512):
-    """Within the buckets of a task: plausible pairs of different components, by tiles of signatures."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    n_all, fewest = bounds[-1]
-
-    def pairs(ids, comps, sigs, out):
-        for i in range(0, len(ids), tile):
-            for j in range(i, len(ids), tile):
-                apart = comps[i : i + tile, None] != comps[None, j : j + tile]
-                if i == j:
-                    apart = np.triu(apart, 1)
-                x, y = np.nonzero(apart)
-                for at in range(0, len(x), 65536):
-                    p, q = x[at : at + 65536], y[at : at + 65536]
-                    good = (sigs[i + p] == sigs[j + q]).sum(axis=1) >= fewest
-                    for u, v in zip(ids[i + p[good]].tolist(), ids[j + q[good]].tolist(), strict=True):
-                        out.add(min(u, v), max(u, v))
-                    if out.full():
-                        yield out.take()
+class _Bucket:
+    """Members of one bucket outside its first component, and what they are found to be linked with."""
+
+    def __init__(self, bounds, shingle_words: int, percent: int):
+        self.bounds, self.words, self.percent = bounds, shingle_words, percent
+        self.ids, self.comps, self.sigs, self.texts, self.sets, self.root = [], [], [], [], {}, {}
+        self.matrix = None
+
+    def hold(self, doc_id: int, comp: int, sig: bytes, text: str) -> None:
+        self.ids.append(doc_id)
+        self.comps.append(comp)
+        self.sigs.append(_sig(sig))
+        self.texts.append(text)
+
+    def _set(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            self.sets[i] = shingles(self.texts[i], self.words)
+        return self.sets[i]
+
+    def _find(self, comp: int) -> int:
+        while (up := self.root.get(comp, comp)) != comp:
+            comp = up
+        return comp
+
+    def _merge(self, a: int, b: int) -> None:
+        self.root[max(a, b)] = min(a, b)
+
+    def meet(self, doc_id: int, comp: int, sig: np.ndarray, text: str | None, own: np.ndarray | None, before: int | None = None):
+        """Links of a document with the held ones that are not yet in its component."""
+        if self.matrix is None:
+            self.matrix = np.stack(self.sigs) if self.sigs else np.zeros((0, 1), np.uint8)
+        some = np.arange(len(self.ids) if before is None else before)
+        some = some[[self._find(self.comps[i]) != self._find(comp) for i in some.tolist()]] if len(some) else some
+        for i in some[_screened(self.matrix[some], np.broadcast_to(sig, (len(some), len(sig))), self.bounds)].tolist() if len(some) else ():
+            mine, theirs = self._find(comp), self._find(self.comps[i])
+            if mine == theirs:
+                continue
+            if own is None:
+                own = shingles(text, self.words)
+            if linked(own, self._set(i), self.percent):
+                self._merge(mine, theirs)
+                yield min(doc_id, self.ids[i]), max(doc_id, self.ids[i])
+
+    def among(self):
+        for j in range(1, len(self.ids)):
+            yield from self.meet(self.ids[j], self.comps[j], self.sigs[j], self.texts[j], self.sets.get(j), j)
+
+
+def _within(bounds: list[tuple[int, int]], shingle_words: int, percent: int):
+    """Rows come by bucket and salt; members outside the first component precede those within it."""
 
     def run(batches):
-        out, key, held = Buffer(schema), None, []
+        out, key, bucket, done = Buffer(_LINK), None, None, True
 
         def close():
-            if len(held) > 1:
-                ids = np.array([h[0] for h in held])
-                comps = np.array([h[1] for h in held])
-                sigs = np.frombuffer(b"".join(h[2] for h in held), np.uint32).reshape(len(held), -1)
-                yield from pairs(ids, comps, sigs, out)
+            nonlocal done
+            if not done and key[1] == 0:
+                for link in bucket.among():
+                    out.add(*link)
+            done = True
 
         for batch in batches:
-            for k, doc_id, comp, sig in rows_of(batch):
-                if k != key:
-                    yield from close()
-                    key, held = k, []
-                held.append((doc_id, comp, sig))
-        yield from close()
+            for k, salt, kind, doc_id, comp, sig, text in rows_of(batch):
+                if (k, salt) != key:
+                    if key is not None:
+                        close()
+                    key, bucket, done = (k, salt), _Bucket(bounds, shingle_words, percent), False
+                if not kind:
+                    bucket.hold(doc_id, comp, sig, text)
+                else:
+                    close()
+                    for link in bucket.meet(doc_id, comp, _sig(sig), text, None):
+                        out.add(*link)
+                if out.full():
+                    yield out.take()
+        if key is not None:
+            close()
         yield out.take()
 
     return run
 
 
+#: Members of a bucket, or of a centre, that one task takes.
+SALT_ROWS = 4096
+
+
+def _salts(n):
+    return (F.floor((n - 1) / SALT_ROWS) + 1).cast("int")
+
+
+def _salt(doc_id, salts):
+    return F.pmod(F.xxhash64(doc_id), salts).cast("int").alias("salt")
+
+
+def _copies(salts):
+    return F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = 5,
     percent: int = 80,
-    n_hashes: int = 128,
-    band_rows: int = 5,
+    n_hashes: int = 192,
+    band_rows: int = 6,
     batch: int = 32,
-    miss: float = 1e-5,
+    miss: float = 1e-4,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of ``docs`` (doc_id, text).
 
     ``percent`` is the similarity of a link in hundredths, ``miss`` the probability with which pruning may
     lose a link. A pair of that similarity shares one of the bands with probability
-    1 - (1 - s^band_rows)^(n_hashes // band_rows): 0.99995 by default.
+    1 - (1 - s^band_rows)^(n_hashes // band_rows): 0.99994 by default.
     """
     bounds = prune_bounds(n_hashes, batch, percent / 100, miss)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    sets = stage(texts.mapInArrow(_sets(shingle_words, n_hashes), SET_SCHEMA), "sets")
+    signed_sets = stage(texts.mapInArrow(_sets(shingle_words, n_hashes, band_rows), SET_SCHEMA), "signatures")
 
     # Classes of equal sets; the smallest id stands for its class.
-    full = sets.where("n > 0 and doc_id is not null")
-    classes = stage(full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = full.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    reps = stage(reps.groupBy("doc_id").agg(F.min("sig").alias("sig")), "reps")
-
-    keys = reps.mapInArrow(_bands(band_rows), "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
-    mixed = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("i"))
-    centres = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("c1"), F.min(mixed)["i"].alias("c2"))
-    buckets = stage(keys.join(centres.where("m > 1"), "key").select("key", "doc_id", "c1", "c2"), "buckets")
-
-    # First the star of each bucket: at most two candidates a member, whatever the bucket's size.
-    star = buckets.select("doc_id", F.explode(F.array("c1", "c2")).alias("c")).where("doc_id <> c")
-    links = _verify(star.select(F.least("doc_id", "c").alias("a"), F.greatest("doc_id", "c").alias("b")).distinct(), reps, texts, bounds, shingle_words, percent)
-    found = components(links)
-
-    # Then, in buckets whose members are not all in one component, the pairs across components.
-    labelled = buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
-    open_keys = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    # Buckets with the same members need one look: the smallest key of each stands for them.
-    members = labelled.join(open_keys, "key", "left_semi")
-    alike = members.groupBy("key").agg(F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"))
-    alike = alike.groupBy("m", "s").agg(F.min("key").alias("key")).select("key")
-    rest = members.join(alike, "key", "left_semi").join(reps, "doc_id").select("key", "doc_id", "comp", "sig")
-    rest = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_rest(bounds), "a long, b long").distinct()
-    more = stage(_verify(rest, reps, texts, None, shingle_words, percent), "links")
+    full = signed_sets.where("n > 0 and doc_id is not null")
+    reps = stage(full.groupBy("n", "s1", "s2").agg(F.min(F.struct("doc_id", "sig", "keys")).alias("m")).select("n", "s1", "s2", "m.*"), "reps")
+    sets = stage(signed_sets.select("doc_id", "n", "s1", "s2"), "sets")
+    unstage(signed_sets)
+
+    keys = reps.select("doc_id", F.explode("keys").alias("key"))
+    centres = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("c")).where("m > 1")
+    buckets = stage(keys.join(centres, "key"), "buckets")
+
+    # First each member with the smallest centre of its buckets: one candidate a member, whatever the size of the bucket.
+    chosen = buckets.groupBy("doc_id").agg(F.min("c").alias("c"))
+    needed = reps.select("doc_id", "sig").groupBy("doc_id").agg(F.min("sig").alias("sig")).join(chosen, "doc_id")
+    needed = stage(needed.join(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "doc_id"), "needed")
+    sizes = needed.groupBy("c").agg(F.count("*").alias("m"))
+    heads = needed.drop("c").join(sizes.withColumnRenamed("c", "doc_id"), "doc_id")
+    heads = heads.select(F.col("doc_id").alias("c"), _copies(_salts(F.col("m"))), F.lit(0).alias("kind"), "doc_id", "sig", "text")
+    rows = needed.where("doc_id <> c").join(sizes, "c").select("c", _salt("doc_id", _salts(F.col("m"))), F.lit(1).alias("kind"), "doc_id", "sig", "text")
+    rows = heads.union(rows).repartition("c", "salt").sortWithinPartitions("c", "salt", "kind")
+    links = stage(rows.mapInArrow(_with_centre(bounds, shingle_words, percent), "a long, b long"), "links")
+    found = stage(components(links), "found")
+
+    # Then, in buckets whose members are not all in one component, across components. A bucket of two whose
+    # larger member has been with the smaller one is done; of buckets with the same members one will do.
+    labelled = _labelled(buckets.select("key", "doc_id", "m", F.col("c").alias("first")), found, "doc_id", "comp")
+    labelled = labelled.join(chosen, "doc_id").withColumn("h", F.xxhash64("doc_id").cast("decimal(38,0)"))
+    tested = (F.col("m") == 2) & (F.col("partner") == F.col("first"))
+    state = labelled.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.first("m").alias("m"), F.first("first").alias("first"),
+        F.sum("h").alias("h"), F.max(F.when(F.col("doc_id") != F.col("first"), F.col("c"))).alias("partner"),
+    )
+    state = state.where("lo < hi").where(~tested).groupBy("m", "h").agg(F.min(F.struct("key", "lo")).alias("s")).select("s.key", "s.lo")
+    members = stage(labelled.select("key", "doc_id", "m", "comp").join(state, "key"), "open")
+    members = members.join(needed.select("doc_id", "sig", "text"), "doc_id")
+    tail = ["doc_id", "comp", "sig", "text"]
+    apart = members.where("comp <> lo").select("key", _copies(_salts(F.col("m"))), F.lit(0).alias("kind"), *tail)
+    main = members.where("comp = lo").select("key", _salt("doc_id", _salts(F.col("m"))), F.lit(1).alias("kind"), *tail)
+    rows = apart.union(main).repartition("key", "salt").sortWithinPartitions("key", "salt", "kind", "doc_id")
+    more = stage(rows.mapInArrow(_within(bounds, shingle_words, percent), "a long, b long"), "links")
+    unstage(needed, buckets)
     if more.limit(1).count():
         found = components(links.union(more))
 
-    least = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"))
-    out = sets.drop("sig").join(least, ["n", "s1", "s2"], "left")
+    classes = reps.select("n", "s1", "s2", F.col("doc_id").alias("rep"))
+    least = _labelled(classes, found, "rep", "component_id").select("n", "s1", "s2", "component_id")
+    out = sets.join(least, ["n", "s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
-def _verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, bounds, shingle_words: int, percent: int) -> DataFrame:
-    """Pairs (a < b) of classes that pass the screen on signatures and the check on full sets."""
-    if bounds:
-        with_a = pairs.join(reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-        with_b = with_a.join(reps.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-        pairs = with_b.select("a", "b", "sig_a", "sig_b").mapInArrow(_screen(bounds), "a long, b long")
-    pairs = stage(pairs, "survivors")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = stage(texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "needed")
-    both = pairs.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return stage(both.select("a", "text_a", "b", "text_b").mapInArrow(_confirm(shingle_words, percent), "a long, b long"), "links")
+def _labelled(df: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    """``df`` with the component of ``node``; a node without links is its own."""
+    return df.join(found.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of each group of near-duplicates (five-word shingles) the document with the smallest id.
+
+    Rows without an id stay; of rows with the same id and text, one does.
+    """
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    named = left.withColumn("_text", F.xxhash64("text"))
+    once = named.where("doc_id is not null").dropDuplicates(["doc_id", "_text"])
+    return once.unionByName(named.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillrecon.llm.common import rolling, rows_of, span_hashes, stage, words_of
+from tillrecon.llm.common import rolling, rows_of, span_hashes, stage, through, words_of
 
 FIT_ROWS = 20_000
 
@@ -74,12 +74,7 @@ def _append_stats(batches):
 
 def with_stats(docs: DataFrame, text: str = "text", into: str = "quality_stats") -> DataFrame:
     """``docs`` and a struct of the statistics of the text."""
-    kept = [c for c in docs.columns if c != into]
-    names = [f"c{i}" for i in range(len(kept))]  # any names may occur in the input
-    renamed = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in zip(kept, names, strict=True)], docs[f"`{text}`"].cast("string").alias("text"))
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in renamed.schema.fields[:-1]] + [f"stats {STATS_TYPE}"])
-    out = renamed.mapInArrow(_append_stats, schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], F.col("stats").alias(into))
+    return through(docs, [docs[f"`{text}`"].cast("string").alias("text")], _append_stats, [(into, STATS_TYPE)])
 
 
 def base_failed(stats: str = "quality_stats") -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillrecon.llm.common import _BACK, _STEP, _powers, mix, rows_of
+from tillrecon.llm.common import _BACK, _STEP, _powers, mix, rows_of, through
 
 #: Folder of the vocabulary files; a parameter of every function.
 TOKENIZERS = "/opt/tokenizers"
@@ -291,28 +291,18 @@ def _decode(path: str):
     return run
 
 
-def _through(df: DataFrame, inputs: list, run, added: list[tuple[str, str]]) -> DataFrame:
-    """``df`` through ``run``, which gets its columns and ``inputs`` last, and puts ``added`` in their place."""
-    kept = [c for c in df.columns if c not in {n for n, _ in added}]
-    names = [f"c{i}" for i in range(len(kept))]  # any names may occur in the input
-    given = df.select(*[df[f"`{c}`"].alias(n) for c, n in zip(kept, names, strict=True)], *inputs)
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[: len(kept)]] + [f"{n} {t}" for n, t in added])
-    out = given.mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *[n for n, _ in added])
-
-
 def encode(
     docs: DataFrame, key: str = "doc_id", text: str = "text", alpha: float = 1.0, seed: int = 1, back: bool = False, tokenizers: str = TOKENIZERS
 ) -> DataFrame:
     """``docs`` with ids: the sampled pieces of the text; with ``back`` also decoded: the text made from them."""
     added = [("ids", "array<int>")] + [("decoded", "string")] * back
     inputs = [F.coalesce(docs[f"`{key}`"].cast("long"), F.lit(0)).alias("key"), docs[f"`{text}`"].cast("string").alias("text")]
-    return _through(docs, inputs, _encode(f"{tokenizers}/{MODEL}", alpha, seed, back), added)
+    return through(docs, inputs, _encode(f"{tokenizers}/{MODEL}", alpha, seed, back), added)
 
 
 def decode(tokens: DataFrame, ids: str = "ids", tokenizers: str = TOKENIZERS) -> DataFrame:
     """``tokens`` with text: what the ids decode to."""
-    return _through(tokens, [tokens[f"`{ids}`"].alias("given")], _decode(f"{tokenizers}/{MODEL}"), [("text", "string")])
+    return through(tokens, [tokens[f"`{ids}`"].alias("given")], _decode(f"{tokenizers}/{MODEL}"), [("text", "string")])
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
