@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is staged: Spark removes the shuffle files of the job afterwards, and Arrow batches stay small.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 # ---------------------------------------------------------------- staged tables
@@ -39,17 +43,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def _shuffle_cleanup(spark: SparkSession):
-    """Let Spark remove the shuffle files of each job that ends in a written table."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _settings(spark: SparkSession):
+    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -59,7 +64,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    with _shuffle_cleanup(spark):
+    with _settings(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path

@@ -3,7 +3,7 @@
 Targets: sources in code-point order (null last) share all words by weight; a target stops at ``most``
 times its source's size and the excess is shared again. A source's target is a number of whole repeats
 and a rest; documents are hashed into blocks, every repeat takes all blocks of the source in an own
-permutation and the rest takes the first blocks of another, the last of them in part, document by document.
+permutation and the rest takes the first blocks of another, the last ones in part, document by document.
 
 The drawn blocks of each source are its quota. The quotas are split among the output shards by a tree:
 a node's quotas are halved by one multivariate hypergeometric draw, seeded by the node, until a leaf is
@@ -75,14 +75,16 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def _block(n_blocks, seed: int):
-    return F.pmod(F.xxhash64(F.lit(seed), "uid"), n_blocks).alias("block")
+def _block(block_words: int, seed: int):
+    """Block of a row; a document longer than a block is one of its own, with a negative number."""
+    hashed = F.xxhash64(F.lit(seed), "uid")
+    return F.when(F.col("size") > block_words, -1 - F.pmod(hashed, F.lit(1 << 60))).otherwise(F.pmod(hashed, "n_blocks")).alias("block")
 
 
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one source's last block: the documents that fit into what is left, in a permuted order."""
-    pdf = pdf.sort_values(["order", "uid"], kind="stable")
-    left, taken = int(pdf["room"].iloc[0]), []
+    """Of one source's last blocks: the documents that fit into what is left, in a permuted order."""
+    pdf = pdf.sort_values(["rank", "order", "uid"], kind="stable")
+    left, taken = max(0, int(pdf["room"].max())), []
     for size in pdf["words"].tolist():
         fits = size <= left
         left -= size if fits else 0
@@ -110,15 +112,21 @@ def plan(rows: DataFrame, weights=WEIGHTS, most: float = 3.0, shards: int = 64,
         # One row per source: the driver has made it.
         return df.join(F.broadcast(by_source.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
-    blocks = with_source(small).groupBy("source", "target", "source_size", "whole", _block(F.col("n_blocks"), seed)).agg(F.sum("size").alias("words"))
+    blocks = with_source(small).groupBy("source", "target", "source_size", "whole", _block(block_words, seed)).agg(F.sum("size").alias("words"))
     # Rank of each block in the permutation of each repeat; the last repeat takes blocks up to the target.
     turns = blocks.select("*", F.explode(F.sequence(F.lit(0), "whole")).alias("turn"))
     order = "partition by source, turn order by xxhash64({0}, source, turn, block), block".format(seed + 1)
     turns = turns.withColumn("rank", F.expr(f"row_number() over ({order})"))
     turns = turns.withColumn("before", F.expr(f"sum(words) over ({order} rows between unbounded preceding and current row) - words"))
-    turns = turns.withColumn("room", F.when(F.col("turn") < F.col("whole"), F.col("words")).otherwise(F.floor(F.col("target") - F.col("whole") * F.col("source_size")) - F.col("before")))
-    turns = turns.where("turn < whole or room > 0")
-    turns = stage(turns.select("source", "block", "turn", "rank", "words", "room", (F.col("room") < F.col("words")).alias("part")), "turns")
+    rest = F.floor(F.col("target") - F.col("whole") * F.col("source_size"))
+    turns = turns.withColumn("room", F.when(F.col("turn") == F.col("whole"), rest - F.col("before")))
+    # From the first block that is too large for what is left, some are taken in part.
+    turns = turns.withColumn("part", F.coalesce(F.col("words") > F.col("room"), F.lit(False)))
+    # They are as many as it takes to fill it; documents that are a block of their own do not count.
+    turns = turns.withColumn("filled", F.expr(f"sum(if(part and block >= 0, words, 0)) over ({order} rows between unbounded preceding and 1 preceding)"))
+    turns = turns.withColumn("most", F.expr(f"max(if(part, room, null)) over ({order} rows between unbounded preceding and current row)"))
+    turns = turns.where(~F.col("part") | (F.coalesce("filled", F.lit(0)) < F.col("most")))
+    turns = stage(turns.select("source", "block", "turn", "rank", "room", "part"), "turns")
 
     quota = {r["source"]: r["n"] for r in turns.groupBy("source").agg(F.count("*").alias("n")).collect()}
     drawn = split_quotas(np.array([quota.get(r["source"], 0) for r in sources]), shards, seed)
@@ -129,18 +137,18 @@ def plan(rows: DataFrame, weights=WEIGHTS, most: float = 3.0, shards: int = 64,
     dealt = dealt.join(F.broadcast(cuts), F.col("source").eqNullSafe(F.col("s")))
     dealt = dealt.withColumn("shard", F.expr("size(filter(cuts, c -> c < nth))"))
 
-    in_part = with_source(small).select("source", "size", "uid", _block(F.col("n_blocks"), seed)).groupBy("source", "block", "uid").agg(F.sum("size").alias("words"))
-    parts = dealt.where("part").select(F.col("source").alias("ps"), F.col("block").alias("pb"), "room")
+    in_part = with_source(small).select("source", "size", "uid", _block(block_words, seed)).groupBy("source", "block", "uid").agg(F.sum("size").alias("words"))
+    parts = dealt.where("part").select(F.col("source").alias("ps"), F.col("block").alias("pb"), "room", "rank")
     in_part = in_part.join(parts, F.col("source").eqNullSafe(F.col("ps")) & (F.col("block") == F.col("pb")))
-    in_part = in_part.select("source", "uid", "words", "room", F.xxhash64(F.lit(seed + 2), "uid").alias("order"))
-    # One block of each source at most: bounded by the words of a block.
+    in_part = in_part.select("source", "uid", "words", "room", "rank", F.xxhash64(F.lit(seed + 2), "uid").alias("order"))
+    # Few blocks of each source: bounded by the words of a block and of the longest document.
     filled = stage(in_part.groupBy("source").applyInPandas(_fill, "uid long"), "filled").distinct().withColumn("fits", F.lit(True))
 
     whole = dealt.groupBy("source", "block").agg(
         F.array_sort(F.collect_list(F.struct("turn", "shard", "part"))).alias("draws"), F.max("part").alias("part")
     )
     whole = whole.select(F.col("source").alias("ps"), F.col("block").alias("pb"), "draws", F.col("part").alias("has_part"))
-    out = with_source(rows).select(*[F.col(f"`{c}`") for c in rows.columns], "source_size", "target", _block(F.col("n_blocks"), seed))
+    out = with_source(rows).select(*[F.col(f"`{c}`") for c in rows.columns], "source_size", "target", _block(block_words, seed))
     out = out.join(whole, F.col("source").eqNullSafe(F.col("ps")) & (F.col("block") == F.col("pb")), "left").join(filled, "uid", "left")
     draws = F.expr("transform(filter(coalesce(draws, array()), d -> not d.part or fits), d -> named_struct('turn', d.turn, 'shard', d.shard))")
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], "source_size", "target", draws.alias("copies"))
