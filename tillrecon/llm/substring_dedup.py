@@ -22,7 +22,6 @@ cannot occur: the smallest id keeps a passage. Columns other than the id and the
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -31,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillrecon.llm.common import Buffer, merge_ranges, rolling, rows_of, signed, sliding, span_hashes, stage, words_of
+from tillrecon.llm.common import Buffer, merge_ranges, rolling, rows_of, signed, sliding, span_hashes, stage, through, unstage, words_of
 
 #: Documents of a shard, and bytes of regions that one salt of a shard streams.
 SHARD_DOCS, SALT_BYTES = 16_384, 32 << 20
 #: Words of passages in one automaton: bounds its memory and its alphabet.
-AUTOMATON_WORDS = 400_000
+AUTOMATON_WORDS = 1_000_000
 
 
 def _raw(text: str | None) -> np.ndarray:
@@ -237,23 +236,29 @@ def _locate(window: int, phrase: int):
     return run
 
 
-def repeated_ranges(docs: DataFrame, window: int = 50, gram: int = 16, phrase: int = 25) -> DataFrame:
+def repeated_ranges(docs: DataFrame, window: int = 50, gram: int = 16, phrase: int = 12) -> DataFrame:
     """(doc_id, fp, ranges of words) for the documents with words to remove; fp is ``xxhash64(text)``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("fp"), "text").where("doc_id is not null and text is not null")
     shards = max(1, -(-texts.count() // SHARD_DOCS))
 
     places = stage(texts.mapInArrow(_anchors(window, gram), "doc_id long, fp long, anchor long, at int"), "anchors")
     homes = places.groupBy("anchor").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).where("home < last")
-    homes = homes.select("anchor", F.pmod(F.xxhash64("home"), F.lit(shards)).cast("int").alias("shard"))
+    # Written first, so that both sides of the join are plain exchanges and a frequent anchor can be split.
+    homes = stage(homes.select("anchor", F.pmod(F.xxhash64("home"), F.lit(shards)).cast("int").alias("shard")), "homes")
     reach = places.join(homes, "anchor").groupBy("doc_id", "fp").agg(F.collect_list(F.struct("at", "shard")).alias("p"))
-    reach = texts.dropDuplicates(["doc_id", "fp"]).join(reach, ["doc_id", "fp"]).select("doc_id", "fp", "text", "p.at", "p.shard")
-    regions = stage(reach.mapInArrow(_regions(window, gram), "shard int, doc_id long, fp long, first int, text string"), "regions")
+    reach = stage(reach, "reach")
+    unstage(places, homes)
+    cut = texts.join(reach, ["doc_id", "fp"]).select("doc_id", "fp", "text", "p.at", "p.shard")
+    regions = stage(cut.mapInArrow(_regions(window, gram), "shard int, doc_id long, fp long, first int, text string"), "regions")
+    unstage(reach)
 
     windows = regions.select("doc_id", "text").mapInArrow(_windows(window), "w long, lo long, hi long")
-    windows = windows.groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
+    windows = windows.groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("lo", "w")
+    windows = stage(windows, "windows")
     by_home = windows.groupBy(F.col("lo").alias("doc_id")).agg(F.collect_list("w").alias("recurring"))
     passages = regions.join(by_home, "doc_id").select("shard", "doc_id", "text", "recurring")
     passages = stage(passages.mapInArrow(_passages(window), "shard int, doc_id long, text string").distinct(), "passages")
+    unstage(windows)
 
     salts = regions.groupBy("shard").agg((F.sum(F.length("text")) / SALT_BYTES + 1).cast("int").alias("salts"))
     salts = stage(salts, "salts")
@@ -265,31 +270,56 @@ def repeated_ranges(docs: DataFrame, window: int = 50, gram: int = 16, phrase: i
     )
     ordered = one.union(two).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     found = ordered.mapInArrow(_locate(window, phrase), "doc_id long, fp long, first int, last int")
-    return stage(found.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
+    ranges = stage(found.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
+    unstage(regions, passages, salts)
+    return ranges
+
+
+def _joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """These words with one space between them."""
+    if not len(starts):
+        return b""
+    line = np.append(raw, np.uint8(32))
+    line[ends] = 32
+    step = np.zeros(len(line) + 1, np.int8)
+    step[starts] += 1
+    step[ends + 1] -= 1
+    return line[np.cumsum(step[:-1], dtype=np.int8).view(bool)].tobytes()[:-1]
 
 
 def _cut(joined: bool):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+    """The last two columns, text and ranges, become word counts and the remaining text."""
+    added = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+    def rest(text: str | None, ranges) -> tuple[int, int, str | None, int]:
+        if text is None and not joined:
+            return 0, 0, None, 0
+        data = (text or "").encode()
+        raw = np.frombuffer(data, np.uint8)
+        starts, ends = words_of(raw)
+        gone = np.zeros(len(starts), bool)
+        for r in ranges or ():
+            gone[r["first"] : r["last"]] = True
+        if joined:
+            kept = _joined(raw, starts[~gone], ends[~gone])
+        else:
+            kept = _without(data, starts, gone) if gone.any() else data
+        return len(starts), int(gone.sum()), kept.decode(), len(kept)
 
     def run(batches):
         for batch in batches:
-            out = Buffer(schema, 4 << 20)
-            for doc_id, text, ranges in rows_of(batch):
-                data = (text or "").encode()
-                starts, ends = words_of(np.frombuffer(data, np.uint8))
-                gone = np.zeros(len(starts), bool)
-                for r in ranges or ():
-                    gone[r["first"] : r["last"]] = True
-                if joined:
-                    kept = b" ".join([data[a:b] for a, b in zip(starts[~gone].tolist(), ends[~gone].tolist(), strict=True)])
-                elif gone.any():
-                    kept = _without(data, starts, gone)
-                else:
-                    kept = data
-                out.add(doc_id, len(starts), int(gone.sum()), None if text is None and not joined else kept.decode(), weight=len(kept))
-                if out.full():
-                    yield out.take()
-            yield out.take()
+            at = batch.num_columns - 2
+            start, done, size = 0, [], 0
+            rows = rows_of(batch.select([at, at + 1]))
+            for i, (text, ranges) in enumerate(rows):
+                *row, weight = rest(text, ranges)
+                done.append(row)
+                size += weight
+                if size > 4 << 20 or i + 1 == batch.num_rows:
+                    given = batch.slice(start, len(done))
+                    columns = [pa.array([d[j] for d in done], f.type) for j, f in enumerate(added)]
+                    yield pa.RecordBatch.from_arrays([*given.columns[:at], *columns], names=[*given.schema.names[:at], *added.names])
+                    start, done, size = i + 1, [], 0
 
     return run
 
@@ -302,18 +332,33 @@ def _without(data: bytes, starts: np.ndarray, gone: np.ndarray) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, joined: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the remaining text) of every row of ``docs`` (doc_id, text).
+    """Every row of ``docs`` with n_words, n_removed and kept, the remaining text.
 
-    ``joined``: remaining words joined by one space; otherwise with their own separators.
+    ``joined``: remaining words joined by one space; otherwise with their own separators, and null for a null text.
     """
-    ranges = repeated_ranges(docs, window)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("fp"), "text")
-    both = texts.join(ranges, ["doc_id", "fp"], "left").select("doc_id", "text", "ranges")
-    return both.mapInArrow(_cut(joined), "doc_id long, n_words long, n_removed long, kept string")
+    ranges = repeated_ranges(docs, window).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("ranges").alias("_ranges"))
+    same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_fp"))
+    both = docs.join(ranges, same, "left").drop("_id", "_fp")
+    added = [("n_words", "bigint"), ("n_removed", "bigint"), ("kept", "string")]
+    return through(both, [F.col("text").alias("given"), F.col("_ranges").alias("r")], _cut(joined), added).drop("_ranges")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: ``docs`` without passages that an earlier document has; ``n_chars`` follows the text."""
+    names = docs.columns
+    safe = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"_{i}") for i, c in enumerate(names)])
+    cut = remove_repeats(safe, joined=False)
+    chars = F.length("kept").cast("long")
+    return cut.select(
+        *[
+            F.col("doc_id") if c == "doc_id" else F.col("kept").alias(c) if c == "text" else chars.alias(c) if c == "n_chars" else F.col(f"_{i}").alias(c)
+            for i, c in enumerate(names)
+        ]
+    )
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
