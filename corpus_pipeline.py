@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillrecon.llm.common import stage
+from tillrecon.llm.mixing import mix_documents
+from tillrecon.llm.near_dup import keep_one
+from tillrecon.llm.quality_rules import keep_good
+from tillrecon.llm.sentencepiece_sampling import tokenize
+from tillrecon.llm.substring_dedup import cut_repeats
 
-STAGES: list = []
+#: (name, function): each takes (spark, docs, sf_dir), works on all that the one before kept and returns a
+#: DataFrame; all but the last return the columns of ``docs``.
+STAGES = [
+    ("quality_rules", keep_good),
+    ("near_dedup", keep_one),
+    ("substring_dedup", cut_repeats),
+    ("mixing", mix_documents),
+    ("sentencepiece", tokenize),
+]
 
 #: The learned rules and the sampling are not expressible in SQL.
 ORACLE_SQL = None
