@@ -44,21 +44,81 @@ def test_journals(spark, tree):
         files.shop_from_path(F.col("path"), "sources", SHOPS)
 
 
-def test_large_journals_are_cut_by_the_scan(spark, tree):
-    """The same blocks with the same ids, whichever way a file is read and however it is split."""
+def test_journals_of_many_splits(spark, tree):
+    """The same blocks with the same ids however a file is split, and when settings change before the rows are read."""
     big = os.path.join(tree, "EXPORT_SOUTH", "EJ+ 9.TXT")
-    with open(big, "wb") as f:
-        f.write(b"".join(f"{SEP}\r\nblock {i} {'x' * (i % 90)}\r\n".encode() for i in range(3000)))
-    columns = ("block_id", "shop", "path", "rel_path", "file_name", "block_pos", "block")
-    whole = {tuple(r) for r in files.read_journals(spark, tree, SHOPS).select(*columns).collect()}
-    assert len(whole) == 3003
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    bodies = [f"\r\nblock {i} €{'x' * (i % 90)}\r\n" for i in range(3000)]
+    texts = {
+        "EJ+ 9.TXT": "".join(SEP + b for b in bodies),
+        "EJ ends.TXT": "head" + "".join(SEP + b for b in bodies[:700]) + SEP,  # a last block without text
+        "EJ none.TXT": "no block at all", "EJ empty.TXT": "", "EJ only.TXT": SEP,
+    }
+    for name, text in texts.items():
+        with open(os.path.join(os.path.dirname(big), name), "wb") as f:
+            f.write(text.encode("cp1252"))
+    expected = {(f"sources/EXPORT_SOUTH/{n}#{i}", i, b) for n, t in texts.items() for i, b in enumerate(t.split(SEP)[1:])}
+    assert len(expected) == 3702
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")
+    for build, run in ((("128m", "1"), ("9000", "40")), (("10000", "3"), ("128m", "1")), (("50", "1"), ("7000", "2"))):
+        if build[0] == "50":  # many tiny splits: one small file only
+            os.remove(big)
+            expected = {e for e in expected if "EJ+ 9" not in e[0]}
+            build = ("400", "1")
+        try:
+            for k, v in zip(settings, build):
+                spark.conf.set(k, v)
+            df = files.read_journals(spark, tree, SHOPS).filter("file_name NOT IN ('EJ 1é.TXT', 'EJ2.TXT')")
+            for k, v in zip(settings, run):
+                spark.conf.set(k, v)
+            rows = [tuple(r) for r in df.select("block_id", "block_pos", "block").collect()]
+            assert len(rows) == len(expected) and set(rows) == expected
+        finally:
+            for k in settings:
+                spark.conf.unset(k)
+
+
+def test_unclear_shop_fails_whichever_columns_are_read(spark, tree):
+    with pytest.raises(Exception, match="not exactly one shop"):
+        files.read_journals(spark, tree, SHOPS, on_unclear="fail").select("block_id").count()
+
+
+def test_content_marks(spark, tmp_path):
+    root = tmp_path / "s"
+    root.mkdir()
+    for name, text in (("a.TXT", "1\n2\n"), ("b.csv", "x\r\ny"), ("c.txt", "\xff\x80")):
+        (root / name).write_bytes(text.encode("latin-1"))
+    before = spark.createDataFrame(files.content_marks(spark, str(root)).collect())
+    (root / "a.TXT").write_bytes(b"1\n2")
+    (root / "b.csv").write_bytes(b"x\r\nz")
+    diff = files.diff_fingerprints(before, files.content_marks(spark, str(root)), mark="mark").collect()
+    assert {r.rel_path: r.status for r in diff} == {"s/a.TXT": "changed", "s/b.csv": "changed", "s/c.txt": "same"}
+
+
+def test_staged_folders(spark, tmp_path, monkeypatch):
+    from tillrecon.sources import staging
+
     try:
-        for limit in (0, 1000):
-            cut = files.read_journals(spark, tree, SHOPS, whole_file_bytes=limit).select(*columns)
-            assert {tuple(r) for r in cut.collect()} == whole
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        with staging.scope():
+            table = staging.stage(spark.range(5), "t")
+            (path,) = {os.path.dirname(f).removeprefix("file://") for f in table.inputFiles()}
+            assert os.path.isdir(path)
+            raise KeyError
+    except KeyError:
+        pass
+    assert not os.path.exists(path)
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
 
 
 def test_reports(spark, tmp_path):
@@ -108,12 +168,14 @@ def test_contract_csv(spark, tmp_path):
     assert [(r.id, r.label, str(r.d), str(r.amount)) for r in rows] == [
         ("0021", 'a|"b"', "2023-04-01", "299.00"), ("7", None, "None", "None"),
     ]
-    path.write_text("id|name|d|amount\n1|a|2023-04-01|1.00\n")
-    with pytest.raises(Exception):
-        contract.read_contract_csv(spark, str(path), SCHEMA).collect()
+    for header in ("id|name|d|amount", "ID|label|d|amount", "id|label|d", "id|label|d|amount|more"):
+        path.write_text(f"{header}\n1|a|2023-04-01|1.00\n")
+        with pytest.raises(ValueError, match="header is not the contract's in 1 cases"):
+            contract.read_contract_csv(spark, str(path), SCHEMA)
     path.write_text("id|label|d|amount\n1|a|04/01/2023|1.00\n")
-    with pytest.raises(Exception):
-        contract.read_contract_csv(spark, str(path), SCHEMA).collect()
+    for job in (lambda df: df.collect(), lambda df: df.select("id").collect()):
+        with pytest.raises(Exception):
+            job(contract.read_contract_csv(spark, str(path), SCHEMA))
 
 
 def test_export_csv(spark, tmp_path):

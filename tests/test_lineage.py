@@ -3,20 +3,16 @@ from decimal import Decimal as D
 from tillrecon.operators import lineage
 
 
-def test_column_names():
-    amounts = ["D_MONTANT", "E_HT1", "E_TTC", "E_TVA2", "E_MDP_CB", "AJ_SOLDE_DU", "AJ_ECART_TTC", "CA NET", "HORS TAXES 1",
-               "D_CORRECTION", "ht1", "ttc", "vat4", "pay_card", "gap_ht", "amount", "ht_exempt"]
-    quantities = ["D_QUANTITE", "CARTES_AJ_ECART_QTE", "Compter - D_LIBELLE_ARTICLE", "qty"]
-    others = ["E_NUM_INTERNE", "D_TAUX_TVA_ARTICLE", "AJ_Année_Z", "AJ_Mois_Z", "year", "period", "internal_no", "rate"]
-    assert [n for n in amounts if not lineage.is_amount(n) or lineage.is_quantity(n)] == []
-    assert [n for n in quantities if not lineage.is_quantity(n) or lineage.is_amount(n)] == []
-    assert [n for n in others if lineage.is_amount(n) or lineage.is_quantity(n)] == []
+def test_measures_follow_the_schema(spark):
+    df = spark.sql("SELECT 1 year, '2024-01' period, 2L qty, 3L internal_no, 1.50BD paid, 0.2BD share, 'x' label")
+    assert lineage.measures_of(df) == ["paid", "share"]
+    assert lineage.measures_of(df, quantities=("qty",), rates=("share",)) == ["qty", "paid"]
 
 
 def test_numeric_totals(spark):
     df = spark.sql("SELECT * FROM VALUES (2024, 1, 2.50BD, 7, 'x'), (2024, 2, -1.00BD, 8, 'y') v(year, qty, amount, internal_no, gap)")
-    assert {(r.field, r.total) for r in lineage.numeric_totals(df).collect()} == {("qty", D("3.00")), ("amount", D("1.50"))}
-    assert lineage.numeric_totals(df.select("year")).count() == 0
+    assert {(r.field, r.total) for r in lineage.numeric_totals(df, lineage.measures_of(df, ("qty",))).collect()} == {("qty", D("3.00")), ("amount", D("1.50"))}
+    assert lineage.numeric_totals(df.select("year"), []).count() == 0
     rows = spark.sql("SELECT * FROM VALUES ('A', 1, 2.00BD), ('A', 1, 3.00BD), ('', 9, 9BD), (NULL, 9, 9BD) v(n, qty, amount)")
     assert {(r.field, r.total) for r in lineage.numeric_totals_long(rows, "n", ("qty", "amount")).collect()} == {
         ("A / qty", D("2.00")), ("A / amount", D("5.00")),
@@ -32,6 +28,11 @@ def test_counters_follow_the_declared_sources(spark):
         ("a", 0, 0, 12), ("b", 0, 0, 32), ("out", 44, 24, 8), ("next", 8, 8, 8),
     }
     assert lineage.check_lineage(counters, edges).count() == 0
+    # Observed reads count as they are.
+    seen = spark.createDataFrame([("out", 45), ("next", 7)], "output string, n long")
+    observed = lineage.lineage(written, edges, selected, seen)
+    assert {r.output: r.n_read for r in observed.collect()} == {"a": 0, "b": 0, "out": 45, "next": 7}
+    assert [tuple(r) for r in lineage.check_lineage(observed, edges).collect()] == [("out", 45, 44)]
     claimed = counters.withColumn("n_read", counters.n_read + 1)
     assert {r.output for r in lineage.check_lineage(claimed, edges).collect()} == {"out", "next"}
     totals = spark.createDataFrame([("out", "ttc", D("1234.50")), ("out", "ht", D("-0.001"))], "output string, field string, total decimal(20,3)")

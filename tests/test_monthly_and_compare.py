@@ -48,6 +48,20 @@ def test_strict_measures_and_repeated_periods_fail(spark):
     for missing in ("zero", "null"):
         with pytest.raises(Exception, match="duplicate period in right: 2024, 2024-01"):
             compare.reconcile(other, twice, {"g": ("a", "a")}, missing).collect()
+    # A check holds whichever columns are read.
+    gaps = {"g": ("a", "a")}
+    for job in (lambda df: df.count(), lambda df: df.select("period", "status").collect(), lambda df: compare.missing_periods(df).count()):
+        with pytest.raises(Exception, match="amount a is missing"):
+            job(compare.reconcile(one, other, gaps, "null", strict=True))
+        with pytest.raises(Exception, match="duplicate period in right"):
+            job(compare.reconcile(other, twice, gaps, "null"))
+    alone = spark.createDataFrame([("N", 2024, "2024-02", 3)], "shop string, year int, period string, ttc long")
+    for job in (lambda df: df.count(), lambda df: df.select("period", "N_ttc").collect()):
+        with pytest.raises(Exception, match="not in every shop exactly once"):
+            job(compare.consolidate(alone, ("N", "S"), ("ttc",)))
+    nameless = spark.createDataFrame([("Z001_x.CSV", 1)], "file_name string, n int")
+    with pytest.raises(Exception, match="no closing period"):
+        tables.with_closing_period(nameless).select("n").collect()
     with pytest.raises(ValueError, match="missing columns: b"):
         compare.reconcile(one, other, {"g": ("a", "b")}, "null")
     with pytest.raises(ValueError):
@@ -109,8 +123,11 @@ def test_mode_totals_and_control(rows):
         monthly.for_mode(rows, "ZZ1"), natures, sum_type={"qty": "bigint"}
     )
     assert compare.differing_totals(totals, control).count() == 0
-    with pytest.raises(ValueError, match="mode not in the data: ZZ2"):
-        monthly.mode_totals(rows, "ZZ2", natures)
+    # Building the plan asks nothing of the data; any job on it fails, whatever it reads.
+    absent = monthly.mode_totals(rows, "ZZ2", natures)
+    for job in (absent.count, absent.select("period").collect):
+        with pytest.raises(Exception, match="mode not in the data: ZZ2"):
+            job()
     assert monthly.mode_totals(rows, "ZZ2", natures, on_missing_mode="empty").count() == 0
 
 

@@ -1,7 +1,9 @@
+import dataclasses
 import os
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillrecon.plans import rebuild as R
 from tillrecon.sources import sinks
@@ -88,8 +90,14 @@ def test_written_outputs_and_their_report(spark, sources, tmp_path):
     folder = str(tmp_path / "out")
     report = {r.output: r for r in R.write_outputs(stored, SETTINGS, folder, 2024, declared).collect()}
     assert set(report) == {*R.OUTPUT_SOURCES, *R.TABLES}
-    z2 = report["z2_against_journal"]
-    assert (z2.sources, z2.n_read, z2.n_written) == (["payments", "z2_totals"], 5, 2)
+    counters = lambda name: (report[name].n_read, report[name].n_selected, report[name].n_written)
+    assert report["z2_against_journal"].sources == ["payments", "z2_totals"]
+    # Of three monthly totals the two in their shop's mode are selected; the payments are read beside them.
+    assert counters("z2_against_journal") == (5, 4, 2)
+    # Five tickets, four of them sales; eighteen report rows and six headers, of which z1 has six rows.
+    assert counters("coherence") == (5, 4, 4)
+    assert counters("z1_totals") == (24, 6, 2)
+    assert counters("internal_no_duplicates") == (4, 0, 0)
     assert "ttc: 42,00" in report["revenue"].totals
     (row,) = spark.read.parquet(f"{folder}/declared").collect()
     assert (row.gap_ht20, row.gap_vat20) == (D("2.00"), None)
@@ -100,6 +108,27 @@ def test_written_outputs_and_their_report(spark, sources, tmp_path):
     assert spark.read.parquet(f"{folder}/internal_no_duplicates").count() == 0
 
 
+def test_another_year_selects_nothing(spark, sources, tmp_path):
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+    report = {r.output: r for r in R.write_outputs(stored, SETTINGS, str(tmp_path / "out"), 2023).collect()}
+    assert (report["z1_against_journal"].n_read, report["z1_against_journal"].n_selected) == (4, 0)
+    # An unexpected pair of file and mode has its column.
+    assert {"FILE001_Z", "FILE101_ZZ1"} < set(spark.read.parquet(str(tmp_path / "out" / "z1_matrix")).columns)
+
+
+def test_mode_rules_and_control_stop_the_run(spark, sources, tmp_path, monkeypatch):
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+    narrow = dataclasses.replace(SETTINGS, modes=("ZZ1", "Z"))
+    with pytest.raises(Exception, match="unknown mode: ZZ2"):
+        R.outputs(stored, narrow)["z2_totals"].collect()
+    moved = dataclasses.replace(SETTINGS, mode_overrides={("ZZ2", "NORTH", 2024): "Z"})
+    assert {r.mode for r in R.outputs(stored, moved)["z2_totals"].filter("shop = 'NORTH'").collect()} == {"ZZ1", "Z"}
+    control = R.base_rows
+    monkeypatch.setattr(R, "base_rows", lambda *a: control(*a).withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)")))
+    with pytest.raises(ValueError, match="z2_control finds differences: 3 cases: NORTH, ZZ1, 2024, 2024-01"):
+        R.write_outputs(stored, SETTINGS, str(tmp_path / "out"))
+
+
 def test_a_failing_run_leaves_the_published_one(spark, sources, tmp_path):
     target = str(tmp_path / "target")
     first = R.rebuild(spark, str(sources), target, SETTINGS)

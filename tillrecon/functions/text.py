@@ -55,6 +55,14 @@ def fail_unless(condition: Column, value: Column, message: Column | str) -> Colu
     return F.when(condition, value).otherwise(F.raise_error(message))
 
 
+def holds(condition: Column, message: Column | str) -> Column:
+    """A filter that keeps every row and fails the job where ``condition`` is not true.
+
+    A filter stays in the plan whichever columns are read; a check within a value goes with its column.
+    """
+    return fail_unless(condition, F.lit(True), message)
+
+
 def require_text(df: DataFrame, columns) -> DataFrame:
     """Identifiers must still be text: a number has already lost its leading zeros."""
     for name in columns:

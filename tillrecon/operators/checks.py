@@ -68,12 +68,21 @@ def duplicates(df: DataFrame, *keys: str, alias: str = "occurrences") -> DataFra
     return occurrences(df, *keys, alias=alias).filter(F.col(alias) > 1)
 
 
+def describe(failures: DataFrame, *keys: str, shown: int = 20) -> str:
+    """How many failures there are, and the first of them in order as examples; empty without any."""
+    n = failures.count()
+    if not n:
+        return ""
+    first = failures.select(*keys).orderBy(*keys).limit(shown).collect()
+    examples = "; ".join(", ".join(map(str, r)) for r in first)
+    return f"{n} cases: {examples}" if n <= shown else f"{n} cases, the first {shown} of them: {examples}"
+
+
 def assert_unique(df: DataFrame, *keys: str, what: str = "key") -> DataFrame:
     """Fail now if a key occurs twice; returns ``df`` unchanged."""
-    repeated = duplicates(df, *keys).limit(20).collect()
-    if repeated:
-        shown = "; ".join(", ".join(str(r[k]) for k in keys) for r in repeated)
-        raise ValueError(f"duplicate {what}: {shown}")
+    found = describe(duplicates(df, *keys), *keys)
+    if found:
+        raise ValueError(f"duplicate {what}: {found}")
     return df
 
 

@@ -11,8 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tillrecon.functions.money import strict_amount
-from tillrecon.functions.text import fail_unless
-from tillrecon.operators.checks import require_columns
+from tillrecon.functions.text import holds
+from tillrecon.operators.checks import describe, require_columns
 
 KEYS = ("year", "period")
 
@@ -20,7 +20,7 @@ KEYS = ("year", "period")
 def unique_or_fail(df: DataFrame, keys, what: str) -> DataFrame:
     """One row per key; a repeated key fails the job that reads it.
 
-    The check lives in the values, so it needs no job of its own, and it groups by the join keys.
+    The check is a filter, so it needs no job of its own and holds whichever columns are read.
     """
     values = [c for c in df.columns if c not in keys]
     shown = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
@@ -28,7 +28,7 @@ def unique_or_fail(df: DataFrame, keys, what: str) -> DataFrame:
     grouped = df.groupBy(*keys).agg(
         F.count("*").alias("_n"), *(F.first(v).alias(v) for v in values)
     )
-    return grouped.select(*keys, *(fail_unless(F.col("_n") == 1, F.col(v), message).alias(v) for v in values))
+    return grouped.filter(holds(F.col("_n") == 1, message)).select(*keys, *values)
 
 
 def reconcile(
@@ -61,6 +61,8 @@ def reconcile(
             df = df.filter(F.col("year") == year)
         df = df.select(*keys, *measures)
         if strict:
+            for m in measures:
+                df = df.filter(holds(F.col(m).isNotNull(), f"amount {m} is missing"))
             df = df.withColumns({m: strict_amount(F.col(m), m) for m in measures})
         df = df.withColumn("_here", F.lit(True))
         if check_unique:
@@ -123,8 +125,9 @@ def consolidate(
         total = F.col(f"{shops[0]}_{m}")
         for s in shops[1:]:
             total = total + F.col(f"{s}_{m}")
-        checked = fail_unless(complete, total, message) if strict else F.when(complete, total)
-        totals.append(checked.alias(f"total_{m}"))
+        totals.append((total if strict else F.when(complete, total)).alias(f"total_{m}"))
+    if strict:
+        wide = wide.filter(holds(complete, message))
     by_shop = [f"{s}_{m}" for s in shops for m in measures] if keep_shops else []
     return wide.select(*keys, *by_shop, *totals)
 
@@ -163,7 +166,7 @@ def differing_totals(left: DataFrame, right: DataFrame, keys=KEYS) -> DataFrame:
 
 def assert_same_totals(left: DataFrame, right: DataFrame, keys=KEYS, what: str = "totals") -> DataFrame:
     """Fail now if the totals differ; returns the left ones."""
-    rows = differing_totals(left, right, keys).select(*keys).limit(20).collect()
-    if rows:
-        raise ValueError(f"{what} differ in: " + "; ".join(", ".join(map(str, r)) for r in rows))
+    found = describe(differing_totals(left, right, keys), *keys)
+    if found:
+        raise ValueError(f"{what} differ in {found}")
     return left

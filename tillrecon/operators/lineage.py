@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tillrecon import fixed
@@ -66,33 +64,14 @@ def volume_metrics(
     return exploded.groupBy("metric").agg(F.sum("value").cast(VALUE_TYPE).alias("value"))
 
 
-def _plain(name: str) -> str:
-    return name.upper().replace("É", "E")
-
-
-def is_quantity(name: str) -> bool:
-    return any(word in _plain(name) for word in fixed.QUANTITY_WORDS)
-
-
-def is_amount(name: str) -> bool:
-    plain = _plain(name)
-    if is_quantity(name) or any(word in plain for word in fixed.RATE_WORDS):
-        return False
-    spaced = any(word in plain for word in fixed.AMOUNT_WORDS + fixed.AMOUNT_DESIGNATIONS)
-    return spaced or re.search(fixed.TAX_NAME, plain) is not None
+def measures_of(df: DataFrame, quantities=(), rates=()) -> list[str]:
+    """Columns that have a control total: decimals are amounts unless declared as rates; quantities are declared."""
+    amounts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)} - set(rates)
+    return [c for c in df.columns if c in amounts or c in set(quantities)]
 
 
-def numeric_totals(df: DataFrame, columns=None) -> DataFrame:
-    """Long (field, total): sum of every amount and quantity column of an output.
-
-    Columns are chosen by type and name; identifiers, rates and periods are left out.
-    """
-    if columns is None:
-        columns = [
-            f.name
-            for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and (is_amount(f.name) or is_quantity(f.name))
-        ]
+def numeric_totals(df: DataFrame, columns) -> DataFrame:
+    """Long (field, total): sum of each measure of an output."""
     if not columns:
         return df.sparkSession.createDataFrame([], f"field string, total {VALUE_TYPE}")
     sums = df.agg(*(F.sum(F.col(f"`{c}`")).cast(VALUE_TYPE).alias(c) for c in columns))
@@ -117,6 +96,7 @@ class Lineage:
 
     def __init__(self):
         self._counters: dict[tuple[str, str], Observation] = {}
+        self._counted: list[DataFrame] = []
         self._edges: list[tuple[str, str]] = []
 
     def declare(self, output: str, *sources: str) -> None:
@@ -129,26 +109,44 @@ class Lineage:
         self._counters[(output, counter)] = observation
         return df.observe(observation, counted.alias("n"))
 
+    def counted(self, df: DataFrame, output: str, counter: str) -> DataFrame:
+        """Count the rows of ``df``, on which ``output`` is built, when the counters are asked for.
+
+        Unlike an observation it does not depend on how, or how often, the output's plan runs this part.
+        """
+        names = F.lit(output).alias("output"), F.lit(counter).alias("counter")
+        self._counted.append(df.agg(F.count("*").alias("n")).select(*names, "n"))
+        return df
+
     def counts(self, spark: SparkSession) -> DataFrame:
         """(output, counter, n) of everything written so far; one row per counter."""
         rows = [(o, c, int(obs.get["n"])) for (o, c), obs in self._counters.items()]
-        return spark.createDataFrame(rows, "output string, counter string, n bigint")
+        found = spark.createDataFrame(rows, "output string, counter string, n bigint")
+        for one in self._counted:
+            found = found.unionByName(one)
+        return found
 
     def edges(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self._edges, "output string, source string")
 
 
-def lineage(written: DataFrame, edges: DataFrame, selected: DataFrame | None = None) -> DataFrame:
-    """Per output: rows read (what its immediate sources wrote), selected and written.
+def lineage(
+    written: DataFrame, edges: DataFrame, selected: DataFrame | None = None, read: DataFrame | None = None
+) -> DataFrame:
+    """Per output: rows read, selected and written.
 
     ``written`` (output, n); ``edges`` (output, source); ``selected`` (output, n) where an output
-    filters its sources, otherwise everything read counts as selected.
+    filters its sources, otherwise everything read counts as selected; ``read`` (output, n) where reading
+    was observed, otherwise what the immediate sources wrote.
     """
     source_rows = edges.join(
         written.select(F.col("output").alias("source"), F.col("n").alias("_n")), "source", "left"
     )
-    read = source_rows.groupBy("output").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_read"))
-    rows = written.withColumnRenamed("n", "n_written").join(read, "output", "left")
+    available = source_rows.groupBy("output").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_read"))
+    rows = written.withColumnRenamed("n", "n_written").join(available, "output", "left")
+    if read is not None:
+        rows = rows.join(read.withColumnRenamed("n", "_read"), "output", "left")
+        rows = rows.withColumn("n_read", F.coalesce("_read", "n_read")).drop("_read")
     if selected is not None:
         rows = rows.join(selected.withColumnRenamed("n", "_selected"), "output", "left")
     else:

@@ -7,11 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tillrecon import fixed
 from tillrecon.functions.money import MONEY_TYPE, as_zero
 from tillrecon.functions.periods import period_of
-from tillrecon.functions.text import fail_unless
+from tillrecon.functions.text import fail_unless, holds
 
 SUM_TYPE = "decimal(28,2)"
-# A configuration list longer than this is joined without a broadcast hint.
-BROADCAST_ROWS = 10_000
 
 REVENUE = ("total_ht", "total_vat20", "ttc")
 PAYMENTS = ("ttc", "pay_card", "pay_cheque", "pay_cash")
@@ -68,18 +66,21 @@ def for_natures(df: DataFrame, natures=fixed.NATURES, column: str = "designation
 
 
 def for_mode(df: DataFrame, mode: str, column: str = "mode", on_missing_mode: str = "fail") -> DataFrame:
-    """Rows of one mode. ``fail`` looks whether there is any; ``empty`` stays lazy."""
-    rows = df.filter(F.col(column) == mode)
-    if on_missing_mode == "fail" and rows.isEmpty():
-        raise ValueError(f"mode not in the data: {mode}")
+    """Rows of one mode. ``fail``: the job that reads them fails if there are none; ``empty``: it does not.
+
+    The look whether there are any is a subquery of that job.
+    """
+    own = F.col(column) == mode
+    rows = df.filter(own)
+    if on_missing_mode == "fail":
+        there = df.agg(holds(F.count_if(own) > 0, f"mode not in the data: {mode}").alias("there"))
+        rows = rows.filter(there.scalar())
     return rows
 
 
 def small_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """DataFrame of configuration rows; broadcast while its known length is small."""
-    rows = list(rows)
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+    """DataFrame of configuration rows; Spark knows their size and chooses the join by it."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def applicable_modes(
@@ -186,9 +187,14 @@ def conditional_totals(
 
 
 def occurrence_matrix(
-    rows: DataFrame, by, columns, values, name=safe_name
+    rows: DataFrame, by, columns, values=None, name=safe_name
 ) -> DataFrame:
-    """Row counts per ``by`` spread over the joined value of ``columns`` (for example file and mode)."""
+    """Row counts per ``by`` spread over the joined value of ``columns`` (for example file and mode).
+
+    Without ``values`` a job of its own looks for those that occur, so that an unexpected pair has its column.
+    """
     joined = F.concat_ws("_", *(F.col(c).cast("string") for c in columns))
+    if values is None:
+        values = [r[0] for r in rows.select(joined.alias("v")).distinct().orderBy("v").collect()]
     wide = rows.withColumn("_column", joined).groupBy(*by).pivot("_column", list(values)).count()
     return wide.select(*by, *(F.col(f"`{v}`").alias(name(v)) for v in values))

@@ -67,7 +67,13 @@ def _value_at(laid: DataFrame, carried: DataFrame, column: str) -> DataFrame:
 
 
 def _join_carried(rows: DataFrame, carried: DataFrame, by) -> DataFrame:
-    small = F.broadcast(carried.select(*(F.col(c).alias(f"_c{c}") for c in carried.columns)))
+    # At most one row per chunk.
+    return _join_summary(rows, F.broadcast(carried), by)
+
+
+def _join_summary(rows: DataFrame, summary: DataFrame, by) -> DataFrame:
+    """Join by chunk and group; a summary without a hint is broadcast if Spark finds it small enough."""
+    small = summary.select(*(F.col(c).alias(f"_c{c}") for c in summary.columns))
     same = F.col(CHUNK) == F.col(f"_c{CHUNK}")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_c{c}"))
@@ -107,15 +113,15 @@ def fill_down(df: DataFrame, by, order, column: str, alias: str, chunks: int | N
 
 
 def number_in_order(df: DataFrame, by, order, alias: str, chunks: int | None = None) -> DataFrame:
-    """Add the 1-based position of each row in its group."""
+    """Add the 1-based position of each row in its group.
+
+    The rows of a group have consecutive places within a chunk, so a row's number is its place less
+    the group's first place there, plus the rows of the group in earlier chunks. Both come from a
+    summary of one row per chunk and group; the stored rows are not moved again.
+    """
     laid = lay_out(df, by, order, chunks)
-    rows = laid.withColumn("_number", F.row_number().over(_within(by)))
-    carried = _carried(
-        laid,
-        by,
-        F.count("*"),
-        lambda part, w: F.sum(part).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-    )
-    joined = _join_carried(rows, carried, by)
-    number = F.col("_number") + F.coalesce(F.col("_c_carry"), F.lit(0))
-    return joined.select(*df.columns, number.cast("bigint").alias(alias))
+    parts = laid.groupBy(CHUNK, *by).agg(F.count("*").alias("_n"), F.min(PLACE).alias("_low"))
+    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_low")
+    joined = _join_summary(laid, parts.select(CHUNK, *by, offset.alias("_carry")), by)
+    return joined.select(*df.columns, (F.col(PLACE) + F.col("_c_carry")).cast("bigint").alias(alias))

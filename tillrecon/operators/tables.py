@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillrecon import fixed
 from tillrecon.functions.money import amount_text, whole_text
 from tillrecon.functions.periods import closing_period, iso_date
-from tillrecon.functions.text import blank_to_null, require_text
+from tillrecon.functions.text import blank_to_null, holds, require_text
 
 HEADER_ORDER = ("ticket_date", "ticket_time", "internal_no")
 LINE_ORDER = (*HEADER_ORDER, "line_pos")
@@ -23,16 +23,6 @@ def computed_once(df: DataFrame, keep, columns) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*columns))))
 
 
-def spread(scanned: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, for costly work per row on an input of few splits.
-
-    The number of splits is known when the scan is planned. An input that already fills the cluster
-    is returned as it is, so nothing is shuffled at scale.
-    """
-    cores = scanned.sparkSession.sparkContext.defaultParallelism
-    return scanned if scanned.rdd.getNumPartitions() >= cores else scanned.repartition(cores)
-
-
 def is_sale(type_: Column, ticket_no: Column, types=fixed.SALE_TYPES) -> Column:
     return type_.isin(*types) & blank_to_null(ticket_no).isNotNull()
 
@@ -65,7 +55,10 @@ def report_rows(lines: DataFrame, headers: DataFrame, key: str = "report_id") ->
 
 def with_closing_period(reports: DataFrame, file_name: str = "file_name", on_missing="fail") -> DataFrame:
     """Add ``year`` and ``period`` of the closing named in the file name."""
-    found = closing_period(F.col(file_name), on_missing)
+    found = closing_period(F.col(file_name), "null")
+    if on_missing == "fail":
+        message = F.concat(F.lit("no closing period in file name: "), F.col(file_name))
+        reports = reports.filter(holds(found["period"].isNotNull(), message))
     # The struct is a projection of its own, so the file name is searched once.
     return reports.withColumn("_closing", found).select(
         *reports.columns, F.col("_closing.year").alias("year"), F.col("_closing.period").alias("period")

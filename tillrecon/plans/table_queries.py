@@ -521,7 +521,7 @@ def normalise_scalars(spark, sf_dir):
         F.when(key % 3 == 0, S.digits("o_orderkey")).otherwise(F.col("o_orderpriority")).alias("number_text"),
     )
     year = P.strict_year(F.col("year_text"))
-    return tables.spread(rows).select(
+    return rows.select(
         "o_orderkey",
         M.amount_text(F.when(key % 5 != 0, F.col("price"))).alias("amount_text"),
         P.iso_date(F.col("date_text")).cast("string").alias("iso_date"),
@@ -542,7 +542,7 @@ def contract_text(spark, sf_dir):
         (F.col("block_id") % 50).cast("decimal(10,2)").alias("qty"),
     )
     return tables.contract_text(
-        tables.spread(tickets), ["internal_no"], ["ticket_date"], ["ttc", "pay_card"], ["qty"]
+        tickets, ["internal_no"], ["ticket_date"], ["ttc", "pay_card"], ["qty"]
     )
 
 
@@ -552,7 +552,7 @@ def contract_text(spark, sf_dir):
 @query
 def journal_roundtrip(spark, sf_dir):
     """Tickets printed as journal blocks and parsed back."""
-    tickets = tables.spread(S.tickets(spark, sf_dir))
+    tickets = S.tickets(spark, sf_dir)
     blocks = tickets.select("block_id", S.block_text().alias("block"))
     parsed = journal.parse_tickets(journal.parse_blocks(blocks))
     return parsed.select(
@@ -566,7 +566,7 @@ def journal_roundtrip(spark, sf_dir):
 @query
 def journal_lines_roundtrip(spark, sf_dir):
     """Ticket lines printed as articles and corrections and parsed back."""
-    printed = tables.spread(S.ticket_lines(spark, sf_dir))
+    printed = S.ticket_lines(spark, sf_dir)
     parsed = journal.parse_blocks(S.line_blocks(printed))
     lines = journal.parse_ticket_lines(parsed, ids=("block_id", "item", "part"))
     return lines.select(
@@ -578,7 +578,7 @@ def journal_lines_roundtrip(spark, sf_dir):
 @query
 def journal_rejects(spark, sf_dir):
     """Blocks that are broken, with the error found in each of them."""
-    printed = tables.spread(S.tickets(spark, sf_dir))
+    printed = S.tickets(spark, sf_dir)
     parsed = journal.parse_blocks(S.damaged_blocks(printed))
     _, rejected = journal.reject_blocks(parsed, "quarantine")
     return rejected.select("block_id", F.array_join("errors", ",").alias("error"))
@@ -634,9 +634,9 @@ def fingerprint_diff(spark, sf_dir):
 
 @query
 def numeric_totals(spark, sf_dir):
-    """Totals of the amount and quantity columns of an output, chosen by name."""
+    """Totals of the amounts and of the declared quantities of an output."""
     lines = S.ticket_lines(spark, sf_dir).drop("ship_date")
-    return lin.numeric_totals(lines).select("field", S.cents("total"))
+    return lin.numeric_totals(lines, lin.measures_of(lines, ("qty",))).select("field", S.cents("total"))
 
 
 @query
@@ -714,7 +714,7 @@ def file_roundtrip(spark, sf_dir):
     """Tickets written as journal files, one folder per shop, scanned and parsed back."""
     folder = new_folder(spark, "journals")
     text = F.concat(F.lit("1-----------------------"), S.block_text(euro=False))
-    tables.spread(S.tickets(spark, sf_dir)).select("shop", text.alias("value")).write.partitionBy("shop").option(
+    S.tickets(spark, sf_dir).select("shop", text.alias("value")).write.partitionBy("shop").option(
         "lineSep", "\n"
     ).text(folder)
     blocks = files.read_journals(spark, folder, ("SHOP=0", "SHOP=1"), pattern="part-*.txt")

@@ -7,13 +7,9 @@ from urllib.parse import urlsplit
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillrecon import fixed
-from tillrecon.functions.text import decode_cp1252, fail_unless
-from tillrecon.operators.journal import split_blocks
+from tillrecon.functions.text import decode_cp1252, holds
 from tillrecon.sources.staging import stage
 
-# Journals up to this size are read as one value; larger ones are cut into blocks by the scan.
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
-
 
 def _below_root(path: Column, root: str) -> Column:
     """The part of a path that starts with the root directory's own name."""
@@ -36,7 +32,7 @@ def with_shop(files: DataFrame, root: str, shops, on_unclear: str = "skip") -> D
     shop = shop_from_path(F.col("path"), root, shops)
     if on_unclear == "fail":
         message = F.concat(F.lit("not exactly one shop in path: "), F.col("path"))
-        return files.withColumn("shop", fail_unless(shop.isNotNull(), shop, message))
+        return files.withColumn("shop", shop).filter(holds(F.col("shop").isNotNull(), message))
     found = files.withColumn("shop", shop)
     if on_unclear == "skip":
         return found.filter(F.col("shop").isNotNull())
@@ -63,71 +59,59 @@ def read_binary(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 
 def read_journals(
-    spark: SparkSession,
-    root: str,
-    shops,
-    pattern: str = fixed.JOURNAL_NAMES,
-    on_unclear: str = "skip",
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    spark: SparkSession, root: str, shops, pattern: str = fixed.JOURNAL_NAMES, on_unclear: str = "skip"
 ) -> DataFrame:
     """Blocks of all journals below ``root``: path, rel_path, file_name, shop, block_pos, block, block_id.
 
-    Small files come as one value each and are split in place. Files above ``whole_file_bytes`` are
-    read by a text scan whose record separator is the ticket separator, so a single huge journal is
-    spread over many tasks. Which way a file goes is decided by its size in the file listing; the
-    other reader never opens it.
+    One text scan, whose record separator is the ticket separator, reads files of any size, a huge one
+    in many tasks. Its records are stored with their split and their place in it; positions are counted
+    on the stored rows, so neither the settings of a later session nor another number of cores can
+    change them.
     """
-    found = read_binary(spark, root, pattern)
-    size = F.col("_metadata.file_size")
-    small = found.filter(size <= whole_file_bytes).select(
-        *_names(F.col("path"), root),
-        F.posexplode(split_blocks(decode_cp1252(F.col("content")))).alias("block_pos", "block"),
-    ).withColumn("block_pos", F.col("block_pos").cast("bigint"))
-    # Asks the listing only: no file is opened for it.
-    if found.filter(size > whole_file_bytes).select("path").isEmpty():
-        blocks = small
-    else:
-        blocks = small.unionByName(_large_journals(spark, root, pattern, whole_file_bytes))
-    return with_shop(blocks, root, shops, on_unclear).withColumn(
+    records = stage(_records(spark, root, pattern), "records")
+    # Position of a record in its file: its place within its split plus the records of the splits
+    # before. One row per split.
+    splits = records.groupBy("path", "_start").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("path").orderBy("_start")
+    earlier = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("path", "_start", "_first", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_at") - F.col("_first")
+    placed = records.join(splits, ["path", "_start"]).select("path", position.alias("_pos"), "content")
+    # The scan has no record behind a separator at the very end; the block that begins there is empty.
+    mark = len(fixed.TICKET_SEPARATOR)
+    read = records.groupBy("path").agg(
+        F.count("*").alias("_pos"),
+        F.sum(F.octet_length("content") + mark).alias("_read"),
+        F.first("_size").alias("_size"),
+    )
+    # A byte-order mark is read over.
+    ends = read.filter(F.col("_size").isin(F.col("_read"), F.col("_read") + 3))
+    last = ends.select("path", F.col("_pos").cast("bigint").alias("_pos"), F.lit("").cast("binary").alias("content"))
+    # Record 0 of a file is what stands before its first separator.
+    blocks = placed.unionByName(last).filter("_pos > 0")
+    named = blocks.select(
+        *_names(F.col("path"), root), (F.col("_pos") - 1).alias("block_pos"), decode_cp1252(F.col("content")).alias("block")
+    )
+    return with_shop(named, root, shops, on_unclear).withColumn(
         "block_id", F.concat_ws("#", "rel_path", F.col("block_pos").cast("string"))
     )
 
 
-def _large_journals(spark, root, pattern, whole_file_bytes) -> DataFrame:
+def _records(spark: SparkSession, root: str, pattern: str, separator: str = fixed.TICKET_SEPARATOR) -> DataFrame:
+    """Bytes between separators, with file, split, place in reading order and size of the file."""
     raw_path = F.col("_metadata.file_path")
-    records = (
-        spark.read.option("lineSep", fixed.TICKET_SEPARATOR)
+    return (
+        spark.read.option("lineSep", separator)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .text(root)
-        .filter(F.col("_metadata.file_size") > whole_file_bytes)
         .select(
             F.url_decode(F.replace(raw_path, F.lit("+"), F.lit("%2B"))).alias("path"),
             F.col("_metadata.file_block_start").alias("_start"),
+            F.col("_metadata.file_size").alias("_size"),
             F.monotonically_increasing_id().alias("_at"),
             # The text source hands the bytes over as they are.
-            decode_cp1252(F.col("value").cast("binary")).alias("block"),
-        )
-    )
-    # Position of a record in its file: its place within its split plus the records of the splits
-    # before. A reading that only counts gives one row per split. These are stored, so that Spark
-    # knows their size when it chooses between broadcasting them and shuffling both sides.
-    splits = records.groupBy("path", "_start").agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first")
-    )
-    before = Window.partitionBy("path").orderBy("_start")
-    earlier = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
-    splits = stage(
-        splits.select("path", "_start", "_first", F.coalesce(earlier, F.lit(0)).alias("_before")),
-        "splits",
-    )
-    position = F.col("_before") + F.col("_at") - F.col("_first")
-    # Record 0 of a file is what stands before its first separator.
-    return (
-        records.join(splits, ["path", "_start"])
-        .filter(position > 0)
-        .select(
-            *_names(F.col("path"), root), (position - 1).alias("block_pos"), F.col("block")
+            F.col("value").cast("binary").alias("content"),
         )
     )
 
@@ -169,6 +153,21 @@ def source_fingerprints(
     )
 
 
+def content_marks(
+    spark: SparkSession, root: str, pattern: str = "*.{[tT][xX][tT],[cC][sS][vV]}"
+) -> DataFrame:
+    """A mark of the content of every source file, of any size: rel_path, mark.
+
+    Two sums over the lines, each hashed with what its line is, and the size of the file. Lines are
+    hashed where they are read and only sums cross the network. Lines of one file that change
+    places keep its mark; :func:`source_fingerprints` tells these apart for files below 2 GB.
+    """
+    lines = _records(spark, root, pattern, "\n")
+    sums = [F.sum(F.xxhash64(F.lit(seed), "content").cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
+    marks = lines.groupBy("path").agg(F.concat_ws("-", F.first("_size").cast("string"), *sums).alias("mark"))
+    return marks.select(_below_root(F.col("path"), root).alias("rel_path"), "mark")
+
+
 def diff_fingerprints(
     before: DataFrame, after: DataFrame, key: str = "rel_path", mark: str = "sha256"
 ) -> DataFrame:

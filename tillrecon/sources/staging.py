@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders staged since the outermost open scope began.
+_open: list[list[tuple[SparkSession, str]]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a local one is made only where none is set."""
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Without one, a session whose executors are threads of the driver gets a local folder; any other
+    session is refused, since its executors could not read what another machine has written.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tillrecon-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
@@ -19,7 +29,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tillrecon/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tillrecon/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append((spark, path))
+    return path
+
+
+@contextmanager
+def scope():
+    """Remove, at the end, what was staged within: for runs that write their results elsewhere."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _open.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
