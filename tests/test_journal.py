@@ -5,10 +5,10 @@ import pytest
 
 from tillrecon.operators import journal
 
-HEAD = "\nREG  02-01-2023 11:25\n004517\n"
+HEAD = "\nREG  17-06-2021 09:08\n81006\n"
 FULL = HEAD + (
-    "1 DEPT001 T1 €299.00\nHORS TAXE 1 €249.17\nTVA 1 €49.83\nTOTAL €299.00\nCARTES €299.00\n"
-    "FACTURE No. 003562\n2-----------------------\nSIGNATURE_1\nSIGNATURE_2\n"
+    "3 TEAPOT T2 €87.60\nHORS TAXE 1 €73.00\nTVA 1 €14.60\nTOTAL €87.60\nCARTES €87.60\n"
+    "FACTURE No. A-19\n2-----------------------\nsealed by\ntill seven\n"
 )
 
 
@@ -29,17 +29,17 @@ def lines_of(row):
 def test_full_ticket(parse):
     (t,) = parse(FULL)
     assert (t.type, t.internal_no, t.ticket_no, t.ticket_date, t.ticket_time) == (
-        "REG", "004517", "003562", date(2023, 1, 2), "11:25",
+        "REG", "81006", "A-19", date(2021, 6, 17), "09:08",
     )
-    assert (t.ht1, t.vat1, t.ttc, t.pay_card) == tuple(map(Decimal, ("249.17", "49.83", "299.00", "299.00")))
+    assert (t.ht1, t.vat1, t.ttc, t.pay_card) == tuple(map(Decimal, ("73.00", "14.60", "87.60", "87.60")))
     assert t.ht2 is t.vat2 is t.ht_exempt is t.pay_cash is t.pay_cheque is t.event is None
-    assert t.signature == "SIGNATURE_1\nSIGNATURE_2" and t.errors == []
-    assert lines_of(t) == [(1, 1, "DEPT001", "T1", Decimal("299.00"), None)]
+    assert t.signature == "sealed by\ntill seven" and t.errors == []
+    assert lines_of(t) == [(1, 3, "TEAPOT", "T2", Decimal("87.60"), None)]
 
 
 def test_two_equal_lines_without_label(parse):
-    (t,) = parse(HEAD + " 1           T1  €329.00\n 1           T1  €329.00\n")
-    assert lines_of(t) == [(i, 1, None, "T1", Decimal("329.00"), None) for i in (1, 2)]
+    (t,) = parse(HEAD + " 1           T1  €41.30\n 1           T1  €41.30\n")
+    assert lines_of(t) == [(i, 1, None, "T1", Decimal("41.30"), None) for i in (1, 2)]
     assert t.signature is None and t.errors == []
 
 
@@ -147,7 +147,7 @@ def test_reject_modes(spark):
     with pytest.raises(Exception, match="invalid ticket block 2 total:amount"):
         journal.reject_blocks(parsed, "fail", ("block_id",)).collect()
     lines = journal.parse_ticket_lines(good, carry=("internal_no",)).collect()
-    assert [(l.block_id, l.internal_no, l.amount) for l in lines] == [(1, "004517", Decimal("299.00"))]
+    assert [(l.block_id, l.internal_no, l.amount) for l in lines] == [(1, "81006", Decimal("87.60"))]
 
 
 def test_a_filter_does_not_repeat_the_parsing(spark):

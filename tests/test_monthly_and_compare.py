@@ -14,25 +14,25 @@ def frame(spark, columns, *rows):
 
 
 def test_missing_counts_as_zero(spark):
-    left = frame(spark, "q a", (2024, "2024-01", 1, 10), (2024, "2024-02", 5, 100))
-    right = frame(spark, "q a", (2024, "2024-01", 2, 3), (2024, "2024-03", 3, 50))
+    left = frame(spark, "q a", (2021, "2021-05", 4, 12.5), (2021, "2021-07", 9, 81))
+    right = frame(spark, "q a", (2021, "2021-05", 4, 12.75), (2021, "2021-06", 2, 6.4))
     gaps = compare.reconcile(left, right, {"q": ("q", "q"), "a": ("a", "a")}, "zero")
     assert [tuple(r) for r in tables.in_order(gaps, "year", "period").collect()] == [
-        (2024, "2024-01", D("-1.00"), D("7.00"), "both"),
-        (2024, "2024-02", D("5.00"), D("100.00"), "left_only"),
-        (2024, "2024-03", D("-3.00"), D("-50.00"), "right_only"),
+        (2021, "2021-05", D("0.00"), D("-0.25"), "both"),
+        (2021, "2021-06", D("-2.00"), D("-6.40"), "right_only"),
+        (2021, "2021-07", D("9.00"), D("81.00"), "left_only"),
     ]
 
 
 def test_missing_stays_blank(spark):
-    z2 = frame(spark, "CARTES CHEQUES", (2024, "2024-01", 5, 5), (2024, "2024-02", 160, None), (2023, "2023-02", 1, 1))
-    ej = frame(spark, "card cheque", (2024, "2024-02", 100, 15), (2024, "2024-03", 7, 7), (2023, "2023-02", 1, 1))
+    z2 = frame(spark, "CARTES CHEQUES", (2024, "2024-01", 11, 2), (2024, "2024-02", 48.2, None), (2022, "2022-09", 3, 3))
+    ej = frame(spark, "card cheque", (2024, "2024-02", 40, 6.1), (2024, "2024-03", 8, 9), (2022, "2022-09", 4, 4))
     gaps = compare.reconcile(
         z2, ej, {"qty": None, "card": ("CARTES", "card"), "cheque": ("CHEQUES", "cheque")}, "null", year=2024
     )
     assert [tuple(r) for r in tables.in_order(gaps, "period").collect()] == [
         (2024, "2024-01", None, None, None, "left_only"),
-        (2024, "2024-02", None, D("60.00"), D("-15.00"), "both"),
+        (2024, "2024-02", None, D("8.20"), D("-6.10"), "both"),
         (2024, "2024-03", None, None, None, "right_only"),
     ]
     absent = compare.missing_periods(gaps).collect()

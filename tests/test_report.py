@@ -7,11 +7,11 @@ from tillrecon.operators import report
 
 REPORT = "\r\n".join(
     [
-        '"MODELE          ","                "', '"MACHINE         ","MC#01   "', '"RAPPORT         ","FONC FIXES  "',
-        '"FICHIER         ","FILE001"', '"MODE            ","Z   "', '"COMPTEUR Z      ","0021"',
-        '"DATE            ","01-04-2023"', '"HEURE           ","13:48"', "",
+        '"MODELE          ","                "', '"MACHINE         ","DESK 9  "', '"RAPPORT         ","TOTALS      "',
+        '"FICHIER         ","FILE230"', '"MODE            ","Z   "', '"COMPTEUR Z      ","0388"',
+        '"DATE            ","30-11-2022"', '"HEURE           ","20:15"', "",
         '"ENREGISTREMENT  ","DESIGNATION     ","QUANTITE/No     ","MONTANT         "',
-        '"0001","CA BRUT     ","75","25,372.00"', '"0002","CA NET      ","25","-8,301.00"', "",
+        '"0001","CA BRUT     ","12","1,904.50"', '"0002","CA NET      ","3","-17.25"', "",
     ]
 )
 
@@ -27,11 +27,11 @@ def parse(spark):
 
 def test_valid(parse):
     r = parse(REPORT)
-    assert (r.model, r.machine, r.report, r.file_code, r.mode, r.counter) == ("", "MC#01", "FONC FIXES", "FILE001", "Z", "0021")
-    assert (r.report_date, r.report_time, r.errors) == (date(2023, 4, 1), "13:48", [])
+    assert (r.model, r.machine, r.report, r.file_code, r.mode, r.counter) == ("", "DESK 9", "TOTALS", "FILE230", "Z", "0388")
+    assert (r.report_date, r.report_time, r.errors) == (date(2022, 11, 30), "20:15", [])
     assert [tuple(l) for l in r.lines] == [
-        (1, "0001", "CA BRUT", 75, Decimal("25372.00")),
-        (2, "0002", "CA NET", 25, Decimal("-8301.00")),
+        (1, "0001", "CA BRUT", 12, Decimal("1904.50")),
+        (2, "0002", "CA NET", 3, Decimal("-17.25")),
     ]
 
 
@@ -41,16 +41,16 @@ def test_plain_line_ends_and_quotes_in_a_field(parse):
 
 
 BROKEN = [
-    ('"HEURE           ","13:48"\r\n', "", "header:short"),
-    ('"MC#01   "', '"MC#01","x"', "header:MACHINE:words"),
+    ('"HEURE           ","20:15"\r\n', "", "header:short"),
+    ('"DESK 9  "', '"DESK 9","x"', "header:MACHINE:words"),
     ('"FICHIER         "', '"FILE"', "header:FICHIER:key"),
-    ("01-04-2023", "31-02-2023", "header:DATE:date"),
+    ("30-11-2022", "31-02-2023", "header:DATE:date"),
     ('"DESIGNATION     "', '"LABEL"', "titles"),
-    (',"25,372.00"', "", "line:columns"),
-    ('"75"', '"x"', "line:quantity"),
-    ('"75"', '"1,000"', "line:quantity"),
-    ("25,372.00", "25372", "line:amount"),
-    ('"-8,301.00"\r\n', '"-8,301.00"\r\n\r\n', "line:columns"),
+    (',"1,904.50"', "", "line:columns"),
+    ('"12"', '"x"', "line:quantity"),
+    ('"12"', '"1,000"', "line:quantity"),
+    ("1,904.50", "19045", "line:amount"),
+    ('"-17.25"\r\n', '"-17.25"\r\n\r\n', "line:columns"),
     ("\r\n\r\n", "\r\n", "separator:missing"),
 ]
 
@@ -63,7 +63,7 @@ def test_rejects(spark):
 
 
 def test_reject_modes(spark):
-    df = spark.createDataFrame([("a", REPORT), ("b", REPORT.replace("75", "x"))], "file_name string, text string")
+    df = spark.createDataFrame([("a", REPORT), ("b", REPORT.replace('"12"', '"x"'))], "file_name string, text string")
     parsed = report.parse_reports(df)
     good, bad = report.reject_reports(parsed, "quarantine")
     assert [r.file_name for r in good.collect()] == ["a"] and [r.file_name for r in bad.collect()] == ["b"]

@@ -204,6 +204,41 @@ def line_blocks(lines: DataFrame) -> DataFrame:
     return lines.select("block_id", F.col("line_pos").alias("item"), "part", text.alias("block"))
 
 
+def ticket_blocks(tickets: DataFrame, lines: DataFrame) -> DataFrame:
+    """Tickets with all their lines as the tills print them: block_id, block.
+
+    Articles with their corrections, net and tax of four codes, an untaxed amount, and two invoice
+    lines of which the last counts. A ticket's lines are few and become one text.
+    """
+    cent = (F.col("amount") * 100).cast("bigint")
+    order = ("line_pos", "part", "qty", cent.alias("cent"), "_corrected", F.col("label").isNotNull().alias("named"))
+    article = F.concat(
+        F.col("qty").cast("string"), F.lit(" "), F.coalesce("label", F.lit("")), F.lit(" "), "vat_code", F.lit(" "), printed(F.col("amount")), F.lit("\n")
+    )
+    correction = F.when(
+        F.col("correction").isNotNull(), F.concat(F.lit("CORRECTION €-"), F.format_number(F.abs("correction"), 2), F.lit("\n"))
+    )
+    each = lines.withColumn("_corrected", F.col("correction").isNotNull()).select(
+        "block_id", F.struct(*order, F.concat_ws("", article, correction).alias("text")).alias("line")
+    )
+    body = each.groupBy("block_id").agg(F.array_sort(F.collect_list("line")).alias("printed"))
+    codes = F.concat_ws(
+        "",
+        *(
+            F.concat(F.lit(f"HORS TAXE {code} €"), (F.col("block_id") % 97 + int(code)).cast("string"), F.lit(f".00\nTVA {code} €{code}.50\n"))
+            for code in fixed.VAT_CODES
+        ),
+    )
+    kind = F.when(F.col("type") == "P", "_R_F").otherwise("REG")
+    text = F.concat(
+        F.lit("\n"), kind, F.lit("  "), F.date_format("ticket_date", "dd-MM-yyyy"), F.lit(" "), F.col("ticket_time"),
+        F.lit("\n"), F.col("internal_no"), F.lit("\n"), F.array_join("printed.text", ""), codes, F.lit("NON TAXABLE €"),
+        (F.col("block_id") % 13).cast("string"), F.lit(".00\nTOTAL "), printed(F.col("ttc")),
+        F.lit("\nFACTURE No. 1\nFACTURE No. "), F.col("internal_no"), F.lit("\n"),
+    )
+    return tickets.join(body, "block_id").select("block_id", text.alias("block"))
+
+
 # Ways to break a block, and the error each of them has to give.
 DAMAGES = (
     ("header:format", "\nREG 02/01/2023 11:25\n7\n"),
@@ -233,9 +268,9 @@ def damaged_blocks(tickets: DataFrame) -> DataFrame:
 
 REPORT_HEAD = (
     '"MODELE          ","                "',
-    '"MACHINE         ","MC#01   "',
-    '"RAPPORT         ","FONC FIXES  "',
-    '"FICHIER         ","FILE001"',
+    '"MACHINE         ","TILL-7  "',
+    '"RAPPORT         ","MONTH END   "',
+    '"FICHIER         ","FILE042"',
 )
 
 

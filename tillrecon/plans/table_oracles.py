@@ -138,6 +138,12 @@ SELECT year, period,
 FROM (SELECT * FROM shops WHERE shop = '0') a
 FULL JOIN (SELECT * FROM shops WHERE shop = '1') b USING (year, period)"""
 
+ORACLES["consolidate_strict"] = ORACLES["consolidate"].replace("FULL JOIN", "JOIN")
+
+ORACLES["control_differs"] = f"""
+WITH {ROWS}
+SELECT DISTINCT mode, year, period FROM rows_ WHERE nature = 'view' AND substr(period, 9, 2) <= '10'"""
+
 ORACLES["compare_declared"] = f"""
 WITH {CONSOLIDATED},
 own AS (SELECT year, period, a.ht + b.ht AS ht, a.vat + b.vat AS vat, a.ttc + b.ttc AS ttc
@@ -159,7 +165,7 @@ rows_ AS (
            WHEN 'AF' THEN 'CA BRUT' WHEN 'AO' THEN 'CA NET' WHEN 'NF' THEN 'HORS TAXES 1'
            WHEN 'NO' THEN 'HORS TAXES 1' WHEN 'RF' THEN 'TVA 1' ELSE 'ESP.TIROIR' END AS name
   FROM items)"""
-NOT_EXCLUDED = """NOT (year = 1997 AND ((shop = 'A' AND mode IN ('ZZ1', 'ZZ2')) OR (shop = 'B' AND mode = 'Z')))"""
+NOT_EXCLUDED = """NOT ((shop = 'A' AND mode = 'Z' AND year = 1994) OR (shop = 'B' AND mode = 'ZZ2' AND year = 1996))"""
 
 ORACLES["applicable_modes"] = f"""
 WITH {SYNTHESIS}
@@ -188,6 +194,11 @@ WITH {TICKETS}
 SELECT block_id, shop, year, type, ticket_no FROM tickets
 WHERE type IN ('F', 'P') AND nullif(trim(ticket_no), '') IS NOT NULL"""
 
+ORACLES["sales_shop_year"] = f"""
+WITH {TICKETS}
+SELECT block_id, shop, year, type, ticket_no FROM tickets
+WHERE type IN ('F', 'P') AND nullif(trim(ticket_no), '') IS NOT NULL AND shop = '1' AND year = 1995"""
+
 ORACLES["ordered_headers"] = f"""
 WITH {TICKETS}
 SELECT shop, row_number() OVER (PARTITION BY shop ORDER BY ticket_date, ticket_time, internal_no)
@@ -365,6 +376,42 @@ UNION ALL
 SELECT l_orderkey, l_linenumber, l_partkey, 2, NULL, NULL, NULL, NULL, -(amount // 10)
 FROM items WHERE l_returnflag = 'R'"""
 
+PRINTED = """printed AS (
+  SELECT l_orderkey AS block_id, CAST(l_quantity AS BIGINT) AS qty,
+         CASE WHEN l_linestatus = 'F' THEN 'PART ' || CAST(l_partkey AS VARCHAR) END AS label,
+         'T' || CAST(l_linenumber % 4 + 1 AS VARCHAR) AS vat_code, amount, l_returnflag = 'R' AS corrected,
+         CASE WHEN t.type = 'P' THEN -1 ELSE 1 END AS sign,
+         sum(1 + CAST(l_returnflag = 'R' AS INTEGER)) OVER (
+           PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_partkey, l_quantity, amount, l_returnflag = 'R', l_linestatus = 'F'
+           ROWS UNBOUNDED PRECEDING) AS last_pos
+  FROM items JOIN tickets t ON t.block_id = l_orderkey)"""
+
+ORACLES["journal_full_lines"] = f"""
+WITH {TICKETS}, {ITEMS}, {PRINTED}
+SELECT block_id, CAST(last_pos - CAST(corrected AS INTEGER) AS INTEGER) AS line_pos, qty, label, vat_code,
+       {big('sign * amount', 'amount')}, CAST(NULL AS BIGINT) AS correction
+FROM printed
+UNION ALL
+SELECT block_id, CAST(last_pos AS INTEGER), NULL, NULL, NULL, NULL, -(amount // 10) FROM printed WHERE corrected"""
+
+ORACLES["journal_full_headers"] = f"""
+WITH {TICKETS}, {ITEMS}, {PRINTED},
+n AS (SELECT block_id, max(last_pos) AS n FROM printed GROUP BY block_id),
+k AS (SELECT *, CASE WHEN type = 'P' THEN -1 ELSE 1 END AS sign FROM tickets)
+SELECT k.block_id, CASE WHEN type = 'P' THEN '_R_F' ELSE 'REG' END AS type, internal_no AS ticket_no,
+       {', '.join(big(f'sign * (k.block_id % 97 + {c}) * 100', f'ht{c}') for c in '1234')},
+       {', '.join(big(f'sign * ({c} * 100 + 50)', f'vat{c}') for c in '1234')},
+       {big('sign * (k.block_id % 13) * 100', 'ht_exempt')}, {big('sign * ttc', 'ttc')},
+       CAST(n AS INTEGER) AS n_lines, 0 AS n_errors
+FROM k JOIN n USING (block_id)"""
+
+ORACLES["contract_header"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey,
+       list_extract(['key|name', 'Key|NAME', 'name|key'], CAST(n_nationkey % 3 + 1 AS INTEGER)) AS header,
+       list_extract(['exact', 'case', 'wrong'], CAST(n_nationkey % 3 + 1 AS INTEGER)) AS verdict
+FROM nation"""
+
 ORACLES["journal_rejects"] = """
 SELECT o_orderkey AS block_id,
        list_extract(['header:format', 'header:date', 'header:time', 'header:internal_no', 'ht:amount',
@@ -377,7 +424,7 @@ WITH {ROWS},
 t AS (SELECT period, mode, nature, count(*) AS qty, sum(amount) AS amount,
              row_number() OVER (PARTITION BY period, mode ORDER BY nature) AS n
       FROM rows_ GROUP BY period, mode, nature)
-SELECT period || '/' || mode AS report_id, mode, 'MC#01' AS machine, 'FILE001' AS file_code,
+SELECT period || '/' || mode AS report_id, mode, 'TILL-7' AS machine, 'FILE042' AS file_code,
        '0021' AS counter, period AS report_date, CAST(n AS INTEGER) AS line_pos,
        lpad(CAST(n AS VARCHAR), 4, '0') AS record_no, nature AS designation, qty,
        {big('amount', 'amount')}, 0 AS n_errors

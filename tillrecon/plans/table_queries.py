@@ -176,6 +176,26 @@ def pivot_control(spark, sf_dir):
     return _in_cents(marked, keys, plain=("differs",))
 
 
+@query
+def control_differs(spark, sf_dir):
+    """Periods and modes in which a control that misses rows of one nature differs from the pivot."""
+    rows = S.report_lines(spark, sf_dir)
+    keys = ("mode", "year", "period")
+    pivot = monthly.mode_totals(rows, None, S.EVENT_TYPES, by=("mode",), sum_type=QTY_TYPE)
+    fewer = rows.filter(~((F.col("designation") == "view") & (F.substring("period", 9, 2) <= "10")))
+    control = monthly.conditional_totals(fewer, S.EVENT_TYPES, by=("mode",), sum_type=QTY_TYPE)
+    return compare.differing_totals(pivot, control, keys).select(*keys)
+
+
+@query
+def consolidate_strict(spark, sf_dir):
+    """Months that every shop has, consolidated with the check that each has them once."""
+    by_shop = _ordered(spark, sf_dir, ("shop",)).withColumn("shop", F.concat(F.lit("s"), "shop"))
+    complete = by_shop.groupBy(*compare.KEYS).agg(F.count("*").alias("n")).filter("n = 2").drop("n")
+    months = by_shop.join(complete, list(compare.KEYS), "left_semi")
+    return _in_cents(compare.consolidate(months, ("s0", "s1"), monthly.REVENUE), compare.KEYS)
+
+
 @query
 def consolidate(spark, sf_dir):
     """Months of both shops and their total."""
@@ -216,13 +236,17 @@ def compare_declared(spark, sf_dir):
     return _in_cents(compared, compare.KEYS)
 
 
+# (mode, shop, year) that the queries leave out.
+NOT_PRODUCED = [("Z", "A", 1994), ("ZZ2", "B", 1996)]
+
+
 @query
 def applicable_modes(spark, sf_dir):
     """Requested modes per shop and year, without the excluded ones, with overrides."""
     rows = S.synthesis_lines(spark, sf_dir).select("mode", "shop", "year").distinct()
     return monthly.applicable_modes(
         rows,
-        excluded=[("ZZ1", "A", 1997), ("ZZ2", "A", 1997), ("Z", "B", 1997)],
+        excluded=NOT_PRODUCED,
         overrides={("Z", "A", 1998): "ZZ2"},
     )
 
@@ -235,7 +259,7 @@ def z1_mode_totals(spark, sf_dir):
     )
     excluded = monthly.small_table(
         spark,
-        [("ZZ1", "A", 1997), ("ZZ2", "A", 1997), ("Z", "B", 1997)],
+        NOT_PRODUCED,
         "mode string, shop string, year int",
     )
     rows = rows.join(excluded, ["mode", "shop", "year"], "left_anti")
@@ -294,6 +318,14 @@ def sales_only(spark, sf_dir):
     return tables.for_shop_year(sold).select("block_id", "shop", "year", "type", "ticket_no")
 
 
+@query
+def sales_shop_year(spark, sf_dir):
+    """Exported tickets of one shop and one year."""
+    dated = S.tickets(spark, sf_dir).withColumn("year", F.year("ticket_date"))
+    sold = tables.sales_only(dated, types=("F", "P"))
+    return tables.for_shop_year(sold, "1", 1995).select("block_id", "shop", "year", "type", "ticket_no")
+
+
 @query
 def ordered_headers(spark, sf_dir):
     """Position of every ticket in its shop by date, time and internal number."""
@@ -575,6 +607,27 @@ def journal_lines_roundtrip(spark, sf_dir):
     )
 
 
+def _printed_tickets(spark, sf_dir) -> DataFrame:
+    return journal.parse_blocks(S.ticket_blocks(S.tickets(spark, sf_dir), S.ticket_lines(spark, sf_dir)))
+
+
+@query
+def journal_full_headers(spark, sf_dir):
+    """Headers of tickets with all their lines, four tax codes, an untaxed amount and two invoice lines."""
+    codes = [f"{kind}{code}" for kind in ("ht", "vat") for code in "1234"]
+    return _printed_tickets(spark, sf_dir).select(
+        "block_id", "type", "ticket_no", *(S.cents(c) for c in (*codes, "ht_exempt", "ttc")),
+        F.size("lines").alias("n_lines"), F.size("errors").alias("n_errors"),
+    )
+
+
+@query
+def journal_full_lines(spark, sf_dir):
+    """Lines of the same tickets, in the order in which they are printed."""
+    lines = journal.parse_ticket_lines(_printed_tickets(spark, sf_dir))
+    return lines.select("block_id", "line_pos", "qty", "label", "vat_code", S.cents("amount"), S.cents("correction"))
+
+
 @query
 def journal_rejects(spark, sf_dir):
     """Blocks that are broken, with the error found in each of them."""
@@ -724,6 +777,21 @@ def file_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def contract_header(spark, sf_dir):
+    """Files of one nation each, with the contract's header, one in another case, or another one."""
+    folder = new_folder(spark, "headers")
+    key = F.col("n_nationkey")
+    header = F.when(key % 3 == 0, "key|name").when(key % 3 == 1, "Key|NAME").otherwise("name|key")
+    row = F.concat_ws("|", key.cast("string"), "n_name")
+    S.table(spark, sf_dir, "nation").select("n_nationkey", F.concat_ws("\n", header, row).alias("value")).write.partitionBy(
+        "n_nationkey"
+    ).text(folder)
+    found = contract.header_verdicts(spark, folder, "key string, name string")
+    nation = F.regexp_extract("file", r"n_nationkey=(\d+)", 1).cast("bigint")
+    return found.select(nation.alias("n_nationkey"), "header", "verdict")
+
+
 TICKET_CSV = {
     "internal_no": "string",
     "ticket_no": "string",
