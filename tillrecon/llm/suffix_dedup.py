@@ -50,7 +50,7 @@ from tillrecon.llm.common import (
 GRAM = 32
 #: Trigger of the parse: bytes hashed, and one place in so many triggers.
 TRIGGER, PHRASE = 16, 64
-SHARD_DOCS, STRETCH, PASS_BYTES = 4096, 1 << 16, 4 << 20
+SHARD_DOCS, STRETCH, PASS_BYTES = 512, 1 << 16, 3 << 19
 _NO_ID = -(2**63)
 
 
@@ -126,8 +126,8 @@ def _ranks(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
     # Ranks are the places of a group's first element, so that a group can be refined within its places.
-    group = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    rank = np.empty(len(order), np.int64)
+    group = np.maximum.accumulate(np.where(new, np.arange(len(order), dtype=np.int32), 0))
+    rank = np.empty(len(order), np.int32)
     rank[order] = group
     return order, rank
 
@@ -145,7 +145,8 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray, most: int | None = None)
         key, span = np.zeros(n, np.uint64), 8
         wide = np.concatenate((symbols, np.zeros(8, np.uint8)))
         for k in range(8):
-            key = (key << np.uint64(8)) | np.where(left > k, wide[k : k + n], 0).astype(np.uint64)
+            key <<= np.uint64(8)
+            key |= wide[k : k + n] * (left > k)
     else:
         key, span = symbols, 1
     _, rank = _ranks((key,))
@@ -165,7 +166,6 @@ def suffix_ranks(symbols: np.ndarray, left: np.ndarray, most: int | None = None)
         # Suffixes of the group that ended earlier keep its first places.
         ended = count[a] - np.bincount(a, minlength=n)[a]
         group = np.maximum.accumulate(np.where(fresh, np.arange(len(a)), 0))
-        rank = rank.copy()
         rank[tied[order]] = a + ended + (group - start)
         span *= 2
     return rank
@@ -206,13 +206,13 @@ def corpus_order(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     _, first, word = np.unique(name, return_index=True, return_inverse=True)
     size = (end - begin)[first]
     base = np.concatenate(([0], np.cumsum(size)))
-    inside = np.arange(base[-1]) - np.repeat(base[:-1], size)
-    source = np.repeat(begin[first], size) + inside
-    left = np.repeat(size, size) - inside
-    in_close = value[source] == np.uint64(12345)
-    letters = text[source].astype(np.int64) + 1
-    letters[in_close] = 0
-    ranks = suffix_ranks(letters, left) if (letters > 255).any() else suffix_ranks(letters.astype(np.uint8), left)
+    inside = np.arange(base[-1], dtype=np.int32) - np.repeat(base[:-1].astype(np.int32), size)
+    source = np.repeat(begin[first].astype(np.int32), size) + inside
+    left = np.repeat(size.astype(np.int32), size) - inside
+    letters = text[source].astype(np.int16) + 1
+    letters[value[source] == np.uint64(12345)] = 0
+    del hashes, is_trigger, closing, sums, value, text, inside, source
+    ranks = suffix_ranks(letters if letters.max(initial=0) > 255 else letters.astype(np.uint8), left)
 
     # Parse: ranks of the phrases in a row, up to the close of the piece.
     rank_of_phrase = ranks[base[:-1]][word]
@@ -222,13 +222,14 @@ def corpus_order(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
     # A place: the suffix of its phrase, then the rank of the parse behind the phrase.
     width = end - begin - TRIGGER
-    phrase_of = np.repeat(np.arange(len(begin)), width)
-    shift = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
-    place = begin[phrase_of] + shift
-    behind = np.where(np.arange(len(word)) + 1 < last, np.concatenate((parse[1:], [0])) + 1, 0)
-    order = np.lexsort((behind[phrase_of], ranks[base[:-1][word][phrase_of] + shift]))
-    piece = piece_of[phrase_of]
-    return piece, place - offset[piece], order
+    phrase_of = np.repeat(np.arange(len(begin), dtype=np.int32), width)
+    shift = np.arange(int(width.sum()), dtype=np.int32) - np.repeat((np.cumsum(width) - width).astype(np.int32), width)
+    place = begin.astype(np.int32)[phrase_of] + shift
+    behind = np.where(np.arange(len(word)) + 1 < last, np.concatenate((parse[1:], [0])) + 1, 0).astype(np.int64)
+    key = ranks[base[:-1][word].astype(np.int32)[phrase_of] + shift].astype(np.int64) << 32
+    key |= behind[phrase_of]
+    piece = piece_of.astype(np.int32)[phrase_of]
+    return piece, place - offset.astype(np.int32)[piece], np.argsort(key, kind="stable")
 
 
 def repeated_places(pieces: list[bytes], window: int) -> list[np.ndarray]:
@@ -271,15 +272,19 @@ def shard_ranges(pieces: list[bytes], counts: list[int], window: int, pass_bytes
         found_in: list[list[np.ndarray]] = [[] for _ in pieces]
         marks = [anchors(_raw(p), window) for p in pieces]
         for k in range(passes):
-            texts, where = [], []
+            # Equal surroundings are sorted once; with two occurrences they are repeated as a whole.
+            where: dict[bytes, list[tuple[int, int]]] = {}
             for i, (at, hashes) in enumerate(marks):
                 here = at[hashes % np.uint64(passes) == np.uint64(k)]
                 low, high = np.maximum(here + GRAM - window, 0), np.minimum(here + window, len(pieces[i]))
                 for a, b in merge_ranges(low.tolist(), high.tolist()):
-                    texts.append(pieces[i][a:b])
-                    where.append((i, a))
-            for (i, a), places in zip(where, repeated_places(texts, window), strict=True):
-                found_in[i].append(places + a)
+                    where.setdefault(pieces[i][a:b], []).append((i, a))
+            texts = list(where)
+            for text, places in zip(texts, repeated_places(texts, window), strict=True):
+                if len(where[text]) > 1:
+                    places = np.arange(len(text) - window + 1)
+                for i, a in where[text]:
+                    found_in[i].append(places + a)
         found = [np.unique(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found_in]
     return [[(0, len(p))] if c > 1 and len(p) >= window else _runs(f, window) for p, c, f in zip(pieces, counts, found, strict=True)]
 
@@ -347,7 +352,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400) -> DataFrame:
     unstage(reach)
 
     distinct = pieces.groupBy("shard", "h1", "h2").agg(F.count("*").alias("n"), F.min("piece").alias("piece"))
-    ordered = distinct.select("shard", "h1", "h2", "n", "piece").repartition(shards, "shard").sortWithinPartitions("shard", "h1", "h2")
+    ordered = distinct.select("shard", "h1", "h2", "n", "piece").repartition("shard").sortWithinPartitions("shard", "h1", "h2")
     spans = ordered.mapInArrow(_sort_shards(window), "shard int, h1 long, h2 long, spans array<struct<a:int,b:int>>")
     spans = stage(spans, "spans")
     found = pieces.select("shard", "h1", "h2", "doc_id", "fp", "first").join(spans, ["shard", "h1", "h2"])
