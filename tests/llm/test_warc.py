@@ -1,6 +1,7 @@
 """Archives: framing, reassembly, damage, revisits."""
 
 import base64
+import gzip
 import hashlib
 import random
 
@@ -57,7 +58,7 @@ def test_write_and_read(spark, tmp_path):
     got = sorted(((r.page_id, len(r.payload), r.payload_digest, r.record_type, r.refers_to) for r in out.collect()), key=str)
     assert got == brute(rows)
     assert all(sha(bytes(r.payload).decode()) == r.payload_digest for r in out.collect())
-    kinds = [h["warc-type"] for f in tmp_path.glob("a/part-*") for h, _ in records_of(f.read_bytes())]
+    kinds = [h["warc-type"] for f in tmp_path.glob("a/part-*") for h, _ in records_of(gzip.decompress(f.read_bytes()))]
     assert kinds.count("continuation") > 20 and kinds.count("revisit") == sum(r[3] == "revisit" for r in got)
 
 
@@ -65,7 +66,7 @@ def damaged(spark, tmp_path, change):
     write_archives(spark.createDataFrame([(1, "u", "abc" * 900, "x")], SCHEMA), f"{tmp_path}/a", segment_bytes=700)
     path = next(f for f in tmp_path.glob("a/part-*") if f.stat().st_size)
     (tmp_path / "b").mkdir()
-    (tmp_path / "b/part-0").write_bytes(change(path.read_bytes()))
+    (tmp_path / "b/part-0").write_bytes(change(gzip.decompress(path.read_bytes())))
     return read_archives(spark, f"{tmp_path}/b")
 
 

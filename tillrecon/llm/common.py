@@ -43,7 +43,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def _settings(spark: SparkSession):
+def settings(spark: SparkSession):
     before = {k: spark.conf.get(k, None) for k in _SETTINGS}
     for k, v in _SETTINGS.items():
         spark.conf.set(k, v)
@@ -64,7 +64,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    with _settings(spark):
+    with settings(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path

@@ -3,7 +3,7 @@
 Writing: one record per page. Of equal payloads, the page with the largest id is a response, the others are
 revisits of it. A response is an HTTP message with chunked transfer framing; blocks longer than
 ``segment_bytes`` are cut into a first segment and continuation records. Spark's text writer writes the
-records, with the two line ends that close a record as separator, so each file is a plain WARC archive.
+records, with the two line ends that close a record as separator, so each file is a gzipped WARC archive.
 
 Reading: archives are parsed file by file along their content lengths. Continuation records are grouped by the
 identifier of their origin, ordered by segment number, joined and held against the total length that the
@@ -18,6 +18,7 @@ wrong digests fail the read. Only the named columns are read; other columns are
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillrecon.llm.common import Buffer, new_folder, rows_of, stage
+from tillrecon.llm.common import Buffer, new_folder, rows_of, settings, stage, unstage
 
 #: Bytes of a block in one record, of a chunk within it; records of one archive.
 SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 32 << 10, 8 << 10, 500
@@ -132,12 +133,16 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
     """Write ``pages`` (page_id, url, html) as WARC files into ``folder``."""
     html = F.coalesce(pages["html"], F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha"))
-    # Only payloads of several pages need a look-up; the sizes of both sides decide how it is joined.
+    # Only payloads of several pages need a look-up. It is written first: where it is small, Spark then
+    # brings it to the pages instead of moving these.
     same = rows.groupBy("sha").agg(F.count("page_id").alias("n"), F.max("page_id").alias("last")).where("n > 1").select("sha", "last")
+    same = stage(same, "same")
     rows = rows.join(same, "sha", "left")
     refers = F.when(F.col("last") > F.col("page_id"), F.col("last"))
     records = rows.select("page_id", "url", "html", refers.alias("refers_to"), "sha").mapInArrow(_write(segment_bytes), "value string")
-    records.write.option("lineSep", _END).option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    with settings(pages.sparkSession):
+        records.write.option("lineSep", _END).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(folder)
+    unstage(same)
 
 
 # ---------------------------------------------------------------- reading
@@ -185,7 +190,8 @@ def _parse(batches):
     for batch in batches:
         for content in batch.column(0):
             out = Buffer(_PARSED, 4 << 20)
-            for h, block in records_of(content.as_buffer().to_pybytes()):
+            data = content.as_buffer().to_pybytes()
+            for h, block in records_of(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 kind, segment = h["warc-type"], _number(h, "warc-segment-number")
                 origin = h.get("warc-segment-origin-id", h["warc-record-id"]) if segment else None
                 shown = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
@@ -227,8 +233,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
     whole = segments.mapInArrow(_reassemble, "page_id long, digest string, payload binary")
     responses = parsed.where("origin is null and kind = 'response'").select("page_id", "digest", "payload").union(whole)
-    responses = stage(responses, "responses")
-    revisits = parsed.where("kind = 'revisit'").select("page_id", "digest", "refers_to")
+    # Written, so that Spark knows how few or many payloads are needed once more.
+    revisits = stage(parsed.where("kind = 'revisit'").select("page_id", "digest", "refers_to"), "revisits")
     referred = responses.join(revisits.select(F.col("refers_to").alias("page_id"), "digest").distinct(), ["page_id", "digest"], "left_semi")
     referred = referred.groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.first("payload").alias("payload"))
     revisits = revisits.join(referred, ["refers_to", "digest"], "left")
