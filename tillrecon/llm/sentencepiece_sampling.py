@@ -245,7 +245,7 @@ class Encoder:
         return data[1:].decode()
 
 
-def _groups(batch: pa.RecordBatch, chars: int = 2_000_000):
+def _groups(batch: pa.RecordBatch, chars: int = 4_000_000):
     """Runs of rows with about so many characters, as (start, rows)."""
     start, held, rows = 0, 0, []
     for i, row in enumerate(rows_of(batch)):
