@@ -67,6 +67,12 @@ def test_the_hot_group_is_spread_over_chunks(spark):
     assert len(sizes) == 16 and max(sizes.values()) < 3 * 4000 / 16
 
 
+def test_numbering_does_not_move_the_stored_rows(spark):
+    numbered = ordering.number_in_order(frame(spark, rows()), ("shop",), ("k", "id"), "n", 7)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_sequence_gaps(spark):
     data = [
         ("A", "001", "0035", 1), ("A", "002", "0036", 2), ("A", "003", " ", 3), ("A", "004", "0040", 4),

@@ -123,5 +123,7 @@ def number_in_order(df: DataFrame, by, order, alias: str, chunks: int | None = N
     parts = laid.groupBy(CHUNK, *by).agg(F.count("*").alias("_n"), F.min(PLACE).alias("_low"))
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_low")
-    joined = _join_summary(laid, parts.select(CHUNK, *by, offset.alias("_carry")), by)
+    # Stored, so that Spark knows its size when it chooses the join.
+    offsets = stage(parts.select(CHUNK, *by, offset.alias("_carry")), "offsets")
+    joined = _join_summary(laid, offsets, by)
     return joined.select(*df.columns, (F.col(PLACE) + F.col("_c_carry")).cast("bigint").alias(alias))

@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows over the session's shuffle partitions: a table of one row group would be printed and parsed in one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def decimal(column: str | Column) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     return column.cast(MONEY_TYPE)

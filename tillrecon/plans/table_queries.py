@@ -584,7 +584,7 @@ def contract_text(spark, sf_dir):
 @query
 def journal_roundtrip(spark, sf_dir):
     """Tickets printed as journal blocks and parsed back."""
-    tickets = S.tickets(spark, sf_dir)
+    tickets = S.dealt(S.tickets(spark, sf_dir))
     blocks = tickets.select("block_id", S.block_text().alias("block"))
     parsed = journal.parse_tickets(journal.parse_blocks(blocks))
     return parsed.select(
@@ -598,7 +598,7 @@ def journal_roundtrip(spark, sf_dir):
 @query
 def journal_lines_roundtrip(spark, sf_dir):
     """Ticket lines printed as articles and corrections and parsed back."""
-    printed = S.ticket_lines(spark, sf_dir)
+    printed = S.dealt(S.ticket_lines(spark, sf_dir))
     parsed = journal.parse_blocks(S.line_blocks(printed))
     lines = journal.parse_ticket_lines(parsed, ids=("block_id", "item", "part"))
     return lines.select(
@@ -608,7 +608,7 @@ def journal_lines_roundtrip(spark, sf_dir):
 
 
 def _printed_tickets(spark, sf_dir) -> DataFrame:
-    return journal.parse_blocks(S.ticket_blocks(S.tickets(spark, sf_dir), S.ticket_lines(spark, sf_dir)))
+    return journal.parse_blocks(S.dealt(S.ticket_blocks(S.tickets(spark, sf_dir), S.ticket_lines(spark, sf_dir))))
 
 
 @query
@@ -631,7 +631,7 @@ def journal_full_lines(spark, sf_dir):
 @query
 def journal_rejects(spark, sf_dir):
     """Blocks that are broken, with the error found in each of them."""
-    printed = S.tickets(spark, sf_dir)
+    printed = S.dealt(S.tickets(spark, sf_dir))
     parsed = journal.parse_blocks(S.damaged_blocks(printed))
     _, rejected = journal.reject_blocks(parsed, "quarantine")
     return rejected.select("block_id", F.array_join("errors", ",").alias("error"))
@@ -766,8 +766,9 @@ def run_report(spark, sf_dir):
 def file_roundtrip(spark, sf_dir):
     """Tickets written as journal files, one folder per shop, scanned and parsed back."""
     folder = new_folder(spark, "journals")
+    # The text sink writes UTF-8, so the euro sign, one byte in the tills' code page, is left to a test.
     text = F.concat(F.lit("1-----------------------"), S.block_text(euro=False))
-    S.tickets(spark, sf_dir).select("shop", text.alias("value")).write.partitionBy("shop").option(
+    S.dealt(S.tickets(spark, sf_dir)).select("shop", text.alias("value")).write.partitionBy("shop").option(
         "lineSep", "\n"
     ).text(folder)
     blocks = files.read_journals(spark, folder, ("SHOP=0", "SHOP=1"), pattern="part-*.txt")
