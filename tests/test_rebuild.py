@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tillrecon.plans import rebuild as R
+from tillrecon.plans import rebuild as R, staged
 from tillrecon.sources import sinks
 
 SEP = "1-----------------------"
@@ -108,6 +108,24 @@ def test_written_outputs_and_their_report(spark, sources, tmp_path):
     assert spark.read.parquet(f"{folder}/internal_no_duplicates").count() == 0
 
 
+def test_staged_files(spark, sources, tmp_path):
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+    volumes = {("tickets", "NORTH"): 3, ("tickets", "SOUTH"): 1, ("ticket_lines", "NORTH"): 3, ("ticket_lines", "SOUTH"): 1,
+               ("z1", "NORTH"): 3, ("z1", "SOUTH"): 3, ("z2", "NORTH"): 6, ("z2", "SOUTH"): 6}
+    folder = str(tmp_path / "staged")
+    assert staged.export_staged(stored, folder, volumes) == volumes
+    rows = staged.read_staged(spark, folder, "ticket_lines").filter("shop = 'NORTH'").orderBy("E_NUM_INTERNE").collect()
+    assert len(rows[0]) == 25 and len(staged.LINE) == 24
+    assert [(r.E_NUM_TICKET, r.E_DATE_TICKET, r.E_TTC, r.E_MDP_ESPECES, r.D_QUANTITE_ARTICLE, r.D_MONTANT_ARTICLE) for r in rows] == [
+        ("001", "2024-01-05", "30.00", None, "1", "30.00"), ("002", "2024-01-05", "10.00", "10.00", "1", "10.00"),
+        ("003", "2024-01-05", "-5.00", "-5.00", "1", "-5.00"),
+    ]
+    reports = staged.read_staged(spark, folder, "z2").filter("shop = 'SOUTH' AND year = 2024 AND E_MODE = 'Z'").collect()
+    assert {(r.D_DESIGNATION, r.D_QUANTITE, r.D_MONTANT) for r in reports} == {("CARTES", "1", "7.00"), ("ESPECES", "1", "0.00"), ("CHEQUES", "0", "0.00")}
+    with pytest.raises(ValueError, match=r"z1 NORTH \(4, 3\)"):
+        staged.export_staged(stored, str(tmp_path / "again"), {("z1", "NORTH"): 4})
+
+
 def test_another_year_selects_nothing(spark, sources, tmp_path):
     stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
     report = {r.output: r for r in R.write_outputs(stored, SETTINGS, str(tmp_path / "out"), 2023).collect()}
