@@ -7,8 +7,8 @@ import pytest
 def docs(spark):
     """Documents from (id, text) pairs, with columns whose names the operators add themselves."""
 
-    def make(rows, schema="doc_id long, text string, source string, kept string, n_words string, size string, ids string, c0 string, `a.b` string"):
-        full = [(i, t, f"s{(i or 0) % 3}", "k", "w", "z", "i", "c", "d") for i, t in rows]
+    def make(rows, schema="doc_id long, text string, source string, kept string, n_words string, size string, ids string, c0 string, `a.b` string, target string, row string, uid string, _gone string, n_chars long, `copy` string"):
+        full = [(i, t, f"s{(i or 0) % 3}", "k", "w", "z", "i", "c", "d", "t", "r", "u", "g", 7, "y") for i, t in rows]
         return spark.createDataFrame(full, schema)
 
     return make

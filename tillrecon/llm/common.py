@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What `\x20\x09-\x0D` matches: the bytes between two words.
 SPACES = np.zeros(256, dtype=bool)
@@ -125,8 +126,8 @@ def through(df: DataFrame, inputs: list, run, added: list[tuple[str, str]]) -> D
     kept = [c for c in df.columns if c not in {n for n, _ in added}]
     names = [f"c{i}" for i in range(len(kept))]  # any names may occur in the input
     given = df.select(*[df[f"`{c}`"].alias(n) for c, n in zip(kept, names, strict=True)], *inputs)
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[: len(kept)]] + [f"{n} {t}" for n, t in added])
-    out = given.mapInArrow(run, schema)
+    new = T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in added))
+    out = given.mapInArrow(run, T.StructType([*given.schema.fields[: len(kept)], *new.fields]))
     return out.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *[n for n, _ in added])
 
 

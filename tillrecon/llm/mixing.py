@@ -65,11 +65,12 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(source, size, uid, ...): words of each row and a hash of its content, after the columns of ``docs``."""
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "uid")]
+def sized(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """row, source, size, uid: columns of ``docs`` as one, its source, its words and a hash of its content."""
+    kept = [docs[f"`{c}`"].alias(c) for c in (docs.columns if keep is None else keep)]
     return docs.select(
-        *kept,
+        F.struct(*kept).alias("row"),
+        F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
         F.xxhash64("doc_id", "source", "text").alias("uid"),
     )
@@ -157,17 +158,17 @@ def plan(rows: DataFrame, weights=WEIGHTS, most: float = 3.0, shards: int = 64,
 def mix(docs: DataFrame, seed: int = 1, **settings) -> DataFrame:
     """The mix: one row per copy with its columns, mix_shard and mix_order; shards are shuffled by mix_order."""
     planned = plan(sized(docs), seed=seed, **settings)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_shard", "mix_order")]
-    rows = planned.select(*kept, "uid", F.explode("copies").alias("mix_copy"))
-    return rows.select(*kept, F.col("mix_copy.shard").alias("mix_shard"), F.xxhash64(F.lit(seed + 3), "uid", "mix_copy").alias("mix_order"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("mix_shard", "mix_order")]
+    rows = planned.select("row", "uid", F.explode("copies").alias("copy"))
+    return rows.select(*kept, F.col("copy.shard").alias("mix_shard"), F.xxhash64(F.lit(seed + 3), "uid", "copy").alias("mix_order"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    rows = stage(sized(docs).drop("text"), "sized")
+    rows = stage(sized(docs, ["doc_id"]), "sized")
     out = plan(rows)
     return out.select(
-        "doc_id", "size", "source_size", "target",
+        "row.doc_id", "size", "source_size", "target",
         (F.col("size") * F.size("copies")).cast("long").alias("taken"),
         F.col("copies.shard").alias("shards"),
     )
@@ -175,4 +176,6 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: ``docs`` mixed to the target weights; a document that is repeated has as many rows."""
-    return mix(docs).sortWithinPartitions("mix_shard", "mix_order").select(*[F.col(f"`{c}`") for c in docs.columns])
+    planned = plan(sized(docs)).select("row", "uid", F.explode("copies").alias("copy"))
+    order = F.xxhash64(F.lit(4), "uid", "copy")  # as in ``mix``
+    return planned.sortWithinPartitions("copy.shard", order).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -344,10 +344,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id stay; of rows with the same id and text, one does.
     """
     gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    named = left.withColumn("_text", F.xxhash64("text"))
-    once = named.where("doc_id is not null").dropDuplicates(["doc_id", "_text"])
-    return once.unionByName(named.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"), whole)
+    left = rows.join(gone, F.col("id") == F.col("_gone"), "left_anti")
+    once = left.where("id is not null").dropDuplicates(["id", "fp"])
+    return once.union(left.where("id is null")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillrecon.llm.common import Buffer, merge_ranges, rolling, rows_of, signed, sliding, span_hashes, stage, through, unstage, words_of
+from tillrecon.llm.common import Buffer, merge_ranges, rolling, rows_of, signed, sliding, span_hashes, stage, unstage, words_of
 
 #: Documents of a shard, and bytes of regions that one salt of a shard streams.
 SHARD_DOCS, SALT_BYTES = 16_384, 32 << 20
@@ -337,24 +338,21 @@ def remove_repeats(docs: DataFrame, window: int = 50, joined: bool = True) -> Da
     ``joined``: remaining words joined by one space; otherwise with their own separators, and null for a null text.
     """
     ranges = repeated_ranges(docs, window).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("ranges").alias("_ranges"))
-    same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_fp"))
-    both = docs.join(ranges, same, "left").drop("_id", "_fp")
-    added = [("n_words", "bigint"), ("n_removed", "bigint"), ("kept", "string")]
-    return through(both, [F.col("text").alias("given"), F.col("_ranges").alias("r")], _cut(joined), added).drop("_ranges")
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in names]).alias("row")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("fp"), "text")
+    both = rows.join(ranges, (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("_fp")), "left").select("row", "text", "_ranges")
+    added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType())]
+    schema = T.StructType([both.schema["row"], *[T.StructField(n, t) for n, t in added]])
+    out = both.mapInArrow(_cut(joined), schema)
+    return out.select(*[F.col("row")[c].alias(c) for c in names], *[n for n, _ in added])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: ``docs`` without passages that an earlier document has; ``n_chars`` follows the text."""
-    names = docs.columns
-    safe = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"_{i}") for i, c in enumerate(names)])
-    cut = remove_repeats(safe, joined=False)
-    chars = F.length("kept").cast("long")
-    return cut.select(
-        *[
-            F.col("doc_id") if c == "doc_id" else F.col("kept").alias(c) if c == "text" else chars.alias(c) if c == "n_chars" else F.col(f"_{i}").alias(c)
-            for i, c in enumerate(names)
-        ]
-    )
+    cut = remove_repeats(docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("all"), "doc_id", "text"), joined=False)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return cut.select(*[new.get(c, F.col("all")[c]).alias(c) for c in docs.columns])
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
