@@ -88,7 +88,8 @@ def current_run(spark: SparkSession, root: str) -> str | None:
     published = f"{root.rstrip('/')}/published"
     if not _exists(spark, published):
         return None
-    return spark.read.parquet(published).agg(F.max_by("run", "at")).first()[0]
+    # Of two runs published in the same instant the name decides, so that every reader finds the same one.
+    return spark.read.parquet(published).agg(F.max(F.struct("at", "run"))["run"]).first()[0]
 
 
 def _file_system(spark: SparkSession, path: str):
