@@ -35,7 +35,7 @@ TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 UNIT_CHARS = 64
 #: Distinct units whose lattices a task keeps; beyond it the store is emptied.
-UNITS_KEPT = 200_000
+UNITS_KEPT = 100_000
 _SPACE = "▁"
 
 
@@ -245,7 +245,7 @@ class Encoder:
         return data[1:].decode()
 
 
-def _groups(batch: pa.RecordBatch, chars: int = 4_000_000):
+def _groups(batch: pa.RecordBatch, chars: int = 1_000_000):
     """Runs of rows with about so many characters, as (start, rows)."""
     start, held, rows = 0, 0, []
     for i, row in enumerate(rows_of(batch)):

@@ -288,8 +288,8 @@ def _joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return line[np.cumsum(step[:-1], dtype=np.int8).view(bool)].tobytes()[:-1]
 
 
-def _cut(joined: bool):
-    """The last two columns, text and ranges, become word counts and the remaining text."""
+def _cut(joined: bool, keep_text: bool):
+    """The last two columns, text and ranges, become word counts and the remaining text; the text may stay."""
     added = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def rest(text: str | None, ranges) -> tuple[int, int, str | None, int]:
@@ -319,7 +319,8 @@ def _cut(joined: bool):
                 if size > 4 << 20 or i + 1 == batch.num_rows:
                     given = batch.slice(start, len(done))
                     columns = [pa.array([d[j] for d in done], f.type) for j, f in enumerate(added)]
-                    yield pa.RecordBatch.from_arrays([*given.columns[:at], *columns], names=[*given.schema.names[:at], *added.names])
+                    stay = at + keep_text
+                    yield pa.RecordBatch.from_arrays([*given.columns[:stay], *columns], names=[*given.schema.names[:stay], *added.names])
                     start, done, size = i + 1, [], 0
 
     return run
@@ -332,31 +333,33 @@ def _without(data: bytes, starts: np.ndarray, gone: np.ndarray) -> bytes:
     return b"".join([data[edges[i] : edges[j]] for i, j in zip(flips[0::2].tolist(), flips[1::2].tolist(), strict=True)])
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, joined: bool = True) -> DataFrame:
-    """Every row of ``docs`` with n_words, n_removed and kept, the remaining text.
+def remove_repeats(docs: DataFrame, window: int = 50, joined: bool = True, keep_text: bool = True) -> DataFrame:
+    """Every row of ``docs`` with n_words, n_removed and kept, the remaining text; without ``keep_text`` it loses text.
 
     ``joined``: remaining words joined by one space; otherwise with their own separators, and null for a null text.
     """
     ranges = repeated_ranges(docs, window).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("ranges").alias("_ranges"))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
-    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in names]).alias("row")
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in names if c != "text"]).alias("row")  # the text moves once
     rows = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("fp"), "text")
     both = rows.join(ranges, (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("_fp")), "left").select("row", "text", "_ranges")
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType())]
-    schema = T.StructType([both.schema["row"], *[T.StructField(n, t) for n, t in added]])
-    out = both.mapInArrow(_cut(joined), schema)
-    return out.select(*[F.col("row")[c].alias(c) for c in names], *[n for n, _ in added])
+    text = [both.schema["text"]] if keep_text else []
+    out = both.mapInArrow(_cut(joined, keep_text), T.StructType([both.schema["row"], *text, *[T.StructField(n, t) for n, t in added]]))
+    columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names if keep_text or c != "text"]
+    return out.select(*columns, *[n for n, _ in added])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: ``docs`` without passages that an earlier document has; ``n_chars`` follows the text."""
-    cut = remove_repeats(docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("all"), "doc_id", "text"), joined=False)
+    others = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns if c != "text"]).alias("all")
+    cut = remove_repeats(docs.select(others, "doc_id", "text"), joined=False, keep_text=False)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return cut.select(*[new.get(c, F.col("all")[c]).alias(c) for c in docs.columns])
+    return cut.select(*[(new[c] if c in new else F.col("all")[c]).alias(c) for c in docs.columns])
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
