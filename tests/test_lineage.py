@@ -19,6 +19,15 @@ def test_numeric_totals(spark):
     }
 
 
+def test_what_a_change_affects(spark):
+    sources = {"a": ("t", "u"), "b": ("a",), "c": ("u",), "d": ("b", "c")}
+    assert lineage.affected(sources, {"t"}) == {"a", "b", "d"}
+    assert lineage.affected(sources, set()) == set() and lineage.affected(sources, {"c"}) == {"c", "d"}
+    df = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "i int, s string")
+    marks = {r.name: r.mark for r in lineage.table_marks(one=df, two=df.repartition(3), three=df.distinct(), none=df.limit(0)).collect()}
+    assert marks["one"] == marks["two"] != marks["three"] and marks["none"].startswith("0")
+
+
 def test_counters_follow_the_declared_sources(spark):
     edges = spark.createDataFrame([("out", "a"), ("out", "b"), ("next", "out")], "output string, source string")
     written = spark.createDataFrame([("a", 12), ("b", 32), ("out", 8), ("next", 8)], "output string, n long")

@@ -134,6 +134,25 @@ def test_another_year_selects_nothing(spark, sources, tmp_path):
     assert {"FILE001_Z", "FILE101_ZZ1"} < set(spark.read.parquet(str(tmp_path / "out" / "z1_matrix")).columns)
 
 
+def test_unchanged_outputs_are_taken_over(spark, sources, tmp_path):
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    first = {r.output: r for r in R.write_outputs(stored, SETTINGS, one, 2024).collect()}
+    # The earlier folder is marked, to see what comes from it.
+    for name in ("label_occurrences", "z1_totals"):
+        rows = spark.read.parquet(f"{one}/{name}").collect()
+        spark.createDataFrame(rows + rows[:1], spark.read.parquet(f"{one}/{name}").schema).write.parquet(f"{one}/{name}_more")
+        os.rename(f"{one}/{name}", f"{one}/{name}_old")
+        os.rename(f"{one}/{name}_more", f"{one}/{name}")
+    moved = dict(stored, report_lines=stored["report_lines"].filter("designation <> 'TVA 1'"))
+    assert R._unchanged(spark, one, None) == set()
+    R.write_outputs(moved, SETTINGS, two, 2024, previous=one)
+    assert spark.read.parquet(f"{two}/label_occurrences").count() == first["label_occurrences"].n_written + 1
+    assert spark.read.parquet(f"{two}/z1_totals").count() == first["z1_totals"].n_written
+    R.write_outputs(stored, SETTINGS, three, 2023, previous=one)
+    assert spark.read.parquet(f"{three}/label_occurrences").count() == first["label_occurrences"].n_written
+
+
 def test_mode_rules_and_control_stop_the_run(spark, sources, tmp_path, monkeypatch):
     stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
     narrow = dataclasses.replace(SETTINGS, modes=("ZZ1", "Z"))

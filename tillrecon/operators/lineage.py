@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tillrecon import fixed
@@ -91,6 +93,25 @@ def numeric_totals_long(rows: DataFrame, nature: str, measures) -> DataFrame:
     return long.select(F.concat_ws(" / ", nature, "_measure").alias("field"), "total")
 
 
+def affected(sources: Mapping[str, Sequence[str]], changed) -> set[str]:
+    """Outputs that come, directly or through others, from something that changed; ``sources`` per output."""
+    stale = set(changed)
+    while more := {output for output, given in sources.items() if output not in stale and stale.intersection(given)}:
+        stale |= more
+    return stale.intersection(sources)
+
+
+def table_marks(**tables: DataFrame) -> DataFrame:
+    """(name, mark) of the content of each table, whatever the order of its rows: their number and a sum of hashes."""
+    marks = None
+    for name, df in tables.items():
+        hashed = F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in sorted(df.columns))).cast("decimal(20,0)"))
+        mark = F.concat_ws("-", F.count("*").cast("string"), hashed.cast("string"))
+        one = df.agg(mark.alias("mark")).select(F.lit(name).alias("name"), "mark")
+        marks = one if marks is None else marks.unionByName(one)
+    return marks
+
+
 class Lineage:
     """Counters taken while the outputs are written, and the sources declared for each of them."""
 

@@ -340,21 +340,41 @@ def outputs(
     return found
 
 
+def _unchanged(spark: SparkSession, folder: str, previous: str | None) -> set[str]:
+    """Outputs that need not be computed again."""
+    if previous is None:
+        return set()
+    before, after = (spark.read.parquet(f"{f}/marks") for f in (previous, folder))
+    # One row per table.
+    moved = files.diff_fingerprints(before, after, key="name", mark="mark").filter("status <> 'same'").collect()
+    changed = {r["name"] for r in moved}
+    if "settings" in changed:
+        return set()
+    return set(OUTPUT_SOURCES) - lineage.affected(OUTPUT_SOURCES, changed) - {"declared"}
+
+
 def write_outputs(
     stored: Mapping[str, DataFrame],
     settings: Settings,
     folder: str,
     year: int | None = None,
     declared: DataFrame | None = None,
+    previous: str | None = None,
 ) -> DataFrame:
     """Write every output below ``folder`` and a report on them; returns the report.
 
+    ``previous`` is the folder of an earlier call: outputs that come from no table that has changed since
+    are taken over from there, unless the settings or the year are others.
+
     Outputs that others depend on are written first and read back by these. Rows are counted while
     they are read, selected and written. The report has one row per output: its sources, the rows
     read, selected and written, and its control totals. A control that finds a difference, and more
     rows read than the sources wrote, are errors.
     """
     spark = next(iter(stored.values())).sparkSession
+    told = spark.createDataFrame([("settings", repr((settings, year)))], "name string, mark string")
+    lineage.table_marks(**{name: stored[name] for name in TABLES}).unionByName(told).write.parquet(f"{folder}/marks")
+    kept = _unchanged(spark, folder, previous)
     log = lineage.Lineage()
     written: dict[str, DataFrame] = {}
     totals = None
@@ -365,6 +385,8 @@ def write_outputs(
     def write(name: str, df: DataFrame) -> None:
         nonlocal totals
         log.declare(name, *OUTPUT_SOURCES[name])
+        if name in kept:
+            df = spark.read.parquet(f"{previous}/{name}")
         log.observed(df, name, "written").write.parquet(f"{folder}/{name}")
         written[name] = spark.read.parquet(f"{folder}/{name}")
         quantities = [c for c in df.columns if c in QUANTITIES or c.endswith("_qty")]
