@@ -46,6 +46,15 @@ def test_every_template_is_found_in_its_own_notice(docs):
     assert all(label in got[i] for i, label in enumerate(TEMPLATES))
 
 
+def test_all_notices_in_one_file(docs):
+    notices = " ".join(f"{must[0]} --- {' '.join(passages)} ---" for must, passages in TEMPLATES.values())
+    words = " ".join(w for _, passages in TEMPLATES.values() for p in passages for w in sorted(set(p.split()), reverse=True))
+    rows = [(i, f"{words} {must[0]} --- {' '.join(passages)}") for i, (must, passages) in enumerate(TEMPLATES.values())]
+    got = {r.doc_id: r.labels.split(",") for r in scan_licenses(docs([(99, notices), *rows])).collect()}
+    assert got[99] == sorted(TEMPLATES)
+    assert all(label in got[i] for i, label in enumerate(TEMPLATES))  # one notice in a text that has every word of the templates
+
+
 def test_empty_table_and_query(spark, docs):
     assert scan_licenses(docs([])).count() == 0
     sf = "/root/testdata/sf0.001"

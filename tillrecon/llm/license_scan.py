@@ -1,15 +1,16 @@
 """License scan with a positional rare-token index.
 
 Words of the license templates are weighed by how few documents have them (counted over all documents).
-Of each document, the rarest license words that it has are looked up in an index of template postings
-(word, template, position); postings that agree on the relative position between document and template are
-counted together, and a template whose best alignment holds enough of the looked-up words is a candidate.
-A candidate becomes a label if one of its mandatory phrases stands in the text, word for word. Exact base
-phrases are counted beside it; their labels always stay.
+Templates with a mandatory phrase that stands in the text, word for word, are candidates. For each passage of
+a candidate, the rarest of its words that the document has are looked up in an index of template postings
+(word, template, position), so that no template takes the place of another; postings that agree on the
+relative position between document and passage are counted together, and a candidate becomes a label if the
+best alignment of a passage holds enough of the words looked up for it. Exact base phrases are counted beside
+it; their labels always stay.
 
 DataFrame and SQL functions only. Words are held with two spaces between them, so that phrases that follow
 one another are told apart and places are counted by cutting the text, without exploding it. Only documents
-with every word of some mandatory phrase are looked up by position.
+with some mandatory phrase are looked up by position.
 
 Defined cases: a null or empty text has no words, empty labels, null places and score 0; rows with the same id and text
 share their result; the index of a repeated word has all its places. Only the named columns are read; other columns are ignored.
@@ -18,6 +19,8 @@ share their result; the index of a repeated word has all its places. Only the na
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +81,7 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "unlicense": (("free and unencumbered software released into the public domain",), ("this is free and unencumbered software released into the public domain",)),
 }
 
-#: Rarest license words of a document that are looked up; share of them that one alignment must hold.
+#: Rarest words of a passage in a document that are looked up; share of them that one alignment must hold.
 RARE_WORDS, ALIGNED = 12, 0.5
 
 
@@ -150,27 +153,31 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     seen = {r["word"]: r["n"] for r in rows.select(F.explode("have").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     rarity = spark.createDataFrame([(w, math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9) for w in vocabulary], "word string, idf double")
 
-    some = rows.where("norm is not null").select("uid", "norm", "have").dropDuplicates(["uid"])
+    # Per passage of a template whose mandatory phrase stands in the text: the rarest of its words that the document has.
+    spans: dict[tuple[str, int], set[str]] = {}
+    for word, label, k, _ in index:
+        spans.setdefault((label, k), set()).add(word)
+    verified = {label: reduce(or_, [F.col("norm").contains(_spaced(p)) for p in must]) for label, (must, _) in TEMPLATES.items()}
     weights = F.create_map(*[F.lit(x) for w, v in rarity.collect() for x in (w, v)])
-    ranked = F.slice(F.array_sort(F.transform("have", lambda w: F.struct((-F.element_at(weights, w)).alias("r"), w.alias("w")))), 1, RARE_WORDS)
-    looked = some.select("uid", "norm", ranked["w"].alias("look"))
-    places = looked.select("uid", "look", F.posexplode(F.split(F.trim("norm"), " +")).alias("at", "word")).where(F.array_contains("look", F.col("word")))
+    ranked = F.array_sort(F.transform("have", lambda w: F.struct((-F.element_at(weights, w)).alias("r"), w.alias("w"))))
+    some = rows.where("norm is not null").select("uid", "norm", ranked["w"].alias("have")).dropDuplicates(["uid"])
+    looks = [
+        F.when(verified[label], F.struct(
+            F.lit(label).alias("label"), F.lit(k).alias("passage"),
+            F.slice(F.array_intersect("have", F.array(*[F.lit(w) for w in sorted(words)])), 1, RARE_WORDS).alias("look"),
+        ))
+        for (label, k), words in spans.items()
+    ]
+    looked = some.select("uid", "norm", F.array_compact(F.array(*looks)).alias("looks"))
+    looked = looked.select("uid", "norm", "looks", F.array_distinct(F.flatten("looks.look")).alias("words"))
+    places = looked.select("uid", "looks", "words", F.posexplode(F.split(F.trim("norm"), " +")).alias("at", "word"))
+    places = places.where(F.array_contains("words", F.col("word")))
+    places = places.select("uid", "at", "word", F.inline(F.filter("looks", lambda c: F.array_contains(c["look"], F.col("word")))))
     posted = spark.createDataFrame(index, "word string, label string, passage int, position int")  # the templates' own size
-    hits = places.select("uid", "at", "word").join(F.broadcast(posted), "word")
-    aligned = hits.groupBy("uid", "label", "passage", (F.col("at") - F.col("position")).alias("shift")).agg(F.countDistinct("word").alias("n"))
-    # Of the words looked up, those that the passage has: the most that can align.
-    size = {}
-    for word, label, k, _ in index:
-        size.setdefault((label, k), set()).add(word)
-    spans = spark.createDataFrame([(a, k, sorted(ws)) for (a, k), ws in size.items()], "label string, passage int, words array<string>")
-    aligned = aligned.groupBy("uid", "label", "passage").agg(F.max("n").alias("n")).join(F.broadcast(spans), ["label", "passage"])
-    aligned = aligned.join(looked, "uid").withColumn("most", F.least(F.size(F.array_intersect("look", "words")), F.lit(RARE_WORDS)))
-    aligned = aligned.withColumn("share", F.col("n") / F.greatest("most", F.lit(1)))
-    verified = F.lit(False)
-    for label, (must, _) in TEMPLATES.items():
-        for phrase in must:
-            verified = verified | ((F.col("label") == label) & F.col("norm").contains(_spaced(phrase)))
-    found = aligned.where((F.col("share") >= ALIGNED) & verified)
+    hits = places.join(F.broadcast(posted), ["word", "label", "passage"])
+    aligned = hits.groupBy("uid", "label", "passage", F.size("look").alias("most"), (F.col("at") - F.col("position")).alias("shift"))
+    # Of the words looked up for the passage, those that one alignment holds.
+    found = aligned.agg(F.countDistinct("word").alias("n")).withColumn("share", F.col("n") / F.col("most")).where(F.col("share") >= ALIGNED)
     found = found.groupBy("uid").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
 
     n = [F.col(f"n_{i}") for i in range(len(base))]
