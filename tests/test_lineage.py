@@ -28,6 +28,17 @@ def test_what_a_change_affects(spark):
     assert marks["one"] == marks["two"] != marks["three"] and marks["none"].startswith("0")
 
 
+def test_marks_see_a_value_that_moves_to_a_null(spark):
+    rows = "SELECT 1 id, {}BD pay_card, {}BD pay_cash, array({}) a, named_struct('x', {}, 'y', {}) s"
+    given = {
+        "one": ("5.00", "NULL", "NULL, 1", "'v'", "NULL"), "card": ("NULL", "5.00", "NULL, 1", "'v'", "NULL"),
+        "array": ("5.00", "NULL", "1, NULL", "'v'", "NULL"), "struct": ("5.00", "NULL", "NULL, 1", "NULL", "'v'"),
+    }
+    frames = {n: spark.sql(rows.format(*v).replace("NULLBD", "CAST(NULL AS DECIMAL(18,2))").replace("5.00BD", "CAST(5 AS DECIMAL(18,2))")) for n, v in given.items()}
+    marks = {r.name: r.mark for r in lineage.table_marks(**frames, again=frames["one"]).collect()}
+    assert marks["one"] == marks["again"] and len(set(marks.values())) == 4
+
+
 def test_counters_follow_the_declared_sources(spark):
     edges = spark.createDataFrame([("out", "a"), ("out", "b"), ("next", "out")], "output string, source string")
     written = spark.createDataFrame([("a", 12), ("b", 32), ("out", 8), ("next", 8)], "output string, n long")

@@ -153,6 +153,18 @@ def test_unchanged_outputs_are_taken_over(spark, sources, tmp_path):
     assert spark.read.parquet(f"{three}/label_occurrences").count() == first["label_occurrences"].n_written
 
 
+def test_an_amount_that_moves_to_a_null_column_is_not_taken_over(spark, sources, tmp_path):
+    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+    one, two = (str(tmp_path / n) for n in ("one", "two"))
+    R.write_outputs(stored, SETTINGS, one, 2024)
+    only = F.col("pay_card").isNotNull() & F.col("pay_cash").isNull()
+    assert stored["tickets"].filter(only).count() > 0
+    moved = stored["tickets"].withColumns({"pay_card": F.when(~only, F.col("pay_card")), "pay_cash": F.when(only, F.col("pay_card")).otherwise(F.col("pay_cash"))})
+    R.write_outputs(dict(stored, tickets=moved), SETTINGS, two, 2024, previous=one)
+    rows = lambda folder: sorted(map(str, spark.read.parquet(f"{folder}/payments").collect()))
+    assert rows(one) != rows(two)
+
+
 def test_mode_rules_and_control_stop_the_run(spark, sources, tmp_path, monkeypatch):
     stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
     narrow = dataclasses.replace(SETTINGS, modes=("ZZ1", "Z"))

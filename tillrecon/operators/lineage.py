@@ -101,11 +101,22 @@ def affected(sources: Mapping[str, Sequence[str]], changed) -> set[str]:
     return stale.intersection(sources)
 
 
+def _hashed(value: Column, kind: T.DataType) -> list[Column]:
+    """What tells a value apart in a hash: Spark's hashes pass over nulls, also those within arrays and structs."""
+    flags = [value.isNull()]
+    if isinstance(kind, T.StructType):
+        return flags + [c for f in kind.fields for c in _hashed(value.getField(f.name), f.dataType)]
+    if isinstance(kind, T.ArrayType):
+        return [*flags, F.size(value), F.transform(value, lambda x: F.struct(*_hashed(x, kind.elementType)))]
+    return [*flags, value]
+
+
 def table_marks(**tables: DataFrame) -> DataFrame:
     """(name, mark) of the content of each table, whatever the order of its rows: their number and a sum of hashes."""
     marks = None
     for name, df in tables.items():
-        hashed = F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in sorted(df.columns))).cast("decimal(20,0)"))
+        values = [v for c in sorted(df.columns) for v in _hashed(F.col(f"`{c}`"), df.schema[c].dataType)]
+        hashed = F.sum(F.xxhash64(*values).cast("decimal(20,0)"))
         mark = F.concat_ws("-", F.count("*").cast("string"), hashed.cast("string"))
         one = df.agg(mark.alias("mark")).select(F.lit(name).alias("name"), "mark")
         marks = one if marks is None else marks.unionByName(one)
