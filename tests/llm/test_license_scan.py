@@ -55,6 +55,16 @@ def test_all_notices_in_one_file(docs):
     assert all(label in got[i] for i, label in enumerate(TEMPLATES))  # one notice in a text that has every word of the templates
 
 
+def test_each_mandatory_phrase_is_enough(docs):
+    """Alone, and in a text that has every word of the templates in another order."""
+    words = " | ".join(sorted({w for _, passages in TEMPLATES.values() for p in passages for w in p.split()}, reverse=True))
+    phrases = [(label, phrase) for label, (must, _) in TEMPLATES.items() for phrase in must]
+    rows = [(2 * i + k, f"{before}\n{phrase}\nCopyright 2024 A. Person") for i, (_, phrase) in enumerate(phrases) for k, before in enumerate(("", words))]
+    got = {r.doc_id: (r.labels.split(","), r.score) for r in scan_licenses(docs(rows)).collect()}
+    for i, (label, _) in enumerate(phrases):
+        assert all(label in got[2 * i + k][0] and got[2 * i + k][1] > 0 for k in (0, 1)), (label, i)
+
+
 def test_empty_table_and_query(spark, docs):
     assert scan_licenses(docs([])).count() == 0
     sf = "/root/testdata/sf0.001"

@@ -5,7 +5,8 @@ Templates with a mandatory phrase that stands in the text, word for word, are ca
 a candidate, the rarest of its words that the document has are looked up in an index of template postings
 (word, template, position), so that no template takes the place of another; postings that agree on the
 relative position between document and passage are counted together, and a candidate becomes a label if the
-best alignment of a passage holds enough of the words looked up for it. Exact base phrases are counted beside
+best alignment of a passage holds enough of the words looked up for it. The mandatory phrases are passages too, so
+that a text which names a license by one of them alone has its label. Exact base phrases are counted beside
 it; their labels always stay.
 
 DataFrame and SQL functions only. Words are held with two spaces between them, so that phrases that follow
@@ -117,11 +118,11 @@ def _base(norm: Column, n_words: Column) -> dict[str, tuple[Column, Column, Colu
 
 
 def postings() -> list[tuple[str, str, int, int]]:
-    """(word, template, passage, position) of every word of the templates."""
+    """(word, template, passage, position) of every word of the templates; mandatory phrases are passages after the notice's."""
     return [
         (word, label, k, i)
-        for label, (_, passages) in TEMPLATES.items()
-        for k, passage in enumerate(passages)
+        for label, (must, passages) in TEMPLATES.items()
+        for k, passage in enumerate((*passages, *must))
         for i, word in enumerate(passage.split())
     ]
 
@@ -130,7 +131,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     index = postings()
-    vocabulary = sorted({w for w, *_ in index} | {w for must, _ in TEMPLATES.values() for p in must for w in p.split()})
+    vocabulary = sorted({w for w, *_ in index})
     mandatory = [p for must, _ in TEMPLATES.values() for p in must]
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid"), spaced_text(F.col("text")).alias("norm"))
@@ -158,6 +159,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     for word, label, k, _ in index:
         spans.setdefault((label, k), set()).add(word)
     verified = {label: reduce(or_, [F.col("norm").contains(_spaced(p)) for p in must]) for label, (must, _) in TEMPLATES.items()}
+    notice = reduce(or_, [(F.col("label") == label) & (F.col("passage") < len(passages)) for label, (_, passages) in TEMPLATES.items()])
     weights = F.create_map(*[F.lit(x) for w, v in rarity.collect() for x in (w, v)])
     ranked = F.array_sort(F.transform("have", lambda w: F.struct((-F.element_at(weights, w)).alias("r"), w.alias("w"))))
     some = rows.where("norm is not null").select("uid", "norm", ranked["w"].alias("have")).dropDuplicates(["uid"])
@@ -178,7 +180,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     aligned = hits.groupBy("uid", "label", "passage", F.size("look").alias("most"), (F.col("at") - F.col("position")).alias("shift"))
     # Of the words looked up for the passage, those that one alignment holds.
     found = aligned.agg(F.countDistinct("word").alias("n")).withColumn("share", F.col("n") / F.col("most")).where(F.col("share") >= ALIGNED)
-    found = found.groupBy("uid").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    # A phrase that stands there holds all its words: the score is that of the notices, where one aligns.
+    share = F.coalesce(F.max(F.when(notice, F.col("share"))), F.max("share"))
+    found = found.groupBy("uid").agg(F.collect_set("label").alias("more"), share.alias("share"))
 
     n = [F.col(f"n_{i}") for i in range(len(base))]
     labels = F.array_compact(F.array(*[F.when(c > 0, F.lit(label)) for c, label in zip(n, base, strict=True)]))
