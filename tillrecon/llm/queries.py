@@ -6,6 +6,7 @@ from tillrecon.llm.license_scan import op7_licenses
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
+from tillrecon.llm.source_divergence import OP11_SQL, op11_divergence
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 from tillrecon.llm.suffix_dedup import op4_suffix
 from tillrecon.llm.url_filters import OP9_SQL, op9_urls
@@ -22,6 +23,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op1_substring": op1_substring,
     "op10_minhash": op10_minhash,
+    "op11_divergence": op11_divergence,
 }
 
 ORACLES = {
@@ -29,4 +31,5 @@ ORACLES = {
     "op9_urls": OP9_SQL,
     "op1_substring": OP1_SQL,
     "op10_minhash": OP10_SQL,
+    "op11_divergence": OP11_SQL,
 }
