@@ -10,6 +10,7 @@ from tillrecon.llm.source_divergence import OP11_SQL, op11_divergence
 from tillrecon.llm.substring_dedup import OP1_SQL, op1_substring
 from tillrecon.llm.suffix_dedup import op4_suffix
 from tillrecon.llm.url_filters import OP9_SQL, op9_urls
+from tillrecon.llm.vector_codes import OP12_SQL, op12_codes
 from tillrecon.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op1_substring": op1_substring,
     "op10_minhash": op10_minhash,
     "op11_divergence": op11_divergence,
+    "op12_codes": op12_codes,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op1_substring": OP1_SQL,
     "op10_minhash": OP10_SQL,
     "op11_divergence": OP11_SQL,
+    "op12_codes": OP12_SQL,
 }
