@@ -2,6 +2,7 @@
 
 from tillrecon.llm.mixing import op6_mixing
 from tillrecon.llm.hamming_index import op5_hamming
+from tillrecon.llm.histogram_sharding import op13_sharding
 from tillrecon.llm.license_scan import op7_licenses
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_minhash": op10_minhash,
     "op11_divergence": op11_divergence,
     "op12_codes": op12_codes,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES = {
