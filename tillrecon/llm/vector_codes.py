@@ -18,9 +18,9 @@ entries, whatever the number of vectors) come back with the next round.
 
 Defined cases: a vector that is null or holds null or a component that is not finite has no row; a null id comes after all others,
 and equal ids are ordered by their vectors, so that rows in any order give the same codebooks; equal vectors have equal
-codes; fewer than 64 vectors make as many entries; components beyond 2^20 are computed with Python's integers; vectors
-of different lengths, or of a length that the parts do not divide, are an error. An empty table has no rows and
-empty codebooks. Only the named columns are read, so that others may have any name.
+codes; fewer than 64 vectors make as many entries; components beyond 2^20 are computed with Python's integers, and a distance
+that 64 bits can't hold fails; vectors of different lengths, or of a length that the parts do not divide, are an
+error. An empty table has no rows and empty codebooks. Only the named columns are read, so that others may have any name.
 """
 
 from __future__ import annotations
