@@ -73,6 +73,29 @@ def test_numbering_does_not_move_the_stored_rows(spark):
     assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_windows_read_the_stored_rows_where_they_lie(spark):
+    """No exchange of stored rows: what is moved are summaries, after their sums."""
+    df = frame(spark, rows())
+    for found in (
+        ordering.previous_in_order(df, ("shop",), ("k", "id"), "v", "p", 7),
+        ordering.fill_down(df, ("shop",), ("k", "id"), "v", "f", 7),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 2
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                assert "Aggregate" in "".join(lines[i + 1 : i + 3]), plan
+
+
+def test_chunks_follow_the_bytes(spark, monkeypatch):
+    df = frame(spark, rows())
+    count = lambda: len(ordering.lay_out(df, ("shop",), ("k", "id")).select(ordering.CHUNK).distinct().collect())
+    assert count() == ordering.LEAST_CHUNKS
+    monkeypatch.setattr(ordering, "CHUNK_BYTES", 1000)
+    assert count() > 20
+
+
 def test_sequence_gaps(spark):
     data = [
         ("A", "001", "0035", 1), ("A", "002", "0036", 2), ("A", "003", " ", 3), ("A", "004", "0040", 4),

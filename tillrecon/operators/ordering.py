@@ -1,36 +1,38 @@
 """Operators that look along an ordered sequence: previous row, fill-down, position.
 
 A window over a shop would put the whole shop into one task. Instead the rows are range-partitioned
-on (group, order), so that one big group spans many partitions of even size; the result is written
-once, with its partition number and the place of each row. From then on a window only runs within a
-partition ("chunk"), and what has to cross from one chunk to the next is one value per chunk and
-group, taken from a small summary. The order must end in columns that make it unique.
+on (group, order), so that one big group spans many partitions ("chunks") of bounded size. The result is
+written once, bucketed by chunk: Spark knows that a chunk lies in one task, so windows and sums by chunk
+and group read the stored rows without moving them again. What has to cross from one chunk to
+the next is one value per chunk and group, taken from a small summary. The order must end in columns
+that make it unique.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillrecon.sources.staging import stage
+from tillrecon.sources.staging import input_bytes, stage, stage_bucketed
 
 CHUNK, PLACE = "_chunk", "_place"
+# Compressed bytes of a chunk, and chunks at least.
+CHUNK_BYTES, LEAST_CHUNKS = 64 << 20, 8
 
 
 def lay_out(df: DataFrame, by, order, chunks: int | None = None) -> DataFrame:
-    """Store ``df`` in ordered chunks.
+    """Store ``df`` in ordered chunks: bucketed by chunk, each row with its chunk and place.
 
-    Their number is the session's shuffle partitions, of which adaptive execution merges neighbours
-    that are small; ``chunks`` fixes it.
+    The rows are written first. Range bounds come from a sample, so what leads to the rows would run
+    twice; and their bytes tell the number of chunks, which ``chunks`` fixes instead. So the size of a chunk
+    does not grow with the data.
     """
+    rows = stage(df, "unordered")
+    if chunks is None:
+        chunks = max(LEAST_CHUNKS, -(-input_bytes(rows) // CHUNK_BYTES))
     keys = [F.col(c).asc_nulls_first() for c in (*by, *order)]
-    ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys)
-    return stage(
-        ordered.withColumns(
-            {CHUNK: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}
-        ),
-        "ordered",
-    )
+    ordered = rows.repartitionByRange(chunks, *keys).sortWithinPartitions(*keys)
+    placed = ordered.withColumns({CHUNK: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()})
+    return stage_bucketed(placed, "ordered", chunks, CHUNK)
 
 
 def _within(by) -> Window:
@@ -40,8 +42,8 @@ def _within(by) -> Window:
 def _carried(laid: DataFrame, by, summary: Column, carry) -> DataFrame:
     """Per (chunk, group) that continues an earlier chunk: what ``carry`` makes of the earlier summaries.
 
-    ``summary`` is a number per chunk and group, so it is hash-aggregated, partially before the
-    shuffle. Only a chunk's first group can continue: there is at most one row per chunk.
+    ``summary`` is one value per chunk and group, found where the rows lie. Only a chunk's first group can
+    continue: there is at most one row per chunk.
     """
     parts = laid.groupBy(CHUNK, *by).agg(summary.alias("_part"))
     earlier = Window.partitionBy(*by).orderBy(CHUNK)
@@ -57,18 +59,10 @@ def _carried(laid: DataFrame, by, summary: Column, carry) -> DataFrame:
     )
 
 
-def _value_at(laid: DataFrame, carried: DataFrame, column: str) -> DataFrame:
-    """``carried`` with the value that ``column`` has at the place it names."""
-    # At most one row per chunk: the number of chunks bounds what is broadcast.
-    places = F.broadcast(carried.withColumnRenamed(CHUNK, "_to").withColumnRenamed("_carry", "_from"))
-    values = laid.select(F.col(PLACE).alias("_from"), F.col(column).alias("_carry"))
-    by = [c for c in carried.columns if c not in (CHUNK, "_carry")]
-    return values.join(places, "_from").select(F.col("_to").alias(CHUNK), *by, "_carry")
-
-
-def _join_carried(rows: DataFrame, carried: DataFrame, by) -> DataFrame:
-    # At most one row per chunk.
-    return _join_summary(rows, F.broadcast(carried), by)
+def _edge(column: str, only: Column | None = None) -> Column:
+    """The row's value at the last place of a group, as a struct: a NULL there is a value as well."""
+    edge = F.struct(F.col(PLACE), F.col(column).alias("value"))
+    return F.max(edge if only is None else F.when(only, edge))
 
 
 def _join_summary(rows: DataFrame, summary: DataFrame, by) -> DataFrame:
@@ -89,8 +83,8 @@ def previous_in_order(
     rows = laid.withColumns(
         {"_prev": F.lag(column).over(within), "_first": F.row_number().over(within) == 1}
     )
-    last_places = _carried(laid, by, F.max(PLACE), lambda part, w: F.lag(part).over(w))
-    joined = _join_carried(rows, _value_at(laid, last_places, column), by)
+    carried = _carried(laid, by, _edge(column), lambda part, w: F.lag(part).over(w)["value"])
+    joined = _join_summary(rows, carried, by)
     value = F.when(F.col("_first"), F.col("_c_carry")).otherwise(F.col("_prev"))
     return joined.select(*df.columns, value.alias(alias))
 
@@ -100,15 +94,15 @@ def fill_down(df: DataFrame, by, order, column: str, alias: str, chunks: int | N
     laid = lay_out(df, by, order, chunks)
     upto = _within(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = laid.withColumn("_filled", F.last(column, ignorenulls=True).over(upto))
-    value_places = _carried(
+    carried = _carried(
         laid,
         by,
-        F.max(F.when(F.col(column).isNotNull(), F.col(PLACE))),
+        _edge(column, F.col(column).isNotNull()),
         lambda part, w: F.last(part, ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)
-        ),
+        )["value"],
     )
-    joined = _join_carried(rows, _value_at(laid, value_places, column), by)
+    joined = _join_summary(rows, carried, by)
     return joined.select(*df.columns, F.coalesce("_filled", "_c_carry").alias(alias))
 
 
