@@ -64,9 +64,12 @@ def test_write_and_read(spark, tmp_path):
 
 def damaged(spark, tmp_path, change):
     write_archives(spark.createDataFrame([(1, "u", "abc" * 900, "x")], SCHEMA), f"{tmp_path}/a", segment_bytes=700)
-    path = next(f for f in tmp_path.glob("a/part-*") if f.stat().st_size)
+    # Partitions without rows leave archives without records.
+    (whole,) = (data for f in tmp_path.glob("a/part-*") if (data := gzip.decompress(f.read_bytes())))
+    other = change(whole)
+    assert other != whole and whole.count(b"WARC-Type: continuation") > 2
     (tmp_path / "b").mkdir()
-    (tmp_path / "b/part-0").write_bytes(change(gzip.decompress(path.read_bytes())))
+    (tmp_path / "b/part-0").write_bytes(other)
     return read_archives(spark, f"{tmp_path}/b")
 
 
@@ -83,6 +86,19 @@ def test_damage_fails(spark, tmp_path, change):
         damaged(spark, tmp_path, change).count()
 
 
+def test_pages_are_reassembled(spark, tmp_path):
+    """Most pages of the tables are cut: the query reads more continuation records than responses."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    write_archives(pages, f"{tmp_path}/a")
+    heads = [h for f in tmp_path.glob("a/part-*") for h, _ in records_of(gzip.decompress(f.read_bytes()))]
+    kinds = [h["warc-type"] for h in heads]
+    assert kinds.count("continuation") > kinds.count("response") > 0
+    urls = {str(r.page_id): r.url for r in pages.collect()}
+    for h in heads:
+        if h["warc-type"] == "revisit":
+            assert h["warc-refers-to-target-uri"] == urls[h["warc-refers-to-page"]]
+
+
 def test_empty_table(spark, tmp_path):
     write_archives(spark.createDataFrame([], SCHEMA), f"{tmp_path}/a")
     assert read_archives(spark, f"{tmp_path}/a").count() == 0

@@ -367,4 +367,6 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400) -> DataFrame:
 
 def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # What is left as text: a character that a cut goes through shows as U+FFFD.
+    text = F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text)

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from tillrecon.llm.common import Buffer, new_folder, rows_of, settings, stage, unstage
 
-#: Bytes of a block in one record, of a chunk within it; records of one archive.
-SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 32 << 10, 8 << 10, 500
+#: Bytes of a block in one record, of a chunk within it; records of one archive. Most pages are longer than a segment.
+SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 10, 8 << 10, 2000
 _END = "\r\n\r\n"
 
 
@@ -94,21 +94,25 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> str:
     return f"WARC/1.1\r\n{lines}\r\n{block.decode()}"
 
 
+def _uri(url: str | None) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
+
+
 def _write(segment_bytes: int):
     def run(batches):
         task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             out = Buffer(_RECORD, 4 << 20)
-            for page_id, url, html, refers_to, sha in rows_of(batch):
+            for page_id, url, html, refers_to, refers_uri, sha in rows_of(batch):
                 n += 1
                 me = f"<urn:record:{task}-{n}>"
-                uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
+                uri = _uri(url)
                 page = [] if page_id is None else [("WARC-Page-ID", str(page_id))]
                 common = [("WARC-Target-URI", uri), *page, ("WARC-Date", "2024-01-01T00:00:00Z")]
                 shown = ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(sha)).decode())
                 http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
                 if refers_to is not None:
-                    headers = [("WARC-Type", "revisit"), ("WARC-Record-ID", me), *common, shown, ("WARC-Refers-To-Page", str(refers_to))]
+                    headers = [("WARC-Type", "revisit"), ("WARC-Record-ID", me), *common, shown, ("WARC-Refers-To-Target-URI", _uri(refers_uri)), ("WARC-Refers-To-Date", "2024-01-01T00:00:00Z"), ("WARC-Refers-To-Page", str(refers_to))]
                     out.add(_record([*headers, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")], http), weight=len(http))
                     continue
                 block = http + chunked((html or "").encode())
@@ -135,11 +139,12 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha"))
     # Only payloads of several pages need a look-up. It is written first: where it is small, Spark then
     # brings it to the pages instead of moving these.
-    same = rows.groupBy("sha").agg(F.count("page_id").alias("n"), F.max("page_id").alias("last")).where("n > 1").select("sha", "last")
+    same = rows.groupBy("sha").agg(F.count("page_id").alias("n"), F.max("page_id").alias("last"), F.max_by("url", "page_id").alias("last_url"))
+    same = same.where("n > 1").select("sha", "last", "last_url")
     same = stage(same, "same")
     rows = rows.join(same, "sha", "left")
     refers = F.when(F.col("last") > F.col("page_id"), F.col("last"))
-    records = rows.select("page_id", "url", "html", refers.alias("refers_to"), "sha").mapInArrow(_write(segment_bytes), "value string")
+    records = rows.select("page_id", "url", "html", refers.alias("refers_to"), "last_url", "sha").mapInArrow(_write(segment_bytes), "value string")
     with settings(pages.sparkSession):
         records.write.option("lineSep", _END).option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(folder)
     unstage(same)
