@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,16 +83,32 @@ def test_unclear_shop_fails_whichever_columns_are_read(spark, tree):
         files.read_journals(spark, tree, SHOPS, on_unclear="fail").select("block_id").count()
 
 
-def test_content_marks(spark, tmp_path):
-    root = tmp_path / "s"
+def test_content_digests(spark, tmp_path, monkeypatch):
+    root = tmp_path / "sources"
     root.mkdir()
-    for name, text in (("a.TXT", "1\n2\n"), ("b.csv", "x\r\ny"), ("c.txt", "\xff\x80")):
-        (root / name).write_bytes(text.encode("latin-1"))
-    before = spark.createDataFrame(files.content_marks(spark, str(root)).collect())
-    (root / "a.TXT").write_bytes(b"1\n2")
-    (root / "b.csv").write_bytes(b"x\r\nz")
-    diff = files.diff_fingerprints(before, files.content_marks(spark, str(root)), mark="mark").collect()
-    assert {r.rel_path: r.status for r in diff} == {"s/a.TXT": "changed", "s/b.csv": "changed", "s/c.txt": "same"}
+    text = {"a.TXT": "".join(f"line {i}\n" for i in range(3000)), "b.csv": "x\ny", "c.txt": "x\ny\n", "d.txt": "", "e é+.txt": "y\nx", "f.TXT": "\n\n"}
+    for name, t in text.items():
+        (root / name).write_text(t)
+    monkeypatch.setattr(files, "LEAF_LINES", 100)
+    digests = lambda: {r.rel_path.split("/")[-1]: r.digest for r in files.content_digests(spark, str(root)).collect()}
+    one = digests()
+    assert set(one) == set(text) - {"d.txt"} and len(set(one.values())) == 5
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for bytes_ in ("1000", "7777"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+            assert digests() == one
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    before = spark.createDataFrame(files.content_digests(spark, str(root)).collect())
+    lines = text["a.TXT"].splitlines(keepends=True)
+    lines[5], lines[2000] = lines[2000], lines[5]  # places in one file change, its lines and size do not
+    (root / "a.TXT").write_text("".join(lines))
+    (root / "c.txt").unlink()
+    (root / "g.txt").write_text("new")
+    diff = files.diff_fingerprints(before, files.content_digests(spark, str(root)), mark="digest").collect()
+    status = {r.rel_path.split("/")[-1]: r.status for r in diff}
+    assert status == {"a.TXT": "changed", "b.csv": "same", "c.txt": "removed", "e é+.txt": "same", "f.TXT": "same", "g.txt": "added"}
 
 
 def test_staged_folders(spark, tmp_path, monkeypatch):
@@ -210,3 +227,22 @@ def test_publish_if_valid(spark, tmp_path):
     assert sinks.current_run(spark, root) == first and len(os.listdir(f"{root}/runs")) == 1
     kept_aside = sinks.publish_if_valid(spark, root, write, lambda folder: None, publish=False)
     assert sinks.current_run(spark, root) == first and os.path.isdir(kept_aside)
+    runs = [sinks.publish_if_valid(spark, root, write, lambda folder: None, keep=2) for _ in range(3)]
+    assert sinks.current_run(spark, root) == runs[-1] and not os.path.exists(first) and not os.path.exists(runs[0])
+    assert sorted(n for n in os.listdir(f"{root}/published") if n.isdigit()) == ["000000000003", "000000000004"]
+    with pytest.raises(ValueError, match="current run"):
+        sinks.retain(spark, root, 0)
+
+
+def test_two_publishers_get_two_numbers(spark, tmp_path):
+    root = str(tmp_path / "target")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: sinks.publish_run(spark, root, f"run {i}"), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+    assert sinks.current_run(spark, root) == f"run {numbers.index(24)}"
+    # A publisher that ended between number and run, clocks that are wrong: neither counts.
+    (tmp_path / "target/published/000000000025").touch()
+    os.utime(tmp_path / "target/published/000000000003", (2**33, 2**33))
+    assert sinks.current_run(spark, root) == f"run {numbers.index(24)}"
+    assert sinks.publish_run(spark, root, "next") == 26 and sinks.current_run(spark, root) == "next"
+    assert len(sinks.retain(spark, root, 2)) == 23

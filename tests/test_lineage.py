@@ -26,6 +26,10 @@ def test_what_a_change_affects(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "i int, s string")
     marks = {r.name: r.mark for r in lineage.table_marks(one=df, two=df.repartition(3), three=df.distinct(), none=df.limit(0)).collect()}
     assert marks["one"] == marks["two"] != marks["three"] and marks["none"].startswith("0")
+    parts = {(r.name, r.i): (r.n, r.mark) for r in lineage.table_marks(["i"], one=df, four=df.filter("i = 2")).collect()}
+    assert parts["one", 2] == parts["four", 2] and parts["one", 1] != parts["one", 2] and parts["one", 2][0] == 2
+    assert df.filter(lineage.within(df, ("i", "s"), {(2, None), (1, "y")})).count() == 2
+    assert df.filter(~lineage.within(df, ("s",), set())).count() == 3
 
 
 def test_marks_see_a_value_that_moves_to_a_null(spark):
@@ -69,6 +73,12 @@ def test_observed_while_writing(spark, tmp_path):
     df.write.parquet(str(tmp_path / "big"))
     assert {tuple(r) for r in log.counts(spark).collect()} == {("big", "read", 100), ("big", "written", 10)}
     assert [tuple(r) for r in log.edges(spark).collect()] == [("big", "numbers")]
+    # Two places that read count one by one, sums come with the count.
+    again = log.observed(spark.range(5), "two", "read").unionByName(log.observed(spark.range(7), "two", "read"))
+    amounts = again.selectExpr("id", "CAST(id AS DECIMAL(18,2)) amount", "CAST(NULL AS DECIMAL(18,2)) nothing")
+    log.observed(amounts, "two", "written", ["amount", "nothing"]).write.parquet(str(tmp_path / "two"))
+    assert log.count("two", "read") == log.count("two", "written") == log.recount("two", "read") == 12
+    assert [tuple(r) for r in log.totals(spark).collect()] == [("two", "amount", D("31.00"))]
 
 
 def test_volume_metrics(spark):

@@ -5,6 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from tillrecon.operators import checks, monthly
 from tillrecon.plans import rebuild as R, staged
 from tillrecon.sources import sinks
 
@@ -34,7 +35,18 @@ def z_report(code, mode, rows):
 
 @pytest.fixture
 def sources(tmp_path):
-    root = tmp_path / "sources"
+    return made_sources(tmp_path / "sources")
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Tables of one run, for tests that only read them."""
+    root = tmp_path_factory.mktemp("stored")
+    run = R.rebuild(spark, str(made_sources(root / "sources")), str(root / "target"), SETTINGS)
+    return sinks.read_tables(spark, run, R.TABLES)
+
+
+def made_sources(root):
     z2 = lambda card, cash: [("CARTES", 1, card), ("ESPECES", 1, cash), ("CHEQUES", 0, "0.00")]
     z1 = lambda ttc: [("CA NET", 1, ttc), ("HORS TAXE 1", 1, ttc), ("TVA 1", 1, "0.00")]
     files = {
@@ -81,9 +93,7 @@ def test_rebuild_and_outputs(spark, sources, tmp_path):
     assert len(rows["z1_matrix"]) == 2 and len(rows["coherence"]) == 4
 
 
-def test_written_outputs_and_their_report(spark, sources, tmp_path):
-    target = str(tmp_path / "target")
-    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), target, SETTINGS), R.TABLES)
+def test_written_outputs_and_their_report(spark, stored, tmp_path):
     declared = spark.createDataFrame(
         [(2024, "2024-01", D("40.00"), None)], "year int, period string, ht20_declared decimal(18,2), vat20_declared decimal(18,2)"
     )
@@ -94,9 +104,10 @@ def test_written_outputs_and_their_report(spark, sources, tmp_path):
     assert report["z2_against_journal"].sources == ["payments", "z2_totals"]
     # Of three monthly totals the two in their shop's mode are selected; the payments are read beside them.
     assert counters("z2_against_journal") == (5, 4, 2)
-    # Five tickets, four of them sales; eighteen report rows and six headers, of which z1 has six rows.
+    # Five tickets, four of them sales; of eighteen report rows and six headers only the files of z1 are read.
     assert counters("coherence") == (5, 4, 4)
-    assert counters("z1_totals") == (24, 6, 2)
+    assert counters("z1_totals") == (8, 6, 2)
+    assert {r.n_kept for r in report.values()} == {0}
     assert counters("internal_no_duplicates") == (4, 0, 0)
     assert "ttc: 42,00" in report["revenue"].totals
     (row,) = spark.read.parquet(f"{folder}/declared").collect()
@@ -122,39 +133,113 @@ def test_staged_files(spark, sources, tmp_path):
     ]
     reports = staged.read_staged(spark, folder, "z2").filter("shop = 'SOUTH' AND year = 2024 AND E_MODE = 'Z'").collect()
     assert {(r.D_DESIGNATION, r.D_QUANTITE, r.D_MONTANT) for r in reports} == {("CARTES", "1", "7.00"), ("ESPECES", "1", "0.00"), ("CHEQUES", "0", "0.00")}
+    # A run writes them as well, and other volumes fail it.
+    run = R.rebuild(spark, str(sources), str(tmp_path / "other"), SETTINGS, staged_volumes=volumes)
+    assert staged.read_staged(spark, f"{run}/staged", "z2").count() == 12
+    with pytest.raises(ValueError, match=r"tickets SOUTH \(2, 1\)"):
+        R.rebuild(spark, str(sources), str(tmp_path / "other"), SETTINGS, staged_volumes=volumes | {("tickets", "SOUTH"): 2})
+    assert sinks.current_run(spark, str(tmp_path / "other")) == run
     with pytest.raises(ValueError, match=r"z1 NORTH \(4, 3\)"):
         staged.export_staged(stored, str(tmp_path / "again"), {("z1", "NORTH"): 4})
 
 
-def test_another_year_selects_nothing(spark, sources, tmp_path):
-    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+def test_another_year_selects_nothing(spark, stored, tmp_path):
     report = {r.output: r for r in R.write_outputs(stored, SETTINGS, str(tmp_path / "out"), 2023).collect()}
     assert (report["z1_against_journal"].n_read, report["z1_against_journal"].n_selected) == (4, 0)
-    # An unexpected pair of file and mode has its column.
-    assert {"FILE001_Z", "FILE101_ZZ1"} < set(spark.read.parquet(str(tmp_path / "out" / "z1_matrix")).columns)
+    # An unexpected pair of file and mode has its key, and its column where columns are asked for.
+    mapped = spark.read.parquet(str(tmp_path / "out" / "z1_matrix"))
+    assert {r.shop: r.counts for r in mapped.collect()} == {"NORTH": {"FILE101_ZZ1": 3}, "SOUTH": {"FILE001_Z": 3}}
+    wide = {r.shop: r for r in monthly.as_columns(mapped).collect()}
+    assert (wide["SOUTH"].FILE001_Z, wide["SOUTH"].FILE101_ZZ1) == (3, None)
+    with pytest.raises(ValueError, match="more than 1 values"):
+        monthly.as_columns(mapped, widest=1)
 
 
-def test_unchanged_outputs_are_taken_over(spark, sources, tmp_path):
-    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+def test_unchanged_outputs_are_taken_over(spark, stored, tmp_path):
     one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
     first = {r.output: r for r in R.write_outputs(stored, SETTINGS, one, 2024).collect()}
-    # The earlier folder is marked, to see what comes from it.
-    for name in ("label_occurrences", "z1_totals"):
-        rows = spark.read.parquet(f"{one}/{name}").collect()
-        spark.createDataFrame(rows + rows[:1], spark.read.parquet(f"{one}/{name}").schema).write.parquet(f"{one}/{name}_more")
-        os.rename(f"{one}/{name}", f"{one}/{name}_old")
-        os.rename(f"{one}/{name}_more", f"{one}/{name}")
+    mark(spark, one, "label_occurrences", "z1_totals")
     moved = dict(stored, report_lines=stored["report_lines"].filter("designation <> 'TVA 1'"))
-    assert R._unchanged(spark, one, None) == set()
     R.write_outputs(moved, SETTINGS, two, 2024, previous=one)
-    assert spark.read.parquet(f"{two}/label_occurrences").count() == first["label_occurrences"].n_written + 1
+    assert spark.read.parquet(f"{two}/label_occurrences").count() == 2 * first["label_occurrences"].n_written
     assert spark.read.parquet(f"{two}/z1_totals").count() == first["z1_totals"].n_written
     R.write_outputs(stored, SETTINGS, three, 2023, previous=one)
     assert spark.read.parquet(f"{three}/label_occurrences").count() == first["label_occurrences"].n_written
 
 
-def test_an_amount_that_moves_to_a_null_column_is_not_taken_over(spark, sources, tmp_path):
-    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+def mark(spark, folder, *names):
+    """Every row of an output twice, to see which rows come from this folder."""
+    for name in names:
+        df = spark.read.parquet(f"{folder}/{name}")
+        df.unionByName(df).write.parquet(f"{folder}/{name}_more")
+        os.rename(f"{folder}/{name}", f"{folder}/{name}_old")
+        os.rename(f"{folder}/{name}_more", f"{folder}/{name}")
+
+
+def test_only_the_parts_that_changed_are_computed(spark, stored, tmp_path, monkeypatch):
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    R.write_outputs(stored, SETTINGS, one, 2024)
+    mark(spark, one, "payments", "coherence", "internal_no_occurrences")
+    dearer = F.when(F.col("shop") == "SOUTH", F.col("ttc") + 1).otherwise(F.col("ttc")).cast("decimal(18,2)")
+    moved = dict(stored, tickets=stored["tickets"].withColumn("ttc", dearer))
+    marks = lambda tables: R.lineage.table_marks(R.PARTS, **{n: tables[n] for n in R.TABLES})
+    assert marks(moved).exceptAll(marks(stored)).select("name", "shop", "year").collect() == [("tickets", "SOUTH", 2024)]
+    report = {r.output: r for r in R.write_outputs(moved, SETTINGS, two, 2024, previous=one).collect()}
+    # The rows of NORTH come from the earlier folder, where each stands twice; those of SOUTH are new.
+    for name, north, south in (("payments", 2, 1), ("coherence", 6, 1), ("internal_no_occurrences", 6, 1)):
+        found = spark.read.parquet(f"{two}/{name}").groupBy("shop").count().collect()
+        assert {r.shop: r["count"] for r in found} == {"NORTH": north, "SOUTH": south}, name
+        assert (report[name].n_read, report[name].n_kept, report[name].n_written) == (1, north, north + south)
+    assert spark.read.parquet(f"{two}/revenue").filter("shop = 'SOUTH'").first().ttc == D("8.00")
+    assert report["z1_totals"].n_read == 0 and report["z1_totals"].n_kept == 2
+    # Nothing changed: nothing is built, and neither order nor members are looked for.
+    monkeypatch.setattr(R.checks, "sequence_gaps", None)
+    monkeypatch.setattr(R.monthly, "occurrence_map", None)
+    again = R.write_outputs(moved, SETTINGS, three, 2024, previous=two).collect()
+    assert {(r.n_read, r.n_selected) for r in again} == {(0, 0)} and sum(r.n_kept for r in again) > 0
+
+
+def test_files_of_other_parts_are_not_read(spark, stored, tmp_path):
+    assert dict(stored["tickets"].dtypes)["year"] == "int" and dict(stored["report_lines"].dtypes)["shop"] == "string"
+    only = lambda df, output: df.filter(R.lineage.within(df, R.SCOPES[output], {("NORTH", 2024)}))
+    build = R.base_outputs(stored, SETTINGS, only=only)
+    for name, files in (("z1_totals", "family"), ("coherence", "year"), ("revenue", "shop")):
+        plan = build[name]()._jdf.queryExecution().executedPlan().toString()
+        for scan in (p for p in plan.split("FileScan parquet")[1:]):
+            assert files in scan.split("PartitionFilters: [")[1].split("], PushedFilters")[0], scan
+
+
+def test_counters_are_those_of_the_write(spark, sources, tmp_path, monkeypatch):
+    target = str(tmp_path / "target")
+    run = R.rebuild(spark, str(sources), target, SETTINGS)
+    stored = sinks.read_tables(spark, run, R.TABLES)
+    derived = R.derived_outputs
+
+    def grown(*a):
+        # The table grows after the base outputs are written.
+        stored["tickets"].limit(3).write.mode("append").partitionBy("shop", "year").parquet(f"{run}/tickets")
+        stored["tickets"] = sinks.read_tables(spark, run, ["tickets"])["tickets"]
+        assert stored["tickets"].count() == 8
+        return derived(*a)
+
+    monkeypatch.setattr(R, "derived_outputs", grown)
+    report = {r.output: r for r in R.write_outputs(dict(stored), SETTINGS, str(tmp_path / "out"), 2024).collect()}
+    assert (report["coherence"].n_read, report["coherence"].n_selected, report["tickets"].n_written) == (5, 4, 5)
+
+
+def test_reading_a_source_twice_stops_the_run(spark, stored, tmp_path, monkeypatch):
+    base = R.base_outputs
+
+    def twice(*a):
+        found = base(*a)
+        return found | {"coherence": lambda: found["coherence"]().unionByName(found["coherence"]())}
+
+    monkeypatch.setattr(R, "base_outputs", twice)
+    with pytest.raises(ValueError, match="more rows read than the sources hold: coherence 10 of 5"):
+        R.write_outputs(stored, SETTINGS, str(tmp_path / "out"), 2024)
+
+
+def test_an_amount_that_moves_to_a_null_column_is_not_taken_over(spark, stored, tmp_path):
     one, two = (str(tmp_path / n) for n in ("one", "two"))
     R.write_outputs(stored, SETTINGS, one, 2024)
     only = F.col("pay_card").isNotNull() & F.col("pay_cash").isNull()
@@ -165,8 +250,7 @@ def test_an_amount_that_moves_to_a_null_column_is_not_taken_over(spark, sources,
     assert rows(one) != rows(two)
 
 
-def test_mode_rules_and_control_stop_the_run(spark, sources, tmp_path, monkeypatch):
-    stored = sinks.read_tables(spark, R.rebuild(spark, str(sources), str(tmp_path / "target"), SETTINGS), R.TABLES)
+def test_mode_rules_and_control_stop_the_run(spark, stored, tmp_path, monkeypatch):
     narrow = dataclasses.replace(SETTINGS, modes=("ZZ1", "Z"))
     with pytest.raises(Exception, match="unknown mode: ZZ2"):
         R.outputs(stored, narrow)["z2_totals"].collect()

@@ -39,7 +39,6 @@ def reconcile(
     keys=KEYS,
     year: int | None = None,
     strict: bool = False,
-    check_unique: bool = True,
     keep_measures: bool = False,
 ) -> DataFrame:
     """Left minus right for every period of either side, with ``status`` both/left_only/right_only.
@@ -48,11 +47,10 @@ def reconcile(
     ``missing`` says what a period without the other side means:
     ``zero`` – the absent side counts as zero; ``null`` – there is no gap to tell, it stays NULL.
     An absent measure of a present row is zero, or fails the job when ``strict``.
-    ``year`` is applied to both sides before the join.
+    ``year`` is applied to both sides first. A period has one row per side; a repeated one fails the job that
+    reads it, whichever columns it asks for. Both sides are tagged and meet in one aggregation.
     """
-    if missing not in ("zero", "null"):
-        raise ValueError(f"missing must be 'zero' or 'null', not {missing!r}")
-    pairs = {name: pair for name, pair in gaps.items() if pair is not None}
+    pairs = _pairs(gaps, missing)
     sides = []
     for df, index, tag in ((left, 0, "left"), (right, 1, "right")):
         measures = list(dict.fromkeys(pair[index] for pair in pairs.values()))
@@ -64,13 +62,68 @@ def reconcile(
             for m in measures:
                 df = df.filter(holds(F.col(m).isNotNull(), f"amount {m} is missing"))
             df = df.withColumns({m: strict_amount(F.col(m), m) for m in measures})
-        df = df.withColumn("_here", F.lit(True))
-        if check_unique:
-            df = unique_or_fail(df, keys, tag)
-        sides.append(df.select(*keys, *(F.col(c).alias(f"_{tag}_{c}") for c in (*measures, "_here"))))
-    joined = sides[0].join(sides[1], list(keys), "full_outer")
+        named = [F.col(m).alias(f"_{tag}_{m}") for m in measures]
+        sides.append(df.select(*keys, F.lit(tag).alias("_side"), *named))
+    # A side has no value in the other one's columns.
+    tagged = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return _gaps_of(tagged, gaps, pairs, missing, keys, keep_measures)
+
+
+def reconcile_tagged(
+    rows: DataFrame, gaps: Mapping[str, tuple[str, str] | None], missing: str, keys=KEYS, side: str = "_side"
+) -> DataFrame:
+    """:func:`reconcile` of rows that hold both sides; ``side`` says which: left or right."""
+    pairs = _pairs(gaps, missing)
+    own = lambda tag, m: F.when(F.col(side) == tag, F.col(m)).alias(f"_{tag}_{m}")
+    columns = [own("left", m) for m in dict.fromkeys(p[0] for p in pairs.values())]
+    columns += [own("right", m) for m in dict.fromkeys(p[1] for p in pairs.values())]
+    return _gaps_of(rows.select(*keys, F.col(side).alias("_side"), *columns), gaps, pairs, missing, keys)
+
+
+def reconcile_sums(
+    left: DataFrame,
+    right: DataFrame,
+    gaps: Mapping[str, tuple[str, str] | None],
+    missing: str,
+    keys=KEYS,
+    sum_type: str = "decimal(28,2)",
+    keep_measures: bool = False,
+) -> DataFrame:
+    """:func:`reconcile` of the sums per period of rows of either side.
+
+    Both sides are added up where they are read, and their partial sums meet in one shuffle.
+    """
+    pairs = _pairs(gaps, missing)
+    sides = []
+    for df, index, tag in ((left, 0, "left"), (right, 1, "right")):
+        measures = list(dict.fromkeys(pair[index] for pair in pairs.values()))
+        named = [F.col(m).alias(f"_{tag}_{m}") for m in measures]
+        sides.append(df.select(*keys, F.lit(tag).alias("_side"), *named))
+    tagged = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return _gaps_of(tagged, gaps, pairs, missing, keys, keep_measures, sum_type)
+
 
-    has_left, has_right = F.col("_left__here").isNotNull(), F.col("_right__here").isNotNull()
+def _pairs(gaps, missing: str) -> dict[str, tuple[str, str]]:
+    if missing not in ("zero", "null"):
+        raise ValueError(f"missing must be 'zero' or 'null', not {missing!r}")
+    return {name: pair for name, pair in gaps.items() if pair is not None}
+
+
+def _gaps_of(tagged: DataFrame, gaps, pairs, missing: str, keys, keep_measures=False, sum_type=None) -> DataFrame:
+    """Gaps from one aggregation of both sides' rows: keys, ``_side`` and a column per side and measure.
+
+    Without ``sum_type`` a key has one row per side; a second one fails the job that reads it.
+    """
+    values = [c for c in tagged.columns if c not in (*keys, "_side")]
+    picked = [(F.max(c) if sum_type is None else F.sum(c).cast(sum_type)).alias(c) for c in values]
+    counts = [F.count_if(F.col("_side") == tag).alias(f"_n_{tag}") for tag in ("left", "right")]
+    joined = tagged.groupBy(*keys).agg(*counts, *picked)
+    if sum_type is None:
+        shown = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+        for tag in ("left", "right"):
+            message = F.concat(F.lit(f"duplicate period in {tag}: "), shown)
+            joined = joined.filter(holds(F.col(f"_n_{tag}") <= 1, message))
+    has_left, has_right = F.col("_n_left") > 0, F.col("_n_right") > 0
     both = has_left & has_right
     columns = []
     for name, pair in gaps.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -111,65 +112,117 @@ def _hashed(value: Column, kind: T.DataType) -> list[Column]:
     return [*flags, value]
 
 
-def table_marks(**tables: DataFrame) -> DataFrame:
-    """(name, mark) of the content of each table, whatever the order of its rows: their number and a sum of hashes."""
+def table_marks(by: Sequence[str] = (), **tables: DataFrame) -> DataFrame:
+    """(name, *by, n, mark) of the content of each table and part, whatever the order of its rows.
+
+    ``n`` is the number of rows, the mark tells it and a sum of hashes.
+    """
     marks = None
     for name, df in tables.items():
         values = [v for c in sorted(df.columns) for v in _hashed(F.col(f"`{c}`"), df.schema[c].dataType)]
         hashed = F.sum(F.xxhash64(*values).cast("decimal(20,0)"))
         mark = F.concat_ws("-", F.count("*").cast("string"), hashed.cast("string"))
-        one = df.agg(mark.alias("mark")).select(F.lit(name).alias("name"), "mark")
+        one = df.groupBy(*by).agg(F.count("*").alias("n"), mark.alias("mark")).select(F.lit(name).alias("name"), *by, "n", "mark")
         marks = one if marks is None else marks.unionByName(one)
     return marks
 
 
+def within(df: DataFrame, columns: Sequence[str], keys) -> Column:
+    """Whether a row has one of ``keys`` in ``columns``; NULL is a value like others."""
+    found = F.lit(False)
+    for key in sorted(keys, key=repr):
+        own = F.lit(True)
+        for c, value in zip(columns, key, strict=True):
+            own = own & F.col(c).eqNullSafe(F.lit(value).cast(df.schema[c].dataType))
+        found = found | own
+    return found
+
+
+@contextmanager
+def observing(spark: SparkSession):
+    """While this holds, Spark keeps the parts of a plan that turn out empty: with them their counts would go."""
+    rules = "spark.sql.adaptive.optimizer.excludedRules"
+    before = spark.conf.get(rules, None)
+    spark.conf.set(rules, ",".join(filter(None, (before, "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(rules)
+        else:
+            spark.conf.set(rules, before)
+
+
+def _metrics(observation: Observation) -> dict:
+    """What was observed; nothing where Spark left a part out."""
+    return observation.get if observation._jo.getRow().size() else {}
+
+
 class Lineage:
-    """Counters taken while the outputs are written, and the sources declared for each of them."""
+    """Counters and sums taken by the writes of the outputs themselves, and the sources declared for each of them.
+
+    Every place where an output reads a source has an observation of its own, so an output that reads a
+    source twice counts it twice. Spark counts again what a lost task has to do again; :meth:`recount` tells
+    such a count from a wrong one.
+    """
 
     def __init__(self):
-        self._counters: dict[tuple[str, str], Observation] = {}
-        self._counted: list[DataFrame] = []
+        self._counters: dict[tuple[str, str], list[tuple[Observation, DataFrame]]] = {}
+        self._sums: dict[str, tuple[Observation, list[str]]] = {}
         self._edges: list[tuple[str, str]] = []
 
     def declare(self, output: str, *sources: str) -> None:
         self._edges.extend((output, source) for source in sources)
 
-    def observed(self, df: DataFrame, output: str, counter: str, only: Column | None = None) -> DataFrame:
-        """Count rows that pass here (``read``, ``selected`` or ``written``) during the write."""
+    def observed(self, df: DataFrame, output: str, counter: str, sums: Sequence[str] = ()) -> DataFrame:
+        """Count rows that pass here (``read``, ``selected``, ``kept`` or ``written``), and add up columns, during the write."""
         observation = Observation()
-        counted = F.count("*") if only is None else F.count_if(only)
-        self._counters[(output, counter)] = observation
-        return df.observe(observation, counted.alias("n"))
-
-    def counted(self, df: DataFrame, output: str, counter: str) -> DataFrame:
-        """Count the rows of ``df``, on which ``output`` is built, when the counters are asked for.
+        self._counters.setdefault((output, counter), []).append((observation, df))
+        if sums:
+            self._sums[output] = (observation, list(sums))
+        totals = (F.sum(F.col(f"`{c}`")).cast(VALUE_TYPE).alias(f"sum{i}") for i, c in enumerate(sums))
+        return df.observe(observation, F.count("*").alias("n"), *totals)
 
-        Unlike an observation it does not depend on how, or how often, the output's plan runs this part.
-        """
-        names = F.lit(output).alias("output"), F.lit(counter).alias("counter")
-        self._counted.append(df.agg(F.count("*").alias("n")).select(*names, "n"))
-        return df
+    def count(self, output: str, counter: str) -> int:
+        """What a write has counted."""
+        return sum(_metrics(obs).get("n", 0) for obs, _ in self._counters.get((output, counter), ()))
 
     def counts(self, spark: SparkSession) -> DataFrame:
         """(output, counter, n) of everything written so far; one row per counter."""
-        rows = [(o, c, int(obs.get["n"])) for (o, c), obs in self._counters.items()]
-        found = spark.createDataFrame(rows, "output string, counter string, n bigint")
-        for one in self._counted:
-            found = found.unionByName(one)
-        return found
+        rows = [(o, c, self.count(o, c)) for o, c in self._counters]
+        return spark.createDataFrame(rows, "output string, counter string, n bigint")
+
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """(output, field, total) of the columns added up; a column without any value has no total."""
+        found = [
+            (output, field, total)
+            for output, (obs, fields) in self._sums.items()
+            for i, field in enumerate(fields)
+            if (total := _metrics(obs).get(f"sum{i}")) is not None
+        ]
+        return spark.createDataFrame(found, f"output string, field string, total {VALUE_TYPE}")
+
+    def recount(self, output: str, counter: str) -> int:
+        """The rows that pass where ``counter`` is taken, counted by jobs of their own."""
+        return sum(df.count() for (o, c), places in self._counters.items() if o == output and c.startswith(counter) for _, df in places)
 
     def edges(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self._edges, "output string, source string")
 
 
 def lineage(
-    written: DataFrame, edges: DataFrame, selected: DataFrame | None = None, read: DataFrame | None = None
+    written: DataFrame,
+    edges: DataFrame,
+    selected: DataFrame | None = None,
+    read: DataFrame | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """Per output: rows read, selected and written.
+    """Per output: rows read, selected and written, and taken over from an earlier run if ``kept`` is given.
 
     ``written`` (output, n); ``edges`` (output, source); ``selected`` (output, n) where an output
     filters its sources, otherwise everything read counts as selected; ``read`` (output, n) where reading
-    was observed, otherwise what the immediate sources wrote.
+    was observed, otherwise what the immediate sources wrote. An output of which parts are ``kept`` (output, n) reads
+    what was observed, even if that is nothing.
     """
     source_rows = edges.join(
         written.select(F.col("output").alias("source"), F.col("n").alias("_n")), "source", "left"
@@ -178,7 +231,11 @@ def lineage(
     rows = written.withColumnRenamed("n", "n_written").join(available, "output", "left")
     if read is not None:
         rows = rows.join(read.withColumnRenamed("n", "_read"), "output", "left")
-        rows = rows.withColumn("n_read", F.coalesce("_read", "n_read")).drop("_read")
+        nothing = F.lit(None)
+        if kept is not None:
+            rows = rows.join(kept.withColumnRenamed("n", "n_kept"), "output", "left")
+            nothing = F.when(F.col("n_kept").isNotNull(), 0)
+        rows = rows.withColumn("n_read", F.coalesce("_read", nothing, "n_read")).drop("_read")
     if selected is not None:
         rows = rows.join(selected.withColumnRenamed("n", "_selected"), "output", "left")
     else:
@@ -188,6 +245,7 @@ def lineage(
         "output",
         n_read.alias("n_read"),
         F.coalesce(F.col("_selected"), n_read).cast("bigint").alias("n_selected"),
+        *([F.coalesce("n_kept", F.lit(0)).cast("bigint").alias("n_kept")] if "n_kept" in rows.columns else []),
         F.col("n_written").cast("bigint").alias("n_written"),
     )
 
@@ -227,9 +285,7 @@ def run_report(counters: DataFrame, edges: DataFrame, totals: DataFrame) -> Data
         .select(
             "output",
             F.coalesce("sources", F.array().cast("array<string>")).alias("sources"),
-            "n_read",
-            "n_selected",
-            "n_written",
+            *(c for c in counters.columns if c != "output"),
             F.coalesce("totals", F.array().cast("array<string>")).alias("totals"),
         )
     )

@@ -108,9 +108,11 @@ def applicable_modes(
 
 
 def retained_mode(df: DataFrame, mode_of_shop: dict, shop: str = "shop", mode: str = "mode") -> DataFrame:
-    """Rows in the mode kept for their shop."""
-    kept = small_table(df.sparkSession, mode_of_shop.items(), f"`{shop}` string, `{mode}` string")
-    return df.join(kept, [shop, mode]).select(*df.columns)
+    """Rows in the mode kept for their shop. A filter on literals, which reaches the scan."""
+    kept = F.lit(False)
+    for name, own in mode_of_shop.items():
+        kept = kept | ((F.col(shop) == name) & (F.col(mode) == own))
+    return df.filter(kept)
 
 
 def safe_name(value: str) -> str:
@@ -186,15 +188,32 @@ def conditional_totals(
     return rows.filter(F.col(column).isin(*values)).groupBy(*by, "year", "period").agg(*sums)
 
 
-def occurrence_matrix(
-    rows: DataFrame, by, columns, values=None, name=safe_name
-) -> DataFrame:
-    """Row counts per ``by`` spread over the joined value of ``columns`` (for example file and mode).
+def occurrence_map(rows: DataFrame, by, columns, alias: str = "counts") -> DataFrame:
+    """Row counts per ``by`` as a map from the joined value of ``columns`` (for example file and mode).
 
-    Without ``values`` a job of its own looks for those that occur, so that an unexpected pair has its column.
+    Two partial sums and no look for the values that occur: a new one is a new key, and the schema stays.
     """
     joined = F.concat_ws("_", *(F.col(c).cast("string") for c in columns))
-    if values is None:
-        values = [r[0] for r in rows.select(joined.alias("v")).distinct().orderBy("v").collect()]
-    wide = rows.withColumn("_column", joined).groupBy(*by).pivot("_column", list(values)).count()
-    return wide.select(*by, *(F.col(f"`{v}`").alias(name(v)) for v in values))
+    counted = rows.groupBy(*by, joined.alias("_key")).agg(F.count("*").alias("_n"))
+    return counted.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_key", "_n")))).alias(alias))
+
+
+def as_columns(mapped: DataFrame, names=None, column: str = "counts", widest: int = 2000, name=safe_name) -> DataFrame:
+    """A column per key of a map, NULL where a row lacks it.
+
+    Without ``names`` a job looks for the keys that occur; more than ``widest`` of them are an error.
+    """
+    if names is None:
+        keys = mapped.select(F.explode(F.map_keys(column)).alias("k")).distinct()
+        names = sorted(r["k"] for r in keys.limit(widest + 1).collect())
+        if len(names) > widest:
+            raise ValueError(f"more than {widest} values to spread over columns")
+    others = [c for c in mapped.columns if c != column]
+    return mapped.select(*others, *(F.col(column)[v].alias(name(v)) for v in names))
+
+
+def occurrence_matrix(
+    rows: DataFrame, by, columns, values=None, name=safe_name
+) -> DataFrame:
+    """Row counts per ``by`` spread over the joined value of ``columns``; see :func:`occurrence_map`."""
+    return as_columns(occurrence_map(rows, by, columns), values, name=name)

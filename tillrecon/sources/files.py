@@ -153,19 +153,35 @@ def source_fingerprints(
     )
 
 
-def content_marks(
+# Lines of a leaf of the tree.
+LEAF_LINES = 1 << 16
+
+
+def content_digests(
     spark: SparkSession, root: str, pattern: str = "*.{[tT][xX][tT],[cC][sS][vV]}"
 ) -> DataFrame:
-    """A mark of the content of every source file, of any size: rel_path, mark.
+    """A digest of the content of every source file, of any size: rel_path, digest.
 
-    Two sums over the lines, each hashed with what its line is, and the size of the file. Lines are
-    hashed where they are read and only sums cross the network. Lines of one file that change
-    places keep its mark; :func:`source_fingerprints` tells these apart for files below 2 GB.
+    A hash tree over ranges of lines. Lines are hashed with their number in the file where they are read; a
+    leaf adds up the hashes of ``LEAF_LINES`` lines, and the digest is the SHA-256 of the file's size and its leaves in order.
+    A line's number is its place within its split and the lines of the splits before, so the digest does not
+    depend on how files are split, and it changes with any line that changes, moves, comes or goes. A file
+    without bytes has no row, so one that becomes empty shows as removed.
     """
     lines = _records(spark, root, pattern, "\n")
-    sums = [F.sum(F.xxhash64(F.lit(seed), "content").cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
-    marks = lines.groupBy("path").agg(F.concat_ws("-", F.first("_size").cast("string"), *sums).alias("mark"))
-    return marks.select(_below_root(F.col("path"), root).alias("rel_path"), "mark")
+    splits = lines.groupBy("path", "_start").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per split.
+    splits = splits.select("path", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    number = (F.col("_at") + F.col("_shift")).alias("_line")
+    numbered = lines.join(splits, ["path", "_start"]).select("path", "_size", number, "content")
+    hashed = [F.sum(F.xxhash64(F.lit(seed), "_line", "content").cast("decimal(20,0)")).cast("string").alias(f"_h{seed}") for seed in (1, 2)]
+    leaf = F.floor(F.col("_line") / LEAF_LINES).alias("_leaf")
+    leaves = numbered.groupBy("path", "_size", leaf).agg(*hashed)
+    ordered = F.array_sort(F.collect_list(F.struct("_leaf", F.concat_ws(".", "_h1", "_h2").alias("_h"))))["_h"]
+    tops = leaves.groupBy("path", "_size").agg(ordered.alias("_leaves"))
+    digest = F.sha2(F.concat_ws("/", F.col("_size").cast("string"), "_leaves"), 256).alias("digest")
+    return tops.select(_below_root(F.col("path"), root).alias("rel_path"), digest)
 
 
 def diff_fingerprints(
