@@ -1,28 +1,30 @@
 """License scan with a positional rare-token index.
 
-Words of the license templates are weighed by how few documents have them (counted over all documents).
-Templates with a mandatory phrase that stands in the text, word for word, are candidates. For each passage of
-a candidate, the rarest of its words that the document has are looked up in an index of template postings
-(word, template, position), so that no template takes the place of another; postings that agree on the
-relative position between document and passage are counted together, and a candidate becomes a label if the
-best alignment of a passage holds enough of the words looked up for it. The mandatory phrases are passages too, so
-that a text which names a license by one of them alone has its label. Exact base phrases are counted beside
-it; their labels always stay.
+An index holds for each word of the license notices its postings: notice and position. Words are weighed by how
+few documents have them, counted over all documents; of a notice the ``RARE_WORDS`` rarest words are looked up.
+
+1. Propose: places of these words in a text meet their postings. Place less position is where the notice would
+   begin; words that agree on it, give or take ``SLACK`` words put in or left out, are counted together. An
+   alignment's share is how many of the words looked up it holds, so changed words lower it.
+2. Verify: a mandatory phrase of the license has to stand, word for word, at the alignment, ``NEAR`` words to
+   either side included. Places of phrases come from their own postings: all words at one relative position.
+3. A verified alignment with a share of ``ALIGNED`` is a label. The score is the best share of a verified alignment,
+   so that a phrase far from any notice scores low and labels nothing.
+
+Exact base phrases are counted beside it; their labels always stay, with score 1.
 
 DataFrame and SQL functions only. Words are held with two spaces between them, so that phrases that follow
 one another are told apart and places are counted by cutting the text, without exploding it. Only documents
-with some mandatory phrase are looked up by position.
+with some mandatory phrase can have a label by the index, and only their words are looked up.
 
 Defined cases: a null or empty text has no words, empty labels, null places and score 0; rows with the same id and text
-share their result; the index of a repeated word has all its places. Only the named columns are read; other columns are ignored.
+share their result; the index of a repeated word has all its places; equally rare words are looked up in order of their
+letters; texts of any length are looked up by places that are rows; an empty table has no rows. Only the named columns
+are read, so that others may have any name.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +33,10 @@ from tillrecon.llm.common import stage
 #: Phrases whose places are counted, and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label -> (mandatory phrases, any of them; passages of the license's notice, each aligned by itself)
+#: label -> (mandatory phrases, any of them at the notice; passages of the license's notice, each aligned by itself)
 TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "mit": (
-        ("mit license", "permission is hereby granted free of charge to any person obtaining a copy"),
+        ("mit license", "permission is hereby granted free of charge"),
         (
             "released under the mit license",
             "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
@@ -69,7 +71,7 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
             "licensed under the bsd 3 clause license",
         ),
     ),
-    "isc": (("isc license", "permission to use copy modify and or distribute this software"), ("permission to use copy modify and or distribute this software for any purpose",)),
+    "isc": (("isc license", "permission to use copy modify and or distribute this software"), ("licensed under the isc license", "permission to use copy modify and or distribute this software for any purpose")),
     "cc-by-nc": (
         ("cc by nc", "creative commons attribution noncommercial"),
         ("licensed under cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"),
@@ -82,8 +84,10 @@ TEMPLATES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "unlicense": (("free and unencumbered software released into the public domain",), ("this is free and unencumbered software released into the public domain",)),
 }
 
-#: Rarest words of a passage in a document that are looked up; share of them that one alignment must hold.
-RARE_WORDS, ALIGNED = 12, 0.5
+#: Rarest words of a passage that are looked up; share of them that an alignment must hold to count at all, and for a label.
+RARE_WORDS, PROPOSED, ALIGNED = 12, 0.3, 0.7
+#: Words put in or left out that an alignment bears; words around it where a mandatory phrase may stand.
+SLACK, NEAR = 3, 10
 
 
 def _spaced(phrase: str) -> str:
@@ -117,21 +121,36 @@ def _base(norm: Column, n_words: Column) -> dict[str, tuple[Column, Column, Colu
     return out
 
 
-def postings() -> list[tuple[str, str, int, int]]:
-    """(word, template, passage, position) of every word of the templates; mandatory phrases are passages after the notice's."""
-    return [
-        (word, label, k, i)
-        for label, (must, passages) in TEMPLATES.items()
-        for k, passage in enumerate((*passages, *must))
-        for i, word in enumerate(passage.split())
-    ]
+def passages_of() -> list[tuple[str, int, list[str]]]:
+    """(label, number, words) of every passage."""
+    return [(label, k, p.split()) for label, (_, passages) in TEMPLATES.items() for k, p in enumerate(passages)]
+
+
+def looked_up(found_in: dict[str, int]) -> dict[tuple[str, int], list[str]]:
+    """The rarest words of each passage, from the number of documents that have a word."""
+    return {(label, k): sorted(set(words), key=lambda w: (found_in.get(w, 0), w))[:RARE_WORDS] for label, k, words in passages_of()}
+
+
+def _postings(spark: SparkSession, looks: dict[tuple[str, int], list[str]]) -> tuple[DataFrame, DataFrame]:
+    """Postings of the words looked up, and of the mandatory phrases; both have the templates' own size."""
+    rows = [
+        (w, label, k, i, len(words), len(looks[label, k]))
+        for label, k, words in passages_of() for i, w in enumerate(words) if w in looks[label, k]
+    ]
+    phrases = [
+        (w, label, k, i, len(phrase.split()))
+        for label, (must, _) in TEMPLATES.items() for k, phrase in enumerate(must) for i, w in enumerate(phrase.split())
+    ]
+    return (
+        spark.createDataFrame(rows, "word string, label string, passage int, position int, length int, most int"),
+        spark.createDataFrame(phrases, "word string, label string, phrase int, position int, length int"),
+    )
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    index = postings()
-    vocabulary = sorted({w for w, *_ in index})
+    vocabulary = sorted({w for _, _, words in passages_of() for w in words})
     mandatory = [p for must, _ in TEMPLATES.values() for p in must]
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid"), spaced_text(F.col("text")).alias("norm"))
@@ -149,40 +168,33 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     )
     rows = stage(rows, "licenses")
 
-    # Rarity over all documents; as many rows as the templates have words.
-    total = rows.count()
-    seen = {r["word"]: r["n"] for r in rows.select(F.explode("have").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
-    rarity = spark.createDataFrame([(w, math.log((total + 1) / (seen.get(w, 0) + 1)) + 1e-9) for w in vocabulary], "word string, idf double")
-
-    # Per passage of a template whose mandatory phrase stands in the text: the rarest of its words that the document has.
-    spans: dict[tuple[str, int], set[str]] = {}
-    for word, label, k, _ in index:
-        spans.setdefault((label, k), set()).add(word)
-    verified = {label: reduce(or_, [F.col("norm").contains(_spaced(p)) for p in must]) for label, (must, _) in TEMPLATES.items()}
-    notice = reduce(or_, [(F.col("label") == label) & (F.col("passage") < len(passages)) for label, (_, passages) in TEMPLATES.items()])
-    weights = F.create_map(*[F.lit(x) for w, v in rarity.collect() for x in (w, v)])
-    ranked = F.array_sort(F.transform("have", lambda w: F.struct((-F.element_at(weights, w)).alias("r"), w.alias("w"))))
-    some = rows.where("norm is not null").select("uid", "norm", ranked["w"].alias("have")).dropDuplicates(["uid"])
-    looks = [
-        F.when(verified[label], F.struct(
-            F.lit(label).alias("label"), F.lit(k).alias("passage"),
-            F.slice(F.array_intersect("have", F.array(*[F.lit(w) for w in sorted(words)])), 1, RARE_WORDS).alias("look"),
-        ))
-        for (label, k), words in spans.items()
-    ]
-    looked = some.select("uid", "norm", F.array_compact(F.array(*looks)).alias("looks"))
-    looked = looked.select("uid", "norm", "looks", F.array_distinct(F.flatten("looks.look")).alias("words"))
-    places = looked.select("uid", "looks", "words", F.posexplode(F.split(F.trim("norm"), " +")).alias("at", "word"))
-    places = places.where(F.array_contains("words", F.col("word")))
-    places = places.select("uid", "at", "word", F.inline(F.filter("looks", lambda c: F.array_contains(c["look"], F.col("word")))))
-    posted = spark.createDataFrame(index, "word string, label string, passage int, position int")  # the templates' own size
-    hits = places.join(F.broadcast(posted), ["word", "label", "passage"])
-    aligned = hits.groupBy("uid", "label", "passage", F.size("look").alias("most"), (F.col("at") - F.col("position")).alias("shift"))
-    # Of the words looked up for the passage, those that one alignment holds.
-    found = aligned.agg(F.countDistinct("word").alias("n")).withColumn("share", F.col("n") / F.col("most")).where(F.col("share") >= ALIGNED)
-    # A phrase that stands there holds all its words: the score is that of the notices, where one aligns.
-    share = F.coalesce(F.max(F.when(notice, F.col("share"))), F.max("share"))
-    found = found.groupBy("uid").agg(F.collect_set("label").alias("more"), share.alias("share"))
+    # Rarity over all documents; as many rows as the notices have words.
+    counted = rows.select(F.explode("have").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    looks = looked_up({r["word"]: r["n"] for r in counted.collect()})
+    index, phrases = _postings(spark, looks)
+
+    # Places of the words looked up, in texts with some mandatory phrase.
+    some = rows.where("norm is not null").select("uid", "norm").dropDuplicates(["uid"])
+    known = sorted({w for words in looks.values() for w in words} | {w for p in mandatory for w in p.split()})
+    places = some.select("uid", F.posexplode(F.split(F.trim("norm"), " +")).alias("at", "word")).where(F.col("word").isin(known))
+    hits = places.join(F.broadcast(index), "word")
+    # A hit counts for every beginning that it may belong to.
+    begins = F.explode(F.sequence(F.col("at") - F.col("position") - SLACK, F.col("at") - F.col("position"))).alias("begin")
+    aligned = hits.select("uid", "label", "passage", "length", "most", "word", begins)
+    aligned = aligned.groupBy("uid", "label", "passage", "length", "most", "begin").agg(F.size(F.collect_set("word")).alias("n"))
+    aligned = aligned.withColumn("share", F.col("n") / F.col("most")).where(F.col("share") >= PROPOSED)
+
+    # Phrases of which every word stands at one relative position, and alignments around them.
+    stands = places.join(F.broadcast(phrases), "word").groupBy("uid", "label", "phrase", "length", (F.col("at") - F.col("position")).alias("start"))
+    stands = stands.agg(F.count("*").alias("n")).where("n = length")
+    spot = lambda c: F.floor(c / 64)
+    stands = stands.select("uid", "label", "start", (F.col("start") + F.col("length")).alias("end"), spot(F.col("start")).alias("spot"))
+    low, high = F.col("begin") - NEAR, F.col("begin") + F.col("length") + SLACK + NEAR
+    around = aligned.select("uid", "label", "share", low.alias("low"), high.alias("high"), F.explode(F.sequence(spot(low), spot(high))).alias("spot"))
+    verified = around.join(stands, ["uid", "label", "spot"]).where("start >= low and end <= high")
+    found = verified.groupBy("uid", "label").agg(F.max("share").alias("share")).groupBy("uid").agg(
+        F.array_compact(F.collect_list(F.when(F.col("share") >= ALIGNED, F.col("label")))).alias("more"), F.max("share").alias("share")
+    )
 
     n = [F.col(f"n_{i}") for i in range(len(base))]
     labels = F.array_compact(F.array(*[F.when(c > 0, F.lit(label)) for c, label in zip(n, base, strict=True)]))
@@ -199,3 +211,54 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+OP7_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+), tokens AS (
+  SELECT r, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs
+), base(label, k, word, n) AS (
+  VALUES {_values((label, k, w, len(phrase.split())) for phrase, label in BASE.items() for k, w in enumerate(phrase.split()))}
+), base_found AS (
+  SELECT r, label, place - k AS start FROM tokens JOIN base USING (word) GROUP BY r, label, place - k, n HAVING count(*) = n
+), base_docs AS (
+  SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+    list(DISTINCT label) AS base_labels FROM base_found GROUP BY r
+), passages(label, passage, word, k, length) AS (
+  VALUES {_values((label, n, w, k, len(words)) for label, n, words in passages_of() for k, w in enumerate(words))}
+), seen AS (
+  SELECT word, count(DISTINCT r) AS n FROM tokens WHERE word IN (SELECT word FROM passages) GROUP BY word
+), looked AS (
+  SELECT label, passage, word, count(*) OVER (PARTITION BY label, passage) AS most FROM (
+    SELECT label, passage, word, row_number() OVER (PARTITION BY label, passage ORDER BY coalesce(n, 0), word) AS rank
+    FROM (SELECT DISTINCT label, passage, word FROM passages) LEFT JOIN seen USING (word)
+  ) WHERE rank <= {RARE_WORDS}
+), begins AS (
+  SELECT DISTINCT r, label, passage, length, most, word, unnest(range(place - k - {SLACK}, place - k + 1)) AS b
+  FROM tokens JOIN passages USING (word) JOIN looked USING (label, passage, word)
+), aligned AS (
+  SELECT r, label, length, b, count(*) / most AS share FROM begins GROUP BY r, label, passage, length, most, b HAVING count(*) / most >= {PROPOSED}
+), phrases(label, phrase, word, k, n) AS (
+  VALUES {_values((label, n, w, k, len(p.split())) for label, (must, _) in TEMPLATES.items() for n, p in enumerate(must) for k, w in enumerate(p.split()))}
+), stands AS (
+  SELECT r, label, place - k AS start, n FROM tokens JOIN phrases USING (word) GROUP BY r, label, phrase, place - k, n HAVING count(*) = n
+), verified AS (
+  SELECT r, label, max(share) AS share FROM aligned JOIN stands USING (r, label)
+  WHERE start >= b - {NEAR} AND start + n <= b + length + {SLACK} + {NEAR} GROUP BY r, label
+), found AS (
+  SELECT r, list(label) FILTER (share >= {ALIGNED}) AS more, max(share) AS share FROM verified GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(array_to_string(list_sort(base_labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(more, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM docs LEFT JOIN base_docs USING (r) LEFT JOIN found USING (r)
+"""

@@ -3,7 +3,7 @@
 from tillrecon.llm.mixing import op6_mixing
 from tillrecon.llm.hamming_index import op5_hamming
 from tillrecon.llm.histogram_sharding import op13_sharding
-from tillrecon.llm.license_scan import op7_licenses
+from tillrecon.llm.license_scan import OP7_SQL, op7_licenses
 from tillrecon.llm.near_dup import OP10_SQL, op10_minhash
 from tillrecon.llm.quality_rules import op3_quality
 from tillrecon.llm.sentencepiece_sampling import op2_sentencepiece
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op7_licenses": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op9_urls": OP9_SQL,
     "op1_substring": OP1_SQL,
