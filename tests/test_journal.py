@@ -45,7 +45,7 @@ def test_two_equal_lines_without_label(parse):
 
 def test_return_is_negative(parse):
     block = (
-        "\r\n_R_F 02-01-2023 11:25\r\n004518\r\n2 BAG\r\n  T1 €20.00\r\n1 BELT T2 €5.00\r\nCORRECTION -10.00\r\n"
+        "\r\n_R_F 23-11-2020 18:41\r\n77012\r\n2 BAG\r\n  T1 €20.00\r\n1 BELT T2 €5.00\r\nCORRECTION -10.00\r\n"
         "HORS TAXE 1\r\n€20.83\r\nTOTAL\r\n€25.00\r\nNON TAXABLE\r\n1.00\r\n"
     )
     (t,) = parse(block)
@@ -59,8 +59,8 @@ def test_return_is_negative(parse):
 
 
 def test_amount_on_next_line_is_no_article(parse):
-    (t,) = parse(HEAD + "TOTAL\n299.00\nCORRECTION\n-1.00\n1 A T1 2.00\n")
-    assert t.ttc == Decimal("299.00") and [l.line_pos for l in t.lines] == [1, 2] and t.errors == []
+    (t,) = parse(HEAD + "TOTAL\n61.00\nCORRECTION\n-1.00\n1 A T1 2.00\n")
+    assert t.ttc == Decimal("61.00") and [l.line_pos for l in t.lines] == [1, 2] and t.errors == []
 
 
 def test_drawer_event_and_last_invoice(parse):
@@ -70,9 +70,9 @@ def test_drawer_event_and_last_invoice(parse):
 
 def test_other_types_keep_header_and_signature(parse):
     kinds = ("Z", "XZ", "X")
-    body = " 30-03-2025 00:05\n  005789\nTOTAL\n1 anything\n2-----------------------\nabc\n"
+    body = " 14-09-2022 23:58\n  90210\nTOTAL\n1 anything\n2-----------------------\nabc\n"
     for kind, t in zip(kinds, parse(*(f"\n{k}{body}" for k in kinds))):
-        assert (t.type, t.internal_no, t.signature, t.lines, t.ttc, t.errors) == (kind, "005789", "abc", [], None, [])
+        assert (t.type, t.internal_no, t.signature, t.lines, t.ttc, t.errors) == (kind, "90210", "abc", [], None, [])
 
 
 def test_words_behind_the_amount_are_ignored_on_the_line_only(parse):
@@ -89,12 +89,12 @@ def test_tax_codes(parse):
 
 BROKEN = [
     ("", "header:format"),
-    ("\nREG 02/01/2023 11:25\n1\n", "header:format"),
-    ("\nREG 31-02-2023 11:25\n1\n", "header:date"),
+    ("\nREG 23/11/2020 18:41\n1\n", "header:format"),
+    ("\nREG 31-02-2020 18:41\n1\n", "header:date"),
     ("\nREG 02-01-0000 11:25\n1\n", "header:date"),
-    ("\nREG 02-01-2023 25:25\n1\n", "header:time"),
-    ("\nREG 02-01-2023 11:25", "header:internal_no"),
-    ("\nREG 02-01-2023 11:25\n   \nTOTAL 1.00\n", "header:internal_no"),
+    ("\nREG 23-11-2020 25:41\n1\n", "header:time"),
+    ("\nREG 23-11-2020 18:41", "header:internal_no"),
+    ("\nREG 23-11-2020 18:41\n   \nTOTAL 1.00\n", "header:internal_no"),
     (HEAD + "HORS TAXE", "ht:amount"),
     (HEAD + "HORS TAXE 1", "ht:amount"),
     (HEAD + "HORS TAXE\n1", "ht:amount"),

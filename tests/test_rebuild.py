@@ -16,7 +16,7 @@ SETTINGS = R.Settings(
 
 
 def block(kind, number, body):
-    return f"{SEP}\r\n{kind}  05-01-2024 11:25\r\n {number}\r\n{body}2-----------------------\r\nS\r\n"
+    return f"{SEP}\r\n{kind}  05-01-2024 16:42\r\n {number}\r\n{body}2-----------------------\r\nS\r\n"
 
 
 def sale(number, ttc, means="CARTES", kind="REG"):
