@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 import oracle
-from tillrecon.llm.common import components
+from tillrecon.llm.common import components, shared_folder
 from tillrecon.llm.queries import ORACLES, QUERIES
+from tillrecon.llm.sentencepiece_sampling import decode
 
 SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
@@ -37,6 +38,65 @@ def test_pipeline(spark):
     assert all(len(r.text) == r.n_chars for r in rows)
 
 
+def small_corpus(prose):
+    """Texts with a source of their own; copies, near copies, a shared passage, poor ones."""
+    words = lambda seed, n: prose(seed, n).split()
+    shared = words(900, 70)
+    rows = {i: words(i, 60 + 3 * i) for i in range(12)}
+    rows |= {20: rows[3], 21: [*rows[5][:-2], "other", "end"], 22: [*rows[5][:-1], "x"]}
+    rows |= {30: words(30, 60) + shared + words(31, 40), 31: words(32, 55) + shared, 32: shared[:55] + words(33, 80)}
+    rows |= {40: words(40, 49), 41: words(41, 10) * 9, 42: words(42, 50), 43: []}
+    return {i: " ".join(w) for i, w in rows.items()} | {44: None}
+
+
+def brute_pipeline(texts):
+    """doc_id -> words of the final text, for one source and no labels."""
+    sets = {i: (t or "").split() for i, t in texts.items()}
+
+    def good(w):
+        runs = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+        inside = {k + j for k, r in enumerate(runs) if runs.count(r) > 1 for j in range(3)}
+        return len(w) >= 50 and 100 * len(inside) <= 50 * len(w)
+
+    kept = {i: w for i, w in sets.items() if good(w)}
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in kept.items()}
+    links = {i: {j for j in kept if 100 * len(shingles[i] & shingles[j]) >= 80 * len(shingles[i] | shingles[j])} for i in kept}
+    first = dict.fromkeys(kept)
+    for i in sorted(kept):
+        todo, seen = [i], set()
+        while todo:
+            if (j := todo.pop()) not in seen:
+                seen.add(j)
+                todo += links[j]
+        first[i] = min(seen)
+    kept = {i: w for i, w in kept.items() if first[i] == i}
+    windows = {i: [tuple(w[k : k + 50]) for k in range(len(w) - 49)] for i, w in kept.items()}
+    out = {}
+    for i, w in kept.items():
+        before = {x for j in kept if j < i for x in windows[j]}
+        gone = {k + n for k, x in enumerate(windows[i]) if x in before for n in range(50)}
+        out[i] = [x for k, x in enumerate(w) if k not in gone]
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path, prose):
+    texts = small_corpus(prose)
+    rows = [(i, t, "en", "one", len(t or "")) for i, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    folder = f"{shared_folder(spark)}/llm".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    got = out.collect()
+    want = brute_pipeline(texts)
+    assert {r.doc_id: r.text.split() for r in got} == want and len(got) == len(want)
+    assert {20, 21, 22, 40, 41, 43, 44}.isdisjoint(want) and len(want[31]) == 55 and len(want[32]) < 135
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert all(r.text == r.old for r in decode(out.withColumnRenamed("text", "old")).collect())
+    # Of all that was staged only what the last stage reads is left.
+    assert len(set(os.listdir(folder)) - before) == 1
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(70)] + [(2000, 2000 + i) for i in range(1, 90)]

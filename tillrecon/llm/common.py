@@ -39,8 +39,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Folders made since each open scope began.
+_open: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Remove, at the end, what was staged within; yields a list of folders that stay."""
+    _open.append([])
+    staying: list[str] = []
+    try:
+        yield staying
+    finally:
+        for path in set(_open.pop()) - set(staying):
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 @contextmanager
@@ -75,9 +99,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def unstage(*tables: DataFrame) -> None:
     """Remove staged tables that nothing reads any more."""
     for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.staged_at)
-        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        _delete(table.sparkSession, table.staged_at)
 
 
 # ---------------------------------------------------------------- Arrow batches

@@ -13,7 +13,8 @@ Fitting takes ``FIT_ROWS`` rows (those with the smallest hashes of the id); ever
 query meets every block, so nothing is capped.
 
 Defined cases: vectors that are null, zero, of another length than most, or with null or non-finite parts take no part; neither do rows without
-an id. Rows with the same id count once, with the smallest vector. Equal scores rank by smaller id. Other columns are ignored.
+an id. Rows with the same id count once, with the smallest vector. Equal scores rank by smaller id. A
+table without such vectors has no rows. Other columns are ignored, whatever their names; no column holds texts.
 """
 
 from __future__ import annotations

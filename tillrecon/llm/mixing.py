@@ -13,7 +13,8 @@ Everything random is a hash of the seed and of the row's content, so reruns agre
 row per source and one number per source and shard; blocks are rows of a DataFrame. Blocks hold ``block_words`` words on average, so their number follows the data.
 
 Defined cases: a null text has size 0; a null source is a source; a row of size 0 is taken as often as its
-block; equal rows share their draws in the last block (taken together or not). Other columns pass through
+block; equal rows share their draws in the last block (taken together or not). A document longer than a block is a block of
+its own; blocks that are drawn alike are ordered by their numbers; an empty table has no rows. Other columns pass through
 ``mix``; input columns called as one of the added ones are replaced.
 """
 
@@ -175,7 +176,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: ``docs`` mixed to the target weights; a document that is repeated has as many rows."""
+    """Pipeline stage: ``docs`` mixed to the target weights; a document that is repeated has as many rows.
+
+    Rows stand in the order of their shard and draw within each file; ``mix`` names both. Cases are those of the module: null
+    texts and sources mix like others, an empty table stays empty, all columns pass unchanged whatever their names.
+    """
     planned = plan(sized(docs)).select("row", "uid", F.explode("copies").alias("copy"))
     order = F.xxhash64(F.lit(4), "uid", "copy")  # as in ``mix``
     return planned.sortWithinPartitions("copy.shard", order).select(*[F.col("row")[c].alias(c) for c in docs.columns])

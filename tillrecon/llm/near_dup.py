@@ -12,7 +12,9 @@ first component, while the others stream past. Only what joins two components is
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; a text with fewer words
 than a shingle is one shingle as a whole; rows with the same id are one node; a row without an id is
-linked with nothing, has a null component and is kept. Columns other than the id and the text are ignored.
+linked with nothing, has a null component and is kept. The smallest id names a component, so ties cannot occur;
+a text of any length is shingled whole; an empty table has no rows. Columns other than the id and the text are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

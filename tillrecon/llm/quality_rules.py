@@ -9,7 +9,9 @@ The list is fitted on at most ``FIT_ROWS`` labelled rows (those with the smalles
 Statistics and verdicts cover every row and whole texts.
 
 Defined cases: a null or empty text has no words and fails the base check; a label that is null is left
-out, of several labels for an id the mean counts; without labels of both classes there are no rules. A column of the
+out, of several labels for an id the mean counts (half is good); without labels of both classes there are no rules. Of
+conditions that gain alike the first statistic's wins. Rows are judged one by one, so equal rows are judged alike;
+a text of any length is counted whole; an empty table has no rows. A column of the
 input with the name of the statistics column is replaced; other columns pass.
 """
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillrecon.llm.common import rolling, rows_of, span_hashes, stage, through, words_of
+from tillrecon.llm.common import rolling, rows_of, span_hashes, stage, through, unstage, words_of
 
 FIT_ROWS = 20_000
 
@@ -212,11 +214,15 @@ def rules_column(rules: list[Rule], stats: str = "quality_stats") -> Column:
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
+def known_labels(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id and bad of the ``rows`` labelled ids with the smallest hashes."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("bad"))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
 def fit(stats: DataFrame, labels: DataFrame, into: str = "quality_stats", rows: int = FIT_ROWS) -> list[Rule]:
     """Learn from ``stats`` (doc_id and statistics) and ``labels`` (doc_id, quality: 1 good, 0 bad)."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("bad"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    both = known.join(stats.select(F.col("doc_id"), F.col(into).alias("s")), "doc_id").select("doc_id", "bad", "s.*")
+    both = known_labels(labels, rows).join(stats.select(F.col("doc_id"), F.col(into).alias("s")), "doc_id").select("doc_id", "bad", "s.*")
     got = both.orderBy("doc_id", *STATS).toPandas()
     return learn_rules(got[list(STATS)].to_numpy(np.int64), got["bad"].to_numpy(bool))
 
@@ -235,7 +241,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows of ``docs`` that pass the base check and the learned list."""
+    """Pipeline stage: the rows of ``docs`` that pass the base check and the learned list.
+
+    A row is judged by itself: a null or empty text fails, equal rows share their verdict, a text of any length is
+    counted whole, an empty table stays empty, and all columns pass unchanged whatever their names.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    # Rules are learned from the labelled rows alone: FIT_ROWS ids at most choose them.
+    chosen = F.broadcast(known_labels(labels).select(F.col("doc_id").alias("_chosen")))
+    labelled = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_chosen"), "left_semi")
+    learned = stage(with_stats(labelled).select("doc_id", "quality_stats"), "stats")
+    rules = fit(learned, labels)
+    unstage(learned)
     stats = with_stats(docs)
-    rules = fit(stage(stats.select("doc_id", "quality_stats"), "stats"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return stats.where(~base_failed() & rules_column(rules)).select(*[F.col(f"`{c}`") for c in docs.columns])

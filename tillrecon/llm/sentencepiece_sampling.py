@@ -18,7 +18,8 @@ that is no piece is spelt in byte pieces and counts as the rarest one. The place
 bytes, therefore decoding gives the text back whatever it holds.
 
 Defined cases: a null text gives null ids and decodes to null; an empty text gives no ids and decodes to
-an empty one; rows with the same key and text are segmented alike; a null key counts as key 0. Other columns pass; those called as an added one are replaced.
+an empty one; rows with the same key and text are segmented alike; a null key counts as key 0. Texts of any
+length are segmented in runs of bounded size; an empty table has no rows. Other columns pass; those called as an added one are replaced.
 """
 
 from __future__ import annotations
@@ -427,5 +428,5 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: ``docs`` with the sampled ids of their texts."""
+    """Pipeline stage: ``docs`` with the sampled ids of their texts, as ``ids``; cases are those of the module."""
     return encode(docs)

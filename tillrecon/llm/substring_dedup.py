@@ -17,7 +17,8 @@ gathered but one shard's passages (a share of some 16,000 documents' recurring t
 
 Defined cases: a null or empty text has no words; a row without an id is neither compared nor changed;
 rows with the same id and text are one document; texts of one id never remove each other's words. Ties
-cannot occur: the smallest id keeps a passage. Columns other than the id and the text are ignored.
+cannot occur: the smallest id keeps a passage. A text of any length is read whole, its hashes in blocks of bounded size;
+an empty table has no rows. Columns other than the id and the text are ignored, whatever their names.
 """
 
 from __future__ import annotations

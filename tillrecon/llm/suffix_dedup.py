@@ -18,7 +18,8 @@ anchors; equal windows have equal anchors and meet in one pass. One pass holds a
 surroundings of a single anchor.
 
 Defined cases: a null or empty text has no bytes; rows are documents of their own, whatever their ids, so equal rows
-repeat each other; rows of the same id and text get the same result. Other columns are ignored.
+repeat each other; rows of the same id and text get the same result. A text of any length is read whole, its hashes in
+blocks; equal strings are removed wherever they are, so ties cannot occur; an empty table has no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ Hosts are expanded to their suffixes and joined with the rules on equality, so a
 
 Defined cases: a null address or one without ``://`` has an empty host and path, no rule, no links and is allowed;
 rows with the same id or address are judged alike, row by row. Links that are neither absolute nor rooted are left out.
-Only the named columns are read; other columns are ignored.
+Of rules that
+fit, the longest decides, and two of one length can't both fit. Pages of any length are searched whole; an empty table
+has no rows. Only the named columns are read; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

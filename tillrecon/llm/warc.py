@@ -12,7 +12,8 @@ takes its payload from the response that it refers to.
 
 Defined cases: a null payload is an empty one; empty payloads are equal payloads too; a page without an id is a response
 of its own; rows with equal id and payload are responses both if their id is the largest. Segments that are missing or do not add up, broken framing and
-wrong digests fail the read. Only the named columns are read; other columns are ignored.
+wrong digests fail the read. A payload of any length is cut into segments; an empty table makes archives without
+records. Only the named columns are read; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
