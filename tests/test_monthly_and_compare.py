@@ -221,3 +221,19 @@ def test_contract_text(spark):
     assert [tuple(r) for r in text.collect()] == [("0407", "2022-08-19", "1180.00", "12"), ("7", "", "", "")]
     with pytest.raises(TypeError):
         tables.contract_text(df, ["amount"])
+
+
+def test_reconcile_sums_of_rows_in_one_shuffle(spark):
+    left = spark.sql("SELECT * FROM VALUES (DATE'2024-01-05', 5.00BD), (DATE'2024-01-31', 1.00BD), (DATE'2024-02-01', 2.00BD) v(day, a)")
+    right = spark.sql("SELECT * FROM VALUES (DATE'2024-01-09', 4.00BD), (DATE'2024-03-01', 7.00BD) v(day, b)")
+    for missing in ("null", "zero"):
+        found = compare.reconcile_sums(left, right, {"gap": ("a", "b"), "blank": None}, missing, date="day", keep_measures=True)
+        sums = [monthly.monthly_totals(df, (m,), date="day") for df, m in ((left, "a"), (right, "b"))]
+        other = compare.reconcile(*sums, {"gap": ("a", "b"), "blank": None}, missing, keep_measures=True)
+        assert found.dtypes == other.dtypes and sorted(found.collect()) == sorted(other.collect()) and found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    none = left.withColumn("a", F.when(F.col("a") > 2, F.col("a")))
+    compare.reconcile_sums(none, right, {"gap": ("a", "b")}, "null", date="day").collect()
+    with pytest.raises(Exception, match="amount a is missing"):
+        compare.reconcile_sums(none, right, {"gap": ("a", "b")}, "null", date="day", strict=True).collect()

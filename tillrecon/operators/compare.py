@@ -1,7 +1,7 @@
 """Reconciliation: source against source, shop against shop, own figures against declared ones.
 
-Both sides are monthly totals: however many rows a month has, the join sees one row per group and
-month. A side grouped by the join keys keeps that partitioning through the join.
+Both sides are tagged and meet in one aggregation: however many rows a month has, what crosses the network
+is one row per task, side, group and month.
 """
 
 from __future__ import annotations
@@ -11,26 +11,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tillrecon.functions.money import strict_amount
+from tillrecon.functions.periods import period_of
 from tillrecon.functions.text import holds
 from tillrecon.operators.checks import describe, require_columns
 
 KEYS = ("year", "period")
 
 
-def unique_or_fail(df: DataFrame, keys, what: str) -> DataFrame:
-    """One row per key; a repeated key fails the job that reads it.
-
-    The check is a filter, so it needs no job of its own and holds whichever columns are read.
-    """
-    values = [c for c in df.columns if c not in keys]
-    shown = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
-    message = F.concat(F.lit(f"duplicate period in {what}: "), shown)
-    grouped = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"), *(F.first(v).alias(v) for v in values)
-    )
-    return grouped.filter(holds(F.col("_n") == 1, message)).select(*keys, *values)
-
-
 def reconcile(
     left: DataFrame,
     right: DataFrame,
@@ -87,12 +74,23 @@ def reconcile_sums(
     missing: str,
     keys=KEYS,
     sum_type: str = "decimal(28,2)",
+    strict: bool = False,
     keep_measures: bool = False,
+    date: str | None = None,
 ) -> DataFrame:
     """:func:`reconcile` of the sums per period of rows of either side.
 
-    Both sides are added up where they are read, and their partial sums meet in one shuffle.
+    Both sides are added up where they are read, and their partial sums meet in one shuffle. With ``date`` rows are
+    grouped by the first day of its month, and ``year`` and ``period`` are written out once per group.
     """
+    if date is not None:
+        others = [k for k in keys if k not in KEYS]
+        month = lambda df: df.withColumn("_month", F.trunc(date, "month"))
+        found = reconcile_sums(
+            month(left), month(right), gaps, missing, (*others, "_month"), sum_type, strict, keep_measures
+        )
+        dated = [F.year("_month").alias("year"), period_of(F.col("_month")).alias("period")]
+        return found.select(*others, *dated, *(c for c in found.columns if c not in (*others, "_month")))
     pairs = _pairs(gaps, missing)
     sides = []
     for df, index, tag in ((left, 0, "left"), (right, 1, "right")):
@@ -100,7 +98,7 @@ def reconcile_sums(
         named = [F.col(m).alias(f"_{tag}_{m}") for m in measures]
         sides.append(df.select(*keys, F.lit(tag).alias("_side"), *named))
     tagged = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    return _gaps_of(tagged, gaps, pairs, missing, keys, keep_measures, sum_type)
+    return _gaps_of(tagged, gaps, pairs, missing, keys, keep_measures, sum_type, strict)
 
 
 def _pairs(gaps, missing: str) -> dict[str, tuple[str, str]]:
@@ -109,7 +107,9 @@ def _pairs(gaps, missing: str) -> dict[str, tuple[str, str]]:
     return {name: pair for name, pair in gaps.items() if pair is not None}
 
 
-def _gaps_of(tagged: DataFrame, gaps, pairs, missing: str, keys, keep_measures=False, sum_type=None) -> DataFrame:
+def _gaps_of(
+    tagged: DataFrame, gaps, pairs, missing: str, keys, keep_measures=False, sum_type=None, strict=False
+) -> DataFrame:
     """Gaps from one aggregation of both sides' rows: keys, ``_side`` and a column per side and measure.
 
     Without ``sum_type`` a key has one row per side; a second one fails the job that reads it.
@@ -123,6 +123,11 @@ def _gaps_of(tagged: DataFrame, gaps, pairs, missing: str, keys, keep_measures=F
         for tag in ("left", "right"):
             message = F.concat(F.lit(f"duplicate period in {tag}: "), shown)
             joined = joined.filter(holds(F.col(f"_n_{tag}") <= 1, message))
+    if strict:
+        for value in values:
+            here = F.col("_n_left" if value.startswith("_left_") else "_n_right") > 0
+            message = f"amount {value.split('_', 2)[2]} is missing"
+            joined = joined.filter(holds(~here | F.col(value).isNotNull(), message))
     has_left, has_right = F.col("_n_left") > 0, F.col("_n_right") > 0
     both = has_left & has_right
     columns = []

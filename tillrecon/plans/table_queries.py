@@ -18,7 +18,7 @@ from tillrecon.operators import (
 from tillrecon.plans import samples as S
 from tillrecon.session import apply_settings
 from tillrecon.sources import contract, files, sinks
-from tillrecon.sources.staging import new_folder
+from tillrecon.sources.staging import new_folder, stage
 
 QUERIES = {}
 
@@ -35,35 +35,43 @@ def query(function):
 # --- monthly totals and their comparison -------------------------------------------------------
 
 
-def _shipped(spark, sf_dir) -> DataFrame:
-    """Line items as the report side: net, tax and total per month."""
+def _shipped_rows(spark, sf_dir) -> DataFrame:
+    """Line items as the report side: date, net, tax and total."""
     items = S.table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("date"), S.decimal("l_extendedprice").alias("ttc")
     )
     split = items.withColumn("total_ht", S.net_of("ttc"))
-    rows = split.withColumn("total_vat20", F.col("ttc") - F.col("total_ht"))
-    return monthly.monthly_totals(rows, monthly.REVENUE, date="date")
+    return split.withColumn("total_vat20", F.col("ttc") - F.col("total_ht"))
 
 
-def _ordered(spark, sf_dir, by=()) -> DataFrame:
+def _shipped(spark, sf_dir) -> DataFrame:
+    """The report side per month."""
+    return monthly.monthly_totals(_shipped_rows(spark, sf_dir), monthly.REVENUE, date="date")
+
+
+def _ordered_rows(spark, sf_dir, by=()) -> DataFrame:
     """Orders as the journal side."""
-    rows = S.tickets(spark, sf_dir).select(
+    return S.tickets(spark, sf_dir).select(
         *by,
-        "ticket_date",
+        F.col("ticket_date").alias("date"),
         "ttc",
         F.col("ht1").alias("total_ht"),
         F.col("vat1").alias("total_vat20"),
     )
-    return monthly.monthly_totals(rows, monthly.REVENUE, by=by, date="ticket_date")
+
+
+def _ordered(spark, sf_dir, by=()) -> DataFrame:
+    return monthly.monthly_totals(_ordered_rows(spark, sf_dir, by), monthly.REVENUE, by=by, date="date")
 
 
 def _revenue_gaps(spark, sf_dir) -> DataFrame:
-    return compare.reconcile(
-        _shipped(spark, sf_dir),
-        _ordered(spark, sf_dir),
+    return compare.reconcile_sums(
+        _shipped_rows(spark, sf_dir),
+        _ordered_rows(spark, sf_dir),
         {"gap_ttc": ("ttc", "ttc"), "gap_ht": ("total_ht",) * 2, "gap_vat": ("total_vat20",) * 2},
         missing="null",
         strict=True,
+        date="date",
     )
 
 
@@ -106,26 +114,19 @@ def reconcile_payments(spark, sf_dir):
     """Report amounts in the mode kept per shop against the journal's means of payment."""
     natures = {"A": "card", "N": "cheque", "R": "cash"}
     items = S.table(spark, sf_dir, "lineitem")
-    date = F.to_date("l_shipdate")
     rows = items.select(
         (F.col("l_suppkey") % 2).cast("string").alias("shop"),
         F.col("l_linestatus").alias("mode"),
-        F.year(date).alias("year"),
-        P.period_of(date).alias("period"),
-        F.col("l_returnflag").alias("designation"),
-        S.decimal("l_extendedprice").alias("amount"),
-    )
-    kept = monthly.retained_mode(rows, {"0": "F", "1": "O"})
-    left = monthly.monthly_pivot(kept, "designation", natures, ("amount",), by=("shop",))
-    right = monthly.monthly_totals(
-        S.tickets(spark, sf_dir), monthly.PAYMENTS, by=("shop",), date="ticket_date"
+        F.to_date("l_shipdate").alias("date"),
+        *(F.when(F.col("l_returnflag") == flag, S.decimal("l_extendedprice")).alias(flag) for flag in natures),
     )
-    gaps = compare.reconcile(
-        left,
-        right,
+    gaps = compare.reconcile_sums(
+        monthly.retained_mode(rows, {"0": "F", "1": "O"}),
+        S.tickets(spark, sf_dir).withColumnRenamed("ticket_date", "date"),
         {f"gap_{means}": (flag, f"pay_{means}") for flag, means in natures.items()},
         missing="null",
         keys=("shop", "year", "period"),
+        date="date",
     )
     return gaps.select(
         "shop", "year", "period", *(S.cents(f"gap_{m}") for m in natures.values()), "status"
@@ -153,12 +154,11 @@ def z2_mode_totals(spark, sf_dir):
 def reconcile_zero(spark, sf_dir):
     """Mode against mode; a period without rows in a mode counts as zero."""
     rows = S.report_lines(spark, sf_dir)
-    left, right = (
-        monthly.mode_totals(rows, mode, S.EVENT_TYPES, on_missing_mode="empty", sum_type=QTY_TYPE)
-        for mode in ("ZZ1", "ZZ2")
-    )
+    both = rows.filter(F.col("mode").isin("ZZ1", "ZZ2"))
+    totals = monthly.mode_totals(both, None, S.EVENT_TYPES, by=("mode",), sum_type=QTY_TYPE)
     names = [f"{nature}_{m}" for nature in S.EVENT_TYPES for m in ("qty", "amount")]
-    gaps = compare.reconcile(left, right, {n: (n, n) for n in names}, missing="zero")
+    tagged = totals.withColumn("_side", F.when(F.col("mode") == "ZZ1", "left").otherwise("right"))
+    gaps = compare.reconcile_tagged(tagged, {n: (n, n) for n in names}, missing="zero")
     return _in_cents(gaps, compare.KEYS, plain=("status",))
 
 
@@ -710,24 +710,28 @@ EDGES = (
 
 
 def _lineage(spark, sf_dir):
-    edges = spark.createDataFrame(list(EDGES), "output string, source string")
-    sold = tables.sales_only(S.tickets(spark, sf_dir), types=("F", "P"))
-    journal_side = monthly.monthly_totals(sold, ("ttc",), date="ticket_date")
-    report_side = _shipped(spark, sf_dir)
-    reconciled = compare.reconcile(
-        report_side, journal_side, {"gap_ttc": ("ttc", "ttc")}, missing="null"
-    )
-    counted = lambda **dfs: lin.row_counts(**dfs).select(
-        F.col("metric").alias("output"), F.col("value").cast("bigint").alias("n")
-    )
-    written = counted(
-        lineitem=S.table(spark, sf_dir, "lineitem"),
-        orders=S.table(spark, sf_dir, "orders"),
-        report_monthly=report_side,
-        journal_monthly=journal_side,
-        reconciled=reconciled,
-    )
-    return lin.lineage(written, edges, selected=counted(journal_monthly=sold)), edges
+    """Counters of a small run: outputs are written, and the writes count what they read, select and write."""
+    log = lin.Lineage()
+    for output, source in EDGES:
+        log.declare(output, source)
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        return stage(log.observed(df, name, "written"), name)
+
+    with lin.observing(spark):
+        shipped = log.observed(_shipped_rows(spark, sf_dir), "report_monthly", "read")
+        report_side = written("report_monthly", monthly.monthly_totals(shipped, monthly.REVENUE, date="date"))
+        tickets = log.observed(S.tickets(spark, sf_dir), "journal_monthly", "read")
+        sold = log.observed(tables.sales_only(tickets, types=("F", "P")), "journal_monthly", "selected")
+        journal_side = written("journal_monthly", monthly.monthly_totals(sold, ("ttc",), date="ticket_date"))
+        sides = (log.observed(df, "reconciled", "read") for df in (report_side, journal_side))
+        written("reconciled", compare.reconcile(*sides, {"gap_ttc": ("ttc", "ttc")}, missing="null"))
+    counts = log.counts(spark)
+    of = lambda counter: counts.filter(F.col("counter") == counter).select("output", "n")
+    stored = lin.row_counts(lineitem=S.table(spark, sf_dir, "lineitem"), orders=S.table(spark, sf_dir, "orders"))
+    stored = stored.select(F.col("metric").alias("output"), F.col("value").cast("bigint").alias("n"))
+    edges = log.edges(spark)
+    return lin.lineage(of("written").unionByName(stored), edges, of("selected"), of("read")), edges
 
 
 @query
