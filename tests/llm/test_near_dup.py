@@ -54,12 +54,28 @@ def test_groups_copies_and_edges(docs, prose):
     check(near_duplicates(docs(rows), shingle_words=2), rows, 2)
 
 
-def test_large_group_is_salted(docs, prose, monkeypatch):
-    """Tasks of three rows: centres and buckets are split, members outside the first component are copied."""
-    monkeypatch.setattr(near_dup, "SALT_ROWS", 3)
+@pytest.mark.parametrize("centre,apart,salt", [(3, 2, 3), (1, 1, 1), (2, 7, 2)])
+def test_large_group_is_split(docs, prose, monkeypatch, centre, apart, salt):
+    """Tasks of a few rows: centres are salted, members outside the first component dealt into parts that meet each other."""
+    for name, n in (("CENTRE_ROWS", centre), ("APART_ROWS", apart), ("SALT_ROWS", salt)):
+        monkeypatch.setattr(near_dup, name, n)
     rng = random.Random(8)
     base = prose(3, 200)
     rows = [(i, mutated(base, rng, rng.choice([0.01, 0.03, 0.06, 0.09]))) for i in range(60)]
+    # A family of which most members are linked with a few others only.
+    heads = [mutated(base, rng, 0.12) for _ in range(12)]
+    rows += [(100 + i, mutated(heads[i % 12], rng, 0.02)) for i in range(60)]
+    check(near_duplicates(docs(rows), shingle_words=2), rows, 2)
+
+
+def test_bucket_of_many_apart(docs, prose, monkeypatch):
+    """Hundreds of members outside the first component, more than a part or a salt takes."""
+    monkeypatch.setattr(near_dup, "APART_ROWS", 20)
+    monkeypatch.setattr(near_dup, "SALT_ROWS", 30)
+    rng = random.Random(4)
+    base = prose(5, 150)
+    heads = [mutated(base, rng, 0.11) for _ in range(40)]
+    rows = [(i, mutated(heads[i % 40], rng, 0.015)) for i in range(400)]
     check(near_duplicates(docs(rows), shingle_words=2), rows, 2)
 
 

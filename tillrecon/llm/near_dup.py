@@ -7,8 +7,9 @@ Signatures of a candidate pair are compared in batches; after each batch a pair
 probability of a similarity at or above the threshold (uniform prior) is below ``miss``. What survives is
 confirmed on the full sets. Components of the confirmed links give one kept document each.
 
-Large centres and buckets are salted: a task holds one centre, or the members of one bucket outside its
-first component, while the others stream past. Only what joins two components is emitted.
+Large centres and buckets are split: a task holds one centre, or one part (``APART_ROWS``) of the members of a bucket
+outside its first component, while others stream past, by salts. Parts meet each other in tasks of their own. Only
+what joins two components is emitted.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; a text with fewer words
 than a shingle is one shingle as a whole; rows with the same id are one node; a row without an id is
@@ -215,24 +216,24 @@ class _Bucket:
 
 
 def _within(bounds: list[tuple[int, int]], shingle_words: int, percent: int):
-    """Rows come by bucket and salt; members outside the first component precede those within it."""
+    """Rows come by bucket, part and salt: members of one part of those outside the first component, then what they meet."""
 
     def run(batches):
         out, key, bucket, done = Buffer(_LINK), None, None, True
 
         def close():
             nonlocal done
-            if not done and key[1] == 0:
+            if not done and key[2] == 0:
                 for link in bucket.among():
                     out.add(*link)
             done = True
 
         for batch in batches:
-            for k, salt, kind, doc_id, comp, sig, text in rows_of(batch):
-                if (k, salt) != key:
+            for k, part, salt, kind, doc_id, comp, sig, text in rows_of(batch):
+                if (k, part, salt) != key:
                     if key is not None:
                         close()
-                    key, bucket, done = (k, salt), _Bucket(bounds, shingle_words, percent), False
+                    key, bucket, done = (k, part, salt), _Bucket(bounds, shingle_words, percent), False
                 if not kind:
                     bucket.hold(doc_id, comp, sig, text)
                 else:
@@ -248,20 +249,21 @@ def _within(bounds: list[tuple[int, int]], shingle_words: int, percent: int):
     return run
 
 
-#: Members of a bucket, or of a centre, that one task takes.
-SALT_ROWS = 4096
+#: Members of a centre that one task takes; members of a bucket outside its first component that one task holds, and
+#: members that it lets these meet.
+CENTRE_ROWS, APART_ROWS, SALT_ROWS = 256, 1024, 2048
 
 
-def _salts(n):
-    return (F.floor((n - 1) / SALT_ROWS) + 1).cast("int")
+def _salts(n, rows):
+    return (F.floor((n - 1) / rows) + 1).cast("int")
 
 
-def _salt(doc_id, salts):
-    return F.pmod(F.xxhash64(doc_id), salts).cast("int").alias("salt")
+def _salt(doc_id, salts, seed: int = 0):
+    return F.pmod(F.xxhash64(F.lit(seed), doc_id), salts).cast("int")
 
 
-def _copies(salts):
-    return F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
+def _copies(n):
+    return F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")))
 
 
 def near_duplicates(
@@ -299,8 +301,8 @@ def near_duplicates(
     needed = stage(needed.join(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "doc_id"), "needed")
     sizes = needed.groupBy("c").agg(F.count("*").alias("m"))
     heads = needed.drop("c").join(sizes.withColumnRenamed("c", "doc_id"), "doc_id")
-    heads = heads.select(F.col("doc_id").alias("c"), _copies(_salts(F.col("m"))), F.lit(0).alias("kind"), "doc_id", "sig", "text")
-    rows = needed.where("doc_id <> c").join(sizes, "c").select("c", _salt("doc_id", _salts(F.col("m"))), F.lit(1).alias("kind"), "doc_id", "sig", "text")
+    heads = heads.select(F.col("doc_id").alias("c"), _copies(_salts(F.col("m"), CENTRE_ROWS)).alias("salt"), F.lit(0).alias("kind"), "doc_id", "sig", "text")
+    rows = needed.where("doc_id <> c").join(sizes, "c").select("c", _salt("doc_id", _salts(F.col("m"), CENTRE_ROWS)).alias("salt"), F.lit(1).alias("kind"), "doc_id", "sig", "text")
     rows = heads.union(rows).repartition("c", "salt").sortWithinPartitions("c", "salt", "kind")
     links = stage(rows.mapInArrow(_with_centre(bounds, shingle_words, percent), "a long, b long"), "links")
     found = stage(components(links), "found")
@@ -315,12 +317,18 @@ def near_duplicates(
         F.sum("h").alias("h"), F.max(F.when(F.col("doc_id") != F.col("first"), F.col("c"))).alias("partner"),
     )
     state = state.where("lo < hi").where(~tested).groupBy("m", "h").agg(F.min(F.struct("key", "lo")).alias("s")).select("s.key", "s.lo")
+    # Members outside the first component are dealt into parts. A part meets the first component and the parts
+    # after it, each in as many tasks as these have salts; so no task holds more than a part, however large a bucket is.
     members = stage(labelled.select("key", "doc_id", "m", "comp").join(state, "key"), "open")
-    members = members.join(needed.select("doc_id", "sig", "text"), "doc_id")
+    parts = members.groupBy("key").agg(_salts(F.count_if(F.col("comp") != F.col("lo")), APART_ROWS).alias("parts"))
+    members = members.join(parts, "key").join(needed.select("doc_id", "sig", "text"), "doc_id")
+    members = members.withColumns({"salts": _salts(F.col("m"), SALT_ROWS), "own": _salt("doc_id", F.col("parts"), 1)})
     tail = ["doc_id", "comp", "sig", "text"]
-    apart = members.where("comp <> lo").select("key", _copies(_salts(F.col("m"))), F.lit(0).alias("kind"), *tail)
-    main = members.where("comp = lo").select("key", _salt("doc_id", _salts(F.col("m"))), F.lit(1).alias("kind"), *tail)
-    rows = apart.union(main).repartition("key", "salt").sortWithinPartitions("key", "salt", "kind", "doc_id")
+    outside = members.where("comp <> lo")
+    held = outside.select("key", F.col("own").alias("part"), _copies(F.col("salts")).alias("salt"), F.lit(0).alias("kind"), *tail)
+    meets = F.when(F.col("comp") == F.col("lo"), F.col("parts")).otherwise(F.col("own"))
+    met = members.select("key", _copies(meets).alias("part"), _salt("doc_id", F.col("salts")).alias("salt"), F.lit(1).alias("kind"), *tail)
+    rows = held.union(met).repartition("key", "part", "salt").sortWithinPartitions("key", "part", "salt", "kind", "doc_id")
     more = stage(rows.mapInArrow(_within(bounds, shingle_words, percent), "a long, b long"), "links")
     unstage(needed, buckets)
     if more.limit(1).count():
