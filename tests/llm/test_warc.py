@@ -62,6 +62,17 @@ def test_write_and_read(spark, tmp_path):
     assert kinds.count("continuation") > 20 and kinds.count("revisit") == sum(r[3] == "revisit" for r in got)
 
 
+def test_segments_spread_over_archives(spark, tmp_path, monkeypatch):
+    """Archives of three records: most payloads have segments in several of them."""
+    monkeypatch.setattr(warc, "FILE_RECORDS", 3)
+    rows = [(i, f"u{i}", f"page {i} " * (40 * i)) for i in range(1, 12)]
+    write_archives(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).coalesce(2), f"{tmp_path}/a", segment_bytes=300)
+    parsed = spark.read.format("binaryFile").load(f"{tmp_path}/a/part-*").select("content").mapInArrow(warc._parse, warc._PARSED_TYPE)
+    assert parsed.where("origin is not null").count() > 20
+    out = read_archives(spark, f"{tmp_path}/a").collect()
+    assert {r.page_id: bytes(r.payload).decode() for r in out} == {i: t for i, _, t in rows} and len(out) == 11
+
+
 def damaged(spark, tmp_path, change):
     write_archives(spark.createDataFrame([(1, "u", "abc" * 900, "x")], SCHEMA), f"{tmp_path}/a", segment_bytes=700)
     # Partitions without rows leave archives without records.

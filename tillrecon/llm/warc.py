@@ -7,8 +7,8 @@ records, with the two line ends that close a record as separator, so each file i
 
 Reading: archives are parsed file by file along their content lengths. Continuation records are grouped by the
 identifier of their origin, ordered by segment number, joined and held against the total length that the
-last one declares; the chunked framing is then decoded and the payload held against its digest. A revisit
-takes its payload from the response that it refers to.
+last one declares: within the archive first, and by a shuffle where the segments of a record are spread over
+archives. The chunked framing is then decoded and the payload held against its digest. A revisit takes its payload from the response that it refers to.
 
 Defined cases: a null payload is an empty one; empty payloads are equal payloads too; a page without an id is a response
 of its own; rows with equal id and payload are responses both if their id is the largest. Segments that are missing or do not add up, broken framing and
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tillrecon.llm.common import Buffer, new_folder, rows_of, settings, stage, unstage
 
 #: Bytes of a block in one record, of a chunk within it; records of one archive. Most pages are longer than a segment.
-SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 1 << 10, 8 << 10, 2000
+SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 2 << 10, 8 << 10, 2000
 _END = "\r\n\r\n"
 
 
@@ -192,20 +192,47 @@ def _checked(payload: bytes, shown: str) -> bytes:
     return payload
 
 
+def joined(origin: str, parts: list[tuple[int, int | None, bytes]], shown: str) -> bytes:
+    """Payload of segments (number, total length or None, block) in order; an error if they are not whole."""
+    numbers = [n for n, _, _ in parts]
+    if numbers != list(range(1, len(parts) + 1)):
+        raise ValueError(f"segments of {origin} are {numbers}")
+    block = b"".join([b for _, _, b in parts])
+    if parts[-1][1] != len(block):
+        raise ValueError(f"{origin} has {len(block)} bytes instead of {parts[-1][1]}")
+    return _checked(http_payload(block), shown)
+
+
 def _parse(batches):
+    """Records of each archive. Segments that are all in it are joined there, so that only the others are moved."""
     for batch in batches:
         for content in batch.column(0):
             out = Buffer(_PARSED, 4 << 20)
             data = content.as_buffer().to_pybytes()
+            pending: dict[str, list[tuple]] = {}
             for h, block in records_of(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 kind, segment = h["warc-type"], _number(h, "warc-segment-number")
                 origin = h.get("warc-segment-origin-id", h["warc-record-id"]) if segment else None
                 shown = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
                 payload = _checked(http_payload(block), shown) if kind == "response" and not segment else None
-                out.add(
+                row = (
                     origin, segment, _number(h, "warc-segment-total-length"), kind, _number(h, "warc-page-id"), shown,
-                    _number(h, "warc-refers-to-page"), block if segment else None, payload, weight=len(block) + 100,
+                    _number(h, "warc-refers-to-page"), block if segment else None, payload,
                 )
+                if segment:
+                    pending.setdefault(origin, []).append(row)
+                else:
+                    out.add(*row, weight=len(block) + 100)
+                if out.full():
+                    yield out.take()
+            for origin, rows in pending.items():
+                rows.sort(key=lambda r: r[1])
+                if rows[0][1] == 1 and rows[-1][2] is not None and len(rows) == rows[-1][1]:
+                    first = rows[0]
+                    payload = joined(origin, [(r[1], r[2], r[7]) for r in rows], first[5])
+                    rows = [(None, None, None, first[3], first[4], first[5], first[6], None, payload)]
+                for row in rows:
+                    out.add(*row, weight=len(row[7] or row[8] or b"") + 100)
                 if out.full():
                     yield out.take()
             yield out.take()
@@ -217,13 +244,8 @@ def _reassemble(batches):
     for batch in batches:
         out = Buffer(schema, 4 << 20)
         for origin, page_id, shown, parts in rows_of(batch):
-            numbers = [p["segment"] for p in parts]
-            if numbers != list(range(1, len(parts) + 1)):
-                raise ValueError(f"segments of {origin} are {numbers}")
-            block = b"".join([p["block"] for p in parts])
-            if parts[-1]["total"] != len(block):
-                raise ValueError(f"{origin} has {len(block)} bytes instead of {parts[-1]['total']}")
-            out.add(page_id, shown, _checked(http_payload(block), shown), weight=len(block))
+            payload = joined(origin, [(p["segment"], p["total"], p["block"]) for p in parts], shown)
+            out.add(page_id, shown, payload, weight=len(payload))
             if out.full():
                 yield out.take()
         yield out.take()
