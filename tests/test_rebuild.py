@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tillrecon.operators import checks, monthly
+from tillrecon.operators import monthly
 from tillrecon.plans import rebuild as R, staged
 from tillrecon.sources import sinks
 
