@@ -67,5 +67,5 @@ def test_whole_operator(docs, prose, monkeypatch):
 
 def test_query(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
-    expected = [(i, n, r, s, hashlib.sha256(k).hexdigest()) for i, n, r, s, k in brute([(d.doc_id, d.text) for d in docs])]
+    expected = [(i, n, r, s, hashlib.sha256(k).hexdigest(), k.decode("utf-8", "replace")) for i, n, r, s, k in brute([(d.doc_id, d.text) for d in docs])]
     assert sorted(map(tuple, op4_suffix(spark, "/root/testdata/sf0.001").collect()), key=str) == sorted(expected, key=str)
